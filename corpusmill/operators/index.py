@@ -70,7 +70,10 @@ def _postings_and_lengths(corpus: DataFrame, id_col: str, weights: dict[str, flo
     # dl is a function of doc_id, so grouping by it costs nothing and keeps it
     # beside every posting: search never joins back to doc_len.
     postings = (
-        base.select("doc_id", "dl", F.explode("tw").alias("p"))
+        # explode_outer + null filter: plain explode makes the optimizer add a
+        # size(tokens) > 0 filter that tokenises every document a second time.
+        base.select("doc_id", "dl", F.explode_outer("tw").alias("p"))
+        .filter(F.col("p").isNotNull())
         .groupBy("doc_id", F.col("p.term").alias("term"), "dl")
         .agg(F.sum("p.w").alias("tf"))
         .select("doc_id", "term", "tf", "dl")

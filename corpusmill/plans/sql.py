@@ -49,3 +49,35 @@ def top_k(scores: str, k: int, key: str = "query_id", score: str = "score", tie:
         f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {score} DESC, {tie}) AS rank "
         f"FROM {scores}) WHERE rank <= {k}"
     )
+
+
+def sentences(x: str) -> str:
+    return (
+        rf"list_filter(list_transform(regexp_split_to_array(regexp_replace({x}, '([.!?])\s+', '\1' || chr(10), 'g'), '\n+'), "
+        rf"lambda s: trim(s)), lambda s: s <> '')"
+    )
+
+
+def unescape(x: str) -> str:
+    for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")]:
+        x = f"replace({x}, '{a}', '{b}')"
+    return x
+
+
+def squash(x: str) -> str:
+    return rf"trim(regexp_replace({x}, '\s+', ' ', 'g'))"
+
+
+TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
+HREF_RE = r'(?i)href="([^"]*)"'
+
+
+def page_docs(table: str = "pages") -> str:
+    """SELECT doc_id, title, body, links FROM pages, as html_to_corpus does."""
+    body = "html"
+    for pat in [r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->", TITLE_RE, r"<[^>]*>"]:
+        body = f"regexp_replace({body}, '{pat}', ' ', 'g')"
+    return (
+        f"SELECT page_id AS doc_id, {squash(unescape(f'regexp_extract(html, {chr(39)}{TITLE_RE}{chr(39)}, 1)'))} AS title, "
+        f"{squash(unescape(body))} AS body, regexp_extract_all(html, '{HREF_RE}', 1) AS links FROM {table}"
+    )
