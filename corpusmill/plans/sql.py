@@ -81,3 +81,39 @@ def page_docs(table: str = "pages") -> str:
         f"SELECT page_id AS doc_id, {squash(unescape(f'regexp_extract(html, {chr(39)}{TITLE_RE}{chr(39)}, 1)'))} AS title, "
         f"{squash(unescape(body))} AS body, regexp_extract_all(html, '{HREF_RE}', 1) AS links FROM {table}"
     )
+
+
+def nb_ctes(train: str, score: str, tok_fn=None) -> str:
+    """CTEs ending in ``sc(row_id, label, score)`` and ``pr(row_id, label, score, prob)``.
+
+    train: SELECT row_id, label, text ; score: SELECT row_id, text.
+    tok_fn turns the text column into a token list (default: the shared tokens)."""
+    tk = tok_fn or tok
+    return f"""
+tr AS ({train}), te AS ({score}),
+tt AS (SELECT row_id, label, unnest({tk('text')}) AS term FROM tr),
+tc AS (SELECT label, term, count(*)::DOUBLE AS n FROM tt GROUP BY label, term),
+tl AS (SELECT row_id, label, count(*)::DOUBLE AS len FROM tt GROUP BY row_id, label),
+cc AS (SELECT tr.label, count(*)::DOUBLE AS docs, coalesce(sum(tl.len), 0)::DOUBLE AS len FROM tr LEFT JOIN tl ON tl.row_id = tr.row_id AND tl.label = tr.label GROUP BY tr.label),
+vv AS (SELECT count(DISTINCT term)::DOUBLE AS v FROM tc),
+nn AS (SELECT sum(docs) AS n FROM cc),
+st AS (SELECT row_id, term, count(*)::DOUBLE AS cnt FROM (SELECT row_id, unnest({tk('text')}) AS term FROM te) GROUP BY row_id, term),
+kn AS (SELECT * FROM st WHERE term IN (SELECT term FROM tc)),
+ll AS (SELECT row_id, sum(cnt) AS L FROM kn GROUP BY row_id),
+base AS (SELECT r.row_id, cc.label, ln(cc.docs / nn.n) - coalesce(ll.L, 0) * ln(cc.len + vv.v) AS s
+         FROM (SELECT DISTINCT row_id FROM te) r LEFT JOIN ll ON ll.row_id = r.row_id CROSS JOIN cc CROSS JOIN vv CROSS JOIN nn),
+bonus AS (SELECT kn.row_id, tc.label, sum(kn.cnt * ln(tc.n + 1)) AS b FROM kn JOIN tc ON tc.term = kn.term GROUP BY kn.row_id, tc.label),
+sc AS (SELECT base.row_id, base.label, round(s + coalesce(b, 0), 4) AS score FROM base LEFT JOIN bonus ON bonus.row_id = base.row_id AND bonus.label = base.label),
+mx AS (SELECT *, max(score) OVER (PARTITION BY row_id) AS m FROM sc),
+pr AS (SELECT row_id, label, score, round(exp(score - m) / sum(exp(score - m)) OVER (PARTITION BY row_id), 6) AS prob FROM mx)"""
+
+
+def nb_top(k: int) -> str:
+    return (
+        "SELECT row_id, label, score, prob, rank FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, label) AS rank FROM pr) "
+        f"WHERE rank <= {k}"
+    )
+
+
+def bucket(seed, col: str) -> str:
+    return f"({shash(chr(39) + str(seed) + ':' + chr(39) + ' || CAST(' + col + ' AS VARCHAR)')} % 1000000)"

@@ -39,7 +39,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 5)
+        return round(v, 5) + 0.0
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
