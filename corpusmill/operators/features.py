@@ -199,8 +199,8 @@ def align_tags(df: DataFrame, id_col: str, source: str, target: str, tags, defau
     """(id, pos, token, tag) for rows whose whitespace tokens and tags line
     up and whose tags are all known; the other rows are returned as rejects."""
     allowed = F.array(*[F.lit(t) for t in list(tags) + [default]])
-    s = F.split(F.trim(F.col(source)), r"\s+")
-    t = F.split(F.trim(F.col(target)), r"\s+")
+    s = F.filter(F.split(F.col(source), r"\s+"), lambda x: x != "")
+    t = F.filter(F.split(F.col(target), r"\s+"), lambda x: x != "")
     base = df.select(F.col(id_col), s.alias("_s"), t.alias("_t"))
     ok = (F.size("_s") == F.size("_t")) & F.forall("_t", lambda x: F.array_contains(allowed, x))
     good = base.filter(ok).select(id_col, F.posexplode(F.arrays_zip("_s", "_t")).alias("pos", "z")).select(

@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from corpusmill.plans import feedback_queries, model_queries, prep_queries, search_queries  # noqa: F401
+from corpusmill.plans import feedback_queries, model_queries, prep_queries, search_queries, tag_queries  # noqa: F401
 from corpusmill.plans.registry import ORACLES, QUERIES  # noqa: F401

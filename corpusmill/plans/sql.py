@@ -117,3 +117,44 @@ def nb_top(k: int) -> str:
 
 def bucket(seed, col: str) -> str:
     return f"({shash(chr(39) + str(seed) + ':' + chr(39) + ' || CAST(' + col + ' AS VARCHAR)')} % 1000000)"
+
+
+def luhn(m: str) -> str:
+    rev = f"reverse(regexp_replace({m}, '[^0-9]', '', 'g'))"
+    d = f"CAST(substring({rev}, i + 1, 1) AS INTEGER)"
+    return (
+        f"(length({rev}) BETWEEN 13 AND 19 AND coalesce(list_sum(list_transform(range(length({rev})), lambda i: "
+        f"CASE WHEN i % 2 = 1 THEN (CASE WHEN {d} * 2 > 9 THEN {d} * 2 - 9 ELSE {d} * 2 END) ELSE {d} END)), 0) % 10 = 0)"
+    )
+
+
+def mod97(m: str) -> str:
+    s = f"upper(replace({m}, ' ', ''))"
+    r = f"(substring({s}, 5, 100) || substring({s}, 1, 4))"
+    exp = (
+        f"array_to_string(list_transform(string_split({r}, ''), lambda ch: CASE WHEN regexp_matches(ch, '[0-9]') THEN ch "
+        f"ELSE CAST(ascii(ch) - 55 AS VARCHAR) END), '')"
+    )
+    return f"(list_reduce(list_transform(string_split({exp}, ''), lambda ch: CAST(ch AS BIGINT)), lambda acc, x: (acc * 10 + x) % 97, 0::BIGINT) = 1)"
+
+
+def pii_chain(source: str, keep: str = "doc_id") -> str:
+    """CTEs ending in pm({keep}, f0..f{n-1}, masked) following corpusmill.functions.pii.RULES."""
+    from corpusmill.functions.pii import RULES
+
+    ctes = [f"pc0 AS (SELECT {keep}, text AS t0 FROM ({source}))"]
+    for i, (kind, pat, check) in enumerate(RULES):
+        sp = pat.replace("'", "''")
+        found = f"regexp_extract_all(t{i}, '{sp}', 0)"
+        if check:
+            fn = luhn if check == "luhn" else mod97
+            found = f"list_filter({found}, lambda m: {fn('m')})"
+        ctes.append(f"pf{i} AS (SELECT *, {found} AS f{i} FROM pc{i})")
+        if check:
+            nxt = f"list_reduce(f{i}, lambda acc, m: replace(acc, m, '[{kind}]'), t{i})"
+        else:
+            nxt = f"regexp_replace(t{i}, '{sp}', '[{kind}]', 'g')"
+        ctes.append(f"pc{i + 1} AS (SELECT * EXCLUDE (t{i}), {nxt} AS t{i + 1} FROM pf{i})")
+    n = len(RULES)
+    ctes.append(f"pm AS (SELECT * EXCLUDE (t{n}), t{n} AS masked FROM pc{n})")
+    return ",\n".join(ctes)
