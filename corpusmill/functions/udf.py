@@ -1,0 +1,71 @@
+"""Vectorised prediction as a column.
+
+The count model is turned once into per-term log-weight vectors, broadcast,
+and loaded once per Python worker; each Arrow batch of texts is scored with
+numpy.  Only for models whose vocabulary passes the size check; larger models
+score with the join-based M2."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import regex
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpusmill.operators.classify import CountModel
+
+MAX_VOCAB = 2_000_000
+_SPLIT = regex.compile(r"[^\p{L}\p{N}]+")
+_CACHE: dict = {}
+
+
+def predict_udf(model: CountModel, places: int = 4):
+    """Returns a function text Column -> struct<label string, score double>."""
+    spark = model.term_counts.sparkSession
+    classes = model.class_counts.orderBy("label").collect()
+    labels = [r["label"] for r in classes]
+    n_docs = sum(r["docs"] for r in classes)
+    vocab_n = model.term_counts.filter(F.col("n") > 0).select("term").distinct().count()
+    if vocab_n > MAX_VOCAB:
+        raise ValueError("vocabulary too large to broadcast; use classify.predict")
+    prior = np.array([np.log(r["docs"] / n_docs) for r in classes])
+    norm = np.array([np.log(r["len"] + vocab_n) for r in classes])
+    # (term -> per-class ln(n + 1)); one pass over the term table, grouped by term.
+    tw = model.term_counts.filter(F.col("n") > 0).groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("m")).collect()
+    idx = {lab: i for i, lab in enumerate(labels)}
+    weights = {}
+    for r in tw:
+        v = np.zeros(len(labels))
+        for lab, n in r["m"].items():
+            v[idx[lab]] = np.log(n + 1.0)
+        weights[r["term"]] = v
+    bc = spark.sparkContext.broadcast((labels, prior, norm, weights))
+    key = id(bc)
+
+    @F.pandas_udf(T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())]))
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        if key not in _CACHE:  # once per worker process
+            _CACHE[key] = bc.value
+        labs, pr, nm, w = _CACHE[key]
+        for s in texts:
+            out_l, out_s = [], []
+            for t in s.fillna(""):
+                toks = [x for x in _SPLIT.split(t.lower()) if x]
+                known = [x for x in toks if x in w]
+                sc = pr - len(known) * nm
+                for x in known:
+                    sc = sc + w[x]
+                sc = np.round(sc, places)
+                best = min(range(len(labs)), key=lambda i: (-sc[i], labs[i]))
+                out_l.append(labs[best])
+                out_s.append(float(sc[best]))
+            yield pd.DataFrame({"label": out_l, "score": out_s})
+
+    def apply(text: Column) -> Column:
+        return score(text)
+
+    return apply
