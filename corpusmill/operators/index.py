@@ -19,12 +19,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import round_score, stable_hash, tokens
 from corpusmill.operators.topk import top_k, top_k_by_score
-from corpusmill.session import bounded_broadcast, spread
+from corpusmill.session import BROADCAST_MAX_ROWS, bounded_broadcast, spread
 
 # Fixed values of the scoring contract.
 K1 = 1.2
@@ -81,13 +82,21 @@ def _postings_and_lengths(corpus: DataFrame, id_col: str, weights: dict[str, flo
     return postings, doc_len
 
 
-def build_index(corpus: DataFrame, id_col: str = "doc_id", fields="text") -> Index:
-    """Postings, document lengths and term statistics of a corpus."""
+def build_index(corpus: DataFrame, id_col: str = "doc_id", fields="text", persist: bool = True) -> Index:
+    """Postings, document lengths and term statistics of a corpus.
+
+    Postings are persisted (memory, spilling to disk) because statistics and
+    every search reuse them; the corpus is tokenised once.  The document count
+    comes from the corpus itself (documents without tokens still count) and
+    the total length from the postings (sum of tf = sum of lengths)."""
     weights = _field_weights(fields)
     postings, doc_len = _postings_and_lengths(corpus, id_col, weights)
+    if persist:
+        postings = postings.persist(StorageLevel.MEMORY_AND_DISK)
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    row = doc_len.agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("t")).first()
-    return Index(postings, doc_len, term_stats, int(row["n"]), float(row["t"] or 0.0))
+    n = corpus.select(id_col).count()
+    total = postings.agg(F.sum("tf")).first()[0]
+    return Index(postings, doc_len, term_stats, int(n), float(total or 0.0))
 
 
 def idf_expr(n_docs: int, df: Column) -> Column:
@@ -104,18 +113,21 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "t
 def score_terms(index: Index, qterms: DataFrame) -> DataFrame:
     """(query_id, doc_id, score) for (query_id, term[, qw]) rows; qw defaults to 1.
 
-    The query-term side is joined to term statistics and then to postings;
-    both joins broadcast it after a row count, so postings are scanned in place
-    and never shuffled.  Only the (query, doc) partial sums shuffle.
-    """
+    When the query-term table passes the row-count check it is broadcast to the
+    term statistics and then (joined with idf, never larger) to the postings,
+    so postings are scanned in place and never shuffled; only the (query, doc)
+    partial sums shuffle.  A larger query table takes the shuffle join, where
+    AQE splits skewed (frequent) terms."""
     if "qw" not in qterms.columns:
         qterms = qterms.withColumn("qw", F.lit(1.0))
     qterms = qterms.select("query_id", "term", F.col("qw").cast("double").alias("qw"))
-    q = bounded_broadcast(qterms)
+    small = qterms.count() <= BROADCAST_MAX_ROWS
+    q = F.broadcast(qterms) if small else qterms
     weighted = q.join(index.term_stats, "term").select(
         "query_id", "term", (F.col("qw") * idf_expr(index.n_docs, F.col("df"))).alias("idf")
     )
-    weighted = bounded_broadcast(weighted)
+    if small:
+        weighted = F.broadcast(weighted)
     avgdl = index.avgdl or 1.0
     tf, dl = F.col("tf"), F.col("dl")
     part = F.col("idf") * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / F.lit(avgdl)))
