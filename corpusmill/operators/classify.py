@@ -18,6 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,10 @@ class CountModel:
     term_counts: DataFrame  # (label string, term string, n double)
     class_counts: DataFrame  # (label string, docs double, len double)
 
+    def persist(self) -> "CountModel":
+        """Keep the count tables (memory, spilling to disk): scoring reads them several times."""
+        return CountModel(self.term_counts.persist(StorageLevel.MEMORY_AND_DISK), self.class_counts.persist(StorageLevel.MEMORY_AND_DISK))
+
 
 def doc_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return (
@@ -56,7 +61,7 @@ def _fit(terms: DataFrame, lab: DataFrame, weight: float) -> CountModel:
     cc = lab.join(lens, "row_id", "left").groupBy("label").agg(
         (F.count(F.lit(1)) * weight).cast("double").alias("docs"), (F.coalesce(F.sum("_len"), F.lit(0.0)) * weight).alias("len")
     )
-    return CountModel(tc, cc)
+    return CountModel(tc, cc).persist()
 
 
 def fit_text(df: DataFrame, id_col: str, text_col: str, label_col: str, weight: float = 1.0) -> CountModel:
@@ -107,7 +112,8 @@ def predict_terms(model: CountModel, terms: DataFrame, rows: DataFrame, k: int =
     vocab = model.term_counts.filter(F.col("n") > 0).select("term").distinct()
     v_size = vocab.count()
     n_docs = model.class_counts.agg(F.sum("docs")).first()[0] or 0.0
-    known = terms.join(vocab, "term", "left_semi")
+    # The scored rows' known terms feed two branches (lengths and evidence).
+    known = terms.join(vocab, "term", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
     length = known.groupBy("row_id").agg(F.sum("cnt").alias("L"))
     classes = _class_rows(
         model.class_counts.select(

@@ -306,12 +306,23 @@ def _li_sql_terms():
                'status=' || l_linestatus, 'month=' || CAST(month(l_shipdate) AS VARCHAR)]"""
 
 
-LI_ROW_SQL = q.shash("concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey)")
+_CENTS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LI_ROW_SQL = q.shash(
+    "concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+    + ", ".join(f"CAST(round({c} * 100) AS BIGINT)" for c in _CENTS)
+    + ", l_returnflag, l_linestatus, year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate))"
+)
 
 
 def li_row_id():
-    """lineitem has no unique key column; (order, line, part, supplier) is unique."""
-    return prep.stable_hash(F.concat_ws(":", *[F.col(c).cast("string") for c in ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]]))
+    """lineitem has no key column and even (order, line, part, supplier) repeats
+    at small scales, so a row is named by a stable hash of all its values
+    (numbers in hundredths, the date as yyyymmdd)."""
+    parts = [F.col(c).cast("string") for c in ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]]
+    parts += [F.round(F.col(c) * 100).cast("bigint").cast("string") for c in _CENTS]
+    parts += [F.col("l_returnflag"), F.col("l_linestatus"),
+              (F.year("l_shipdate") * 10000 + F.month("l_shipdate") * 100 + F.dayofmonth("l_shipdate")).cast("string")]
+    return prep.stable_hash(F.concat_ws(":", *parts))
 
 
 def _tabular_sql(k: int):
