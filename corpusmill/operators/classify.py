@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import tokens
-from corpusmill.operators.topk import top_k
+from corpusmill.operators.topk import top_k  # noqa: F401
+from corpusmill.session import bounded_broadcast
 
 MAX_DENSE_CLASSES = 10_000  # classes scored for every row (checked, then a literal array)
 
@@ -108,37 +109,47 @@ def _explode_classes(rows, names: list[str]):
 def predict_terms(model: CountModel, terms: DataFrame, rows: DataFrame, k: int = 1, places: int = 4) -> DataFrame:
     """M2 on (row_id, term, cnt): (row_id, label, score, prob, rank) for the top k classes.
 
-    ``rows`` lists every row to score (rows with no known token get the prior)."""
-    vocab = model.term_counts.filter(F.col("n") > 0).select("term").distinct()
-    v_size = vocab.count()
+    One shuffle: each known term carries its per-class ln(n + 1) (a map bounded
+    by the class count, joined from the model; broadcast after a size check),
+    every row gathers its own terms with one ``groupBy(row_id)`` (a row's terms
+    are bounded by the row), and all classes are scored, normalised and ranked
+    inside the row.  ``rows`` lists every row to score (rows without a known
+    term get the prior)."""
+    tc = model.term_counts.filter(F.col("n") > 0)
+    v_size = tc.select("term").distinct().count()
     n_docs = model.class_counts.agg(F.sum("docs")).first()[0] or 0.0
-    # The scored rows' known terms feed two branches (lengths and evidence).
-    known = terms.join(vocab, "term", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
-    length = known.groupBy("row_id").agg(F.sum("cnt").alias("L"))
     classes = _class_rows(
         model.class_counts.select(
             "label", F.log(F.col("docs") / F.lit(float(n_docs))).alias("prior"), F.log(F.col("len") + F.lit(float(v_size))).alias("norm")
-        ),
+        ).orderBy("label"),
         ["label", "prior", "norm"],
     )
-    base = (
-        rows.select("row_id").distinct().join(length, "row_id", "left")
-        .select("row_id", "L", _explode_classes(classes, ["label", "prior", "norm"]))
-        .select("row_id", F.col("_c.label").alias("label"), (F.col("_c.prior") - F.coalesce(F.col("L"), F.lit(0.0)) * F.col("_c.norm")).alias("s"))
+    weights = tc.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("label", F.log(F.col("n") + 1)))).alias("m"))
+    known = terms.join(bounded_broadcast(weights), "term").select("row_id", "cnt", "m")
+    empty = rows.select("row_id", F.lit(None).cast("double").alias("cnt"), F.lit(None).cast(weights.schema["m"].dataType).alias("m"))
+    per_row = known.unionByName(empty).groupBy("row_id").agg(
+        F.coalesce(F.sum("cnt"), F.lit(0.0)).alias("L"),
+        F.filter(F.collect_list(F.struct("cnt", "m")), lambda x: x["m"].isNotNull()).alias("ev"),
     )
-    bonus = (
-        known.join(model.term_counts.filter(F.col("n") > 0), "term")
-        .groupBy("row_id", "label")
-        .agg(F.sum(F.col("cnt") * F.log(F.col("n") + 1)).alias("b"))
+
+    def class_score(c):
+        bonus = F.aggregate("ev", F.lit(0.0), lambda acc, x: acc + x["cnt"] * F.coalesce(x["m"][F.lit(c["label"])], F.lit(0.0)))
+        s = F.lit(float(c["prior"])) - F.col("L") * F.lit(float(c["norm"])) + bonus
+        return F.struct(F.lit(c["label"]).alias("label"), F.round(s, places).alias("score"))
+
+    scored = per_row.select("row_id", F.array(*[class_score(c) for c in classes]).alias("s"))
+    mx = F.array_max(F.transform("s", lambda x: x["score"]))
+    scored = scored.select("row_id", "s", mx.alias("mx")).select(
+        "row_id", "s", F.aggregate("s", F.lit(0.0), lambda acc, x: acc + F.exp(x["score"] - F.col("mx"))).alias("z"), "mx"
     )
-    scored = base.join(bonus, ["row_id", "label"], "left").select(
-        "row_id", "label", F.round(F.col("s") + F.coalesce(F.col("b"), F.lit(0.0)), places).alias("score")
+    ranked = F.slice(
+        F.array_sort(F.transform("s", lambda x: F.struct((-x["score"]).alias("neg"), x["label"].alias("label"), x["score"].alias("score")))), 1, k
     )
-    w = Window.partitionBy("row_id")
-    scored = scored.withColumn(
-        "prob", F.round(F.exp(F.col("score") - F.max("score").over(w)) / F.sum(F.exp(F.col("score") - F.max("score").over(w))).over(w), 6)
+    out = scored.select("row_id", "mx", "z", F.posexplode(ranked).alias("pos", "c"))
+    return out.select(
+        "row_id", F.col("c.label").alias("label"), F.col("c.score").alias("score"),
+        F.round(F.exp(F.col("c.score") - F.col("mx")) / F.col("z"), 6).alias("prob"), (F.col("pos") + 1).cast("bigint").alias("rank"),
     )
-    return top_k(scored, "row_id", [F.col("score").desc(), F.col("label").asc()], k)
 
 
 def predict(model: CountModel, df: DataFrame, id_col: str, text_col: str, k: int = 1) -> DataFrame:

@@ -145,30 +145,24 @@ def search(index: Index, queries: DataFrame, k: int = 5, id_col: str = "query_id
 
 
 def doc_top_terms(index: Index, ids: DataFrame | None = None, n_terms: int = 20) -> DataFrame:
-    """D3 step: the n terms of each document with the largest tf*idf (ties by term)."""
+    """D3 step: the n terms of each document with the largest BM25 weight inside
+    that document (saturated tf times idf; ties by term).  Saturation keeps a
+    frequent word with a large tf from crowding out the telling rare words,
+    which also keeps the candidate set of the follow-up search small."""
     p = index.postings
     if ids is not None:
         p = p.join(bounded_broadcast(ids.select(F.col(ids.columns[0]).cast("bigint").alias("doc_id"))), "doc_id", "left_semi")
-    w = p.join(index.term_stats, "term").select(
-        "doc_id", "term", round_score(F.col("tf") * idf_expr(index.n_docs, F.col("df"))).alias("w")
-    )
+    tf, dl = F.col("tf"), F.col("dl")
+    sat = tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / F.lit(index.avgdl or 1.0)))
+    w = p.join(index.term_stats, "term").select("doc_id", "term", round_score(sat * idf_expr(index.n_docs, F.col("df"))).alias("w"))
     return top_k(w, "doc_id", [F.col("w").desc(), F.col("term").asc()], n_terms, "term_rank")
 
 
 def similar_docs(index: Index, ids: DataFrame | None = None, k: int = 5, n_terms: int = 20) -> DataFrame:
-    """D3: each document (or each listed id) used as a query; itself excluded."""
+    """D3: each document (or each listed id) used as a query with its top
+    ``n_terms`` tf*idf terms; the document itself is excluded."""
     qt = doc_top_terms(index, ids, n_terms).select(F.col("doc_id").alias("query_id"), "term")
-    # The query table here grows with the corpus, so it is not broadcast.
-    avgdl = index.avgdl or 1.0
-    tf, dl = F.col("tf"), F.col("dl")
-    part = F.col("idf") * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / F.lit(avgdl)))
-    weighted = qt.join(index.term_stats, "term").select("query_id", "term", idf_expr(index.n_docs, F.col("df")).alias("idf"))
-    scores = (
-        index.postings.join(weighted, "term")
-        .filter(F.col("doc_id") != F.col("query_id"))
-        .groupBy("query_id", "doc_id")
-        .agg(round_score(F.sum(part)).alias("score"))
-    )
+    scores = score_terms(index, qt).filter(F.col("doc_id") != F.col("query_id"))
     return top_k_by_score(scores, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
 
 

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.pii import CHECKS, RULES
 from corpusmill.operators.prep import sentences
-from corpusmill.operators.topk import top_k
+import numpy as np
+from pyspark import StorageLevel
+
+from corpusmill.operators.topk import top_k  # noqa: F401
 from corpusmill.session import bounded_broadcast
 
 
@@ -89,6 +92,11 @@ class TaggerModel:
     tag_counts: DataFrame  # (tag, n)
 
 
+def _persisted(*tables: DataFrame) -> TaggerModel:
+    """Model tables are read by several steps of ``tag``; keep them (memory, spilling to disk)."""
+    return TaggerModel(*[t.persist(StorageLevel.MEMORY_AND_DISK) for t in tables])
+
+
 def fit_tagger(tagged: DataFrame, id_col: str = "row_id", weight: float = 1.0) -> TaggerModel:
     """Counts of (word, tag), (shape, tag), (previous tag, tag) from aligned rows
     (id, pos, token, tag).  The previous tag comes from a self-join on pos - 1
@@ -96,7 +104,7 @@ def fit_tagger(tagged: DataFrame, id_col: str = "row_id", weight: float = 1.0) -
     t = tagged.select(F.col(id_col).alias("row_id"), "pos", F.lower("token").alias("token"), shape(F.col("token")).alias("shape"), "tag")
     prev = tagged.select(F.col(id_col).alias("row_id"), (F.col("pos") + 1).alias("pos"), F.col("tag").alias("prev_tag"))
     w = F.lit(weight)
-    return TaggerModel(
+    return _persisted(
         t.groupBy("token", "tag").agg((F.count(F.lit(1)) * w).alias("n")),
         t.groupBy("shape", "tag").agg((F.count(F.lit(1)) * w).alias("n")),
         t.join(prev, ["row_id", "pos"], "left")
@@ -114,7 +122,7 @@ def fine_tune_tagger(model: TaggerModel, tagged: DataFrame, id_col: str = "row_i
     def add(a, b, keys):
         return a.unionByName(b).groupBy(*keys).agg(F.sum("n").alias("n"))
 
-    return TaggerModel(
+    return _persisted(
         add(model.word_tag, new.word_tag, ["token", "tag"]),
         add(model.shape_tag, new.shape_tag, ["shape", "tag"]),
         add(model.trans, new.trans, ["prev_tag", "tag"]),
@@ -123,29 +131,32 @@ def fine_tune_tagger(model: TaggerModel, tagged: DataFrame, id_col: str = "row_i
 
 
 def tag(model: TaggerModel, tokens_df: DataFrame, top_k_tags: int = 1, id_col: str = "row_id", places: int = 4) -> DataFrame:
-    """Ranked tags per token (id, pos, token).
+    """Ranked tags per token (id, pos, token) -> (row_id, pos, tag, score, rank).
 
     score(tag) = ln P(tag) + ln((n(word, tag) + 1) / (n(tag) + |words|)) + ln((n(shape, tag) + 1) / (n(tag) + |shapes|)),
-    i.e. word evidence with the shape as back-off; rounded, ties by tag."""
-    tags = model.tag_counts.collect()  # one row per tag: bounded by the tag set
+    i.e. word evidence with the shape as back-off; rounded, ties by tag.
+    Each token is joined once to its word's tag counts (a map bounded by the
+    tag set); shape counts are few and broadcast after a size check; all tags
+    are scored and ranked inside the token row (no window, no shuffle by row)."""
+    tags = model.tag_counts.orderBy("tag").collect()  # one row per tag: bounded by the tag set
     total = float(sum(r["n"] for r in tags))
     vw = float(model.word_tag.select("token").distinct().count())
     vs = float(model.shape_tag.select("shape").distinct().count())
+    wmap = model.word_tag.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("tag", "n"))).alias("wm"))
+    smap = model.shape_tag.groupBy("shape").agg(F.map_from_entries(F.collect_list(F.struct("tag", "n"))).alias("sm"))
     t = tokens_df.select(F.col(id_col).alias("row_id"), "pos", F.lower("token").alias("token"), shape(F.col("token")).alias("shape"))
-    cand = t.select(
-        "*",
-        F.explode(F.array(*[F.struct(F.lit(r["tag"]).alias("tag"), F.lit(float(r["n"])).alias("tn")) for r in tags])).alias("_t"),
-    ).select("row_id", "pos", "token", "shape", "_t.tag", "_t.tn")
-    cand = cand.join(model.word_tag.withColumnRenamed("n", "nw"), ["token", "tag"], "left").join(
-        model.shape_tag.withColumnRenamed("n", "ns"), ["shape", "tag"], "left"
-    )
-    score = (
-        F.log(F.col("tn") / F.lit(total))
-        + F.log((F.coalesce("nw", F.lit(0.0)) + 1) / (F.col("tn") + F.lit(vw)))
-        + F.log((F.coalesce("ns", F.lit(0.0)) + 1) / (F.col("tn") + F.lit(vs)))
-    )
-    scored = cand.select("row_id", "pos", "tag", F.round(score, places).alias("score"))
-    return top_k(scored, ["row_id", "pos"], [F.col("score").desc(), F.col("tag").asc()], top_k_tags)
+    t = t.join(bounded_broadcast(wmap), "token", "left").join(bounded_broadcast(smap), "shape", "left")
+
+    def tag_score(r):
+        tn = float(r["n"])
+        nw = F.coalesce(F.col("wm")[F.lit(r["tag"])], F.lit(0.0))
+        ns = F.coalesce(F.col("sm")[F.lit(r["tag"])], F.lit(0.0))
+        sc = F.lit(float(np.log(tn / total))) + F.log((nw + 1) / F.lit(tn + vw)) + F.log((ns + 1) / F.lit(tn + vs))
+        return F.struct(F.round(-sc, places).alias("neg"), F.lit(r["tag"]).alias("tag"))
+
+    ranked = F.slice(F.array_sort(F.array(*[tag_score(r) for r in tags])), 1, top_k_tags)
+    out = t.select("row_id", "pos", F.posexplode(ranked).alias("i", "c"))
+    return out.select("row_id", "pos", F.col("c.tag").alias("tag"), (-F.col("c.neg")).alias("score"), (F.col("i") + 1).cast("bigint").alias("rank"))
 
 
 def bio_spans(tagged: DataFrame, id_col: str = "row_id") -> DataFrame:

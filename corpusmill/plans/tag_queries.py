@@ -6,6 +6,7 @@ O) in B-/I- form, which is what the tagger learns and is scored against."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from corpusmill.functions.pii import RULES
@@ -120,7 +121,7 @@ TRAIN = f"{q.bucket(23, 'doc_id')} < 800000"
 
 
 def _train_rows(spark, sf):
-    a = aligned(spark, sf)
+    a = aligned(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
     return a.filter(prep.hash_bucket("doc_id", 23) < 800_000), a.filter(prep.hash_bucket("doc_id", 23) >= 800_000)
 
 
