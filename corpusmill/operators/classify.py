@@ -65,10 +65,24 @@ def _fit(terms: DataFrame, lab: DataFrame, weight: float) -> CountModel:
     return CountModel(tc, cc).persist()
 
 
+def _fit_rows(rows: DataFrame, term_rows: DataFrame, weight: float) -> CountModel:
+    """Counts from (label) rows and (label, term) rows of the same table: no join
+    back to the label, one pass over the terms (class lengths are sums of the
+    term counts)."""
+    w = F.lit(weight)
+    tc = term_rows.groupBy("label", "term").agg((F.count(F.lit(1)) * w).cast("double").alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    docs = rows.groupBy("label").agg((F.count(F.lit(1)) * w).cast("double").alias("docs"))
+    lens = tc.groupBy("label").agg(F.sum("n").alias("len"))
+    cc = docs.join(lens, "label", "left").select("label", "docs", F.coalesce("len", F.lit(0.0)).alias("len"))
+    return CountModel(tc, cc.persist(StorageLevel.MEMORY_AND_DISK))
+
+
 def fit_text(df: DataFrame, id_col: str, text_col: str, label_col: str, weight: float = 1.0) -> CountModel:
     """M1: term counts per class.  Rows without any token still count as documents."""
-    lab = df.select(F.col(id_col).alias("row_id"), F.col(label_col).cast("string").alias("label"))
-    return _fit(doc_terms(df, id_col, text_col), lab, weight)
+    lab = F.col(label_col).cast("string").alias("label")
+    rows = df.select(lab)
+    term_rows = df.select(lab, F.explode_outer(tokens(text_col)).alias("term")).filter(F.col("term").isNotNull())
+    return _fit_rows(rows, term_rows, weight)
 
 
 def merge(a: CountModel, b: CountModel, weight: float = 1.0) -> CountModel:
@@ -167,9 +181,10 @@ def tabular_terms(df: DataFrame, id_col: str, feature_cols: dict) -> DataFrame:
 
 
 def fit_tabular(df: DataFrame, id_col: str, feature_cols: dict, label_col: str) -> CountModel:
-    """M4: count-based model on binned numbers and categories."""
-    t = tabular_terms(df, id_col, feature_cols).join(df.select(F.col(id_col).alias("row_id"), F.col(label_col).alias("label")), "row_id")
-    return fit_terms(t, "label")
+    """M4: count-based model on binned numbers and categories (label kept in the row)."""
+    arr = F.array(*[F.concat(F.lit(f"{n}="), F.coalesce(c.cast("string"), F.lit("?"))) for n, c in feature_cols.items()])
+    lab = F.col(label_col).cast("string").alias("label")
+    return _fit_rows(df.select(lab), df.select(lab, F.explode(arr).alias("term")), 1.0)
 
 
 def predict_tabular(model: CountModel, df: DataFrame, id_col: str, feature_cols: dict, k: int = 1) -> DataFrame:

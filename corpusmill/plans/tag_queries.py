@@ -86,7 +86,8 @@ def rag_context_redacted(spark, sf):
 def silver(spark, sf):
     d = load(spark, sf, "documents").select("doc_id", "text")
     ws = F.filter(F.split("text", r"\s+"), lambda x: x != "")
-    kinds = F.transform(ws, lambda t: F.when(t.rlike(EMAIL_RE), "EMAIL").when(t.rlike("[0-9]"), "NUM").otherwise("O"))
+    # The e-mail pattern only runs on tokens holding an "@".
+    kinds = F.transform(ws, lambda t: F.when(t.contains("@") & t.rlike(EMAIL_RE), "EMAIL").when(t.rlike("[0-9]"), "NUM").otherwise("O"))
     d = d.withColumn("_k", kinds)
     bio = F.transform(
         "_k",
@@ -121,8 +122,11 @@ TRAIN = f"{q.bucket(23, 'doc_id')} < 800000"
 
 
 def _train_rows(spark, sf):
-    a = aligned(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    return a.filter(prep.hash_bucket("doc_id", 23) < 800_000), a.filter(prep.hash_bucket("doc_id", 23) >= 800_000)
+    # Split documents before aligning, so the hash is taken once per document, not per token.
+    s = silver(spark, sf).withColumn("_train", prep.hash_bucket("doc_id", 23) < 800_000)
+    good, _bad = fx.align_tags(s, "doc_id", "text", "tags", TAGS, "O", keep=["_train"])
+    good = good.persist(StorageLevel.MEMORY_AND_DISK)
+    return good.filter("_train").drop("_train"), good.filter(~F.col("_train")).drop("_train")
 
 
 @register("tagger_word_counts", f"WITH {SILVER_SQL} SELECT lower(token) AS token, tag, count(*)::DOUBLE AS n FROM rw WHERE {TRAIN} GROUP BY 1, 2")
