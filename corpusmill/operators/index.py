@@ -60,25 +60,22 @@ def _field_weights(fields) -> dict[str, float]:
 def _postings_and_lengths(corpus: DataFrame, id_col: str, weights: dict[str, float]):
     toks = {f: tokens(F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in weights}
     dl = sum((F.size(t).cast("double") * F.lit(w) for (f, t), w in zip(toks.items(), weights.values())), F.lit(0.0))
-    def tag(t, w):
-        # transform() passes the index to a two-argument lambda, so bind w here.
-        return F.transform(t, lambda x: F.struct(x.alias("term"), F.lit(w).alias("w")))
-
-    weighted = F.flatten(F.array(*[tag(t, weights[f]) for f, t in toks.items()]))
     base = spread(corpus.select(F.col(id_col).cast("bigint").alias("doc_id"), *[F.col(f) for f in weights]), "doc_id")
-    base = base.select("doc_id", dl.alias("dl"), weighted.alias("tw"))
+    base = base.select("doc_id", dl.alias("dl"), *[t.alias(f"_t{i}") for i, t in enumerate(toks.values())])
     doc_len = base.select("doc_id", "dl")
+    # One exploded stream per field, weight as a literal; explode_outer + null
+    # filter, because plain explode makes the optimizer add a size(tokens) > 0
+    # filter that tokenises every document a second time.
+    parts = [
+        base.select("doc_id", "dl", F.explode_outer(f"_t{i}").alias("term"), F.lit(w).alias("w")).filter(F.col("term").isNotNull())
+        for i, w in enumerate(weights.values())
+    ]
+    exploded = parts[0]
+    for p in parts[1:]:
+        exploded = exploded.unionByName(p)
     # dl is a function of doc_id, so grouping by it costs nothing and keeps it
     # beside every posting: search never joins back to doc_len.
-    postings = (
-        # explode_outer + null filter: plain explode makes the optimizer add a
-        # size(tokens) > 0 filter that tokenises every document a second time.
-        base.select("doc_id", "dl", F.explode_outer("tw").alias("p"))
-        .filter(F.col("p").isNotNull())
-        .groupBy("doc_id", F.col("p.term").alias("term"), "dl")
-        .agg(F.sum("p.w").alias("tf"))
-        .select("doc_id", "term", "tf", "dl")
-    )
+    postings = exploded.groupBy("doc_id", "term", "dl").agg(F.sum("w").alias("tf")).select("doc_id", "term", "tf", "dl")
     return postings, doc_len
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.pii import CHECKS, RULES
 from corpusmill.operators.prep import sentences
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 
 from corpusmill.operators.topk import top_k  # noqa: F401
@@ -188,3 +189,38 @@ def extraction_stats(df: DataFrame, file_col: str = "source", id_col: str = "doc
     return df.select(file_col, id_col, F.size(sentences(text_col)).alias("_n")).groupBy(file_col).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("_n").cast("bigint").alias("n_sentences")
     )
+
+
+def decode(model: TaggerModel, tokens_df: DataFrame, id_col: str = "row_id") -> DataFrame:
+    """N4 sequence decode: Viterbi over emission scores (``tag`` with every tag
+    ranked) plus add-one transition log-probabilities from N3's (previous tag,
+    tag) counts.  One group per row (its tokens: bounded by the row), decoded
+    in numpy by ``applyInPandas``.  Returns (row_id, pos, tag)."""
+    tags = [r["tag"] for r in model.tag_counts.orderBy("tag").collect()]
+    n = len(tags)
+    idx = {t: i for i, t in enumerate(tags)}
+    trans = np.ones((n + 1, n))  # row n = sentence start
+    for r in model.trans.collect():  # at most (tags + 1) x tags rows
+        if r["tag"] in idx:
+            trans[idx.get(r["prev_tag"], n), idx[r["tag"]]] += r["n"]
+    log_t = np.log(trans / trans.sum(axis=1, keepdims=True))
+    em = tag(model, tokens_df, n, id_col).groupBy("row_id", "pos").agg(
+        F.map_from_entries(F.collect_list(F.struct("tag", "score"))).alias("em")
+    )
+
+    def viterbi(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        e = np.array([[m.get(t, -1e9) if isinstance(m, dict) else dict(m).get(t, -1e9) for t in tags] for m in pdf["em"]])
+        best = log_t[n] + e[0]
+        back = np.zeros((len(e), n), dtype=np.int64)
+        for i in range(1, len(e)):
+            cand = best[:, None] + log_t[:n]
+            back[i] = cand.argmax(axis=0)
+            best = cand.max(axis=0) + e[i]
+        path = [int(best.argmax())]
+        for i in range(len(e) - 1, 0, -1):
+            path.append(int(back[i][path[-1]]))
+        path.reverse()
+        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "pos": pdf["pos"].to_numpy(), "tag": [tags[j] for j in path]})
+
+    return em.groupBy("row_id").applyInPandas(viterbi, "row_id long, pos long, tag string")

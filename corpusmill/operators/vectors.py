@@ -88,3 +88,82 @@ def dense(sparse: DataFrame, dim: int, id_col: str = "doc_id") -> DataFrame:
     """Sparse long form to a fixed-width array<double> (at most ``dim`` entries per row)."""
     g = sparse.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("dim", "value"))).alias("_m"))
     return g.select(id_col, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0))).alias("vector"))
+
+
+# ---- D15: bucketed (approximate) neighbours ------------------------------------------------
+
+def _hyperplanes(dim: int, n_tables: int, n_bits: int, seed: int) -> np.ndarray:
+    """Random hyperplanes (Charikar 2002), fixed by the seed."""
+    return np.random.default_rng(seed).standard_normal((n_tables, n_bits, dim))
+
+
+def _signatures(df: DataFrame, id_col: str, vec: str, planes: np.ndarray, role: str) -> DataFrame:
+    """(id, v, table, sig) with one sign-bit signature per table, computed in numpy per Arrow batch."""
+    n_tables, n_bits, _ = planes.shape
+    weights = (1 << np.arange(n_bits)).astype(np.int64)
+
+    def sig(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            m = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+            for t in range(n_tables):
+                bits = (m @ planes[t].T) >= 0
+                yield pd.DataFrame({"id": pdf["id"].to_numpy(), "v": pdf["v"], "tbl": t, "sig": bits.astype(np.int64) @ weights})
+
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v"))
+    return src.mapInPandas(sig, "id long, v array<double>, tbl int, sig long").withColumn("role", F.lit(role))
+
+
+def knn_approx(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_id", v_id: str = "vec_id", vec: str = "embedding",
+               n_tables: int = 8, n_bits: int = 4, block: int = 2048, seed: int = 7, exclude_self: bool = True) -> DataFrame:
+    """Neighbours among vectors sharing a sign-bit bucket in any table.
+
+    A bucket is cut into a grid of query blocks x vector blocks of at most
+    ``block`` rows each (block counts come from the bucket sizes), so a hot
+    bucket spreads over many tasks and no group exceeds 2 x block rows; each
+    block pair emits only its own top k per query."""
+    dim = len(vectors.select(vec).first()[0])
+    planes = _hyperplanes(dim, n_tables, n_bits, seed)
+    qs = _signatures(queries, q_id, vec, planes, "q")
+    vs = _signatures(vectors, v_id, vec, planes, "v")
+    sizes = (
+        qs.unionByName(vs).groupBy("tbl", "sig")
+        .agg(F.sum((F.col("role") == "q").cast("long")).alias("nq"), F.sum((F.col("role") == "v").cast("long")).alias("nv"))
+        .select("tbl", "sig", F.greatest(F.ceil(F.col("nq") / block), F.lit(1)).alias("bq"), F.greatest(F.ceil(F.col("nv") / block), F.lit(1)).alias("bv"))
+    )
+    sizes = F.broadcast(sizes)  # one row per (table, signature): at most n_tables * 2**n_bits rows
+    h = lambda c: F.pmod(F.xxhash64(c), F.col("_n"))  # noqa: E731 - block assignment only, never compared to an oracle
+    qb = qs.join(sizes, ["tbl", "sig"]).withColumn("_n", F.col("bq")).select(
+        "id", "v", "tbl", "sig", "role", h("id").alias("qblk"), F.explode(F.sequence(F.lit(0), F.col("bv") - 1)).alias("vblk")
+    )
+    vb = vs.join(sizes, ["tbl", "sig"]).withColumn("_n", F.col("bv")).select(
+        "id", "v", "tbl", "sig", "role", F.explode(F.sequence(F.lit(0), F.col("bq") - 1)).alias("qblk"), h("id").alias("vblk")
+    )
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        q = pdf[pdf["role"] == "q"]
+        v = pdf[pdf["role"] == "v"]
+        if q.empty or v.empty:
+            return pd.DataFrame({"query_id": [], "doc_id": [], "raw": []})
+        qm = np.stack(q["v"].to_numpy()).astype(np.float64)
+        vm = np.stack(v["v"].to_numpy()).astype(np.float64)
+        qm /= np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-300)
+        vm /= np.maximum(np.linalg.norm(vm, axis=1, keepdims=True), 1e-300)
+        sims = qm @ vm.T
+        qids, vids = q["id"].to_numpy(), v["id"].to_numpy()
+        if exclude_self:
+            sims[qids[:, None] == vids[None, :]] = -np.inf
+        r = np.round(sims, 6)
+        out_q, out_v, out_s = [], [], []
+        for i in range(len(qids)):
+            order = np.lexsort((vids, -r[i]))[:k]
+            order = order[np.isfinite(r[i][order])]
+            out_q.append(np.full(len(order), qids[i]))
+            out_v.append(vids[order])
+            out_s.append(sims[i][order])
+        return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_v), "raw": np.concatenate(out_s)})
+
+    pairs = qb.unionByName(vb).groupBy("tbl", "sig", "qblk", "vblk").applyInPandas(score, "query_id long, doc_id long, raw double")
+    best = pairs.groupBy("query_id", "doc_id").agg(F.round(F.max("raw"), 6).alias("score"))
+    return top_k_by_score(best, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")

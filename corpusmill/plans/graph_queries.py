@@ -272,3 +272,20 @@ def reformulate_recall(spark, sf):
     noisy, hits = _reform(spark, sf)
     truth = noisy.select("query_id", F.col("source").alias("doc_id"))
     return ev.recall_at_k(hits.select("query_id", F.col("target").alias("doc_id"), "rank"), truth, 3)
+
+
+# ---- D15: bucketed neighbours, measured against D14 (rows-only: random hyperplanes) ----------------
+
+@register("knn_approx_embeddings")
+def knn_approx_embeddings(spark, sf):
+    e = load(spark, sf, "embeddings")
+    return vx.knn_approx(e, e, 10)
+
+
+@register("knn_approx_recall")
+def knn_approx_recall(spark, sf):
+    """Share of the exact top 10 (D14) that the bucketed search finds."""
+    e = load(spark, sf, "embeddings")
+    exact = vx.knn(e, e, 10)
+    approx = vx.knn_approx(e, e, 10)
+    return ev.recall_at_k(approx, exact.select("query_id", "doc_id"), 10)

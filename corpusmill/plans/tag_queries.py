@@ -224,3 +224,19 @@ def sentences_documents(spark, sf):
 )
 def extraction_stats(spark, sf):
     return tg.extraction_stats(load(spark, sf, "documents"))
+
+
+@register("tag_tokens_decoded")
+def tag_tokens_decoded(spark, sf):
+    """N4 with sequence decoding (rows-only: the decode runs in numpy per document)."""
+    tr, te = _train_rows(spark, sf)
+    m = tg.fit_tagger(tr, "doc_id")
+    return tg.decode(m, te.select(F.col("doc_id").alias("row_id"), "pos", "token")).withColumnRenamed("row_id", "doc_id")
+
+
+@register("tag_decoded_accuracy")
+def tag_decoded_accuracy(spark, sf):
+    tr, te = _train_rows(spark, sf)
+    m = tg.fit_tagger(tr, "doc_id")
+    d = tg.decode(m, te.select(F.col("doc_id").alias("row_id"), "pos", "token")).withColumnRenamed("row_id", "doc_id")
+    return ev.token_accuracy(d, te, ["doc_id", "pos"])

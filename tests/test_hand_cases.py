@@ -214,3 +214,23 @@ def test_linear_model_learns_quality(spark, sf):
 
     auc = linear_quality_auc(spark, MID).first()["roc_auc"]
     assert auc > 0.5
+
+
+def test_viterbi_uses_transitions(spark):
+    # "I-PER" only ever follows "B-PER": an ambiguous word after a B-PER word decodes as I-PER.
+    rows = []
+    for r in range(20):
+        rows += [(r, 0, "Anna", "B-PER"), (r, 1, "Lee", "I-PER"), (r, 2, "lee", "O"), (r, 3, "runs", "O")]
+    m = tg.fit_tagger(spark.createDataFrame(rows, "row_id long, pos long, token string, tag string"))
+    t = spark.createDataFrame([(1, 0, "Anna"), (1, 1, "Lee"), (1, 2, "runs")], "row_id long, pos long, token string")
+    got = [r["tag"] for r in tg.decode(m, t).orderBy("pos").collect()]
+    assert got == ["B-PER", "I-PER", "O"]
+
+
+def test_knn_approx_recall_above_half(spark):
+    e = load(spark, MID, "embeddings")
+    exact = vx.knn(e, e, 10)
+    approx = vx.knn_approx(e, e, 10)
+    from corpusmill.operators import evaluate as ev
+
+    assert ev.recall_at_k(approx, exact.select("query_id", "doc_id"), 10).first()[0] > 0.5
