@@ -29,7 +29,7 @@ def get_session(cpus: int | str = "*", app: str = "corpusmill", shuffle_partitio
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CORPUSMILL_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.ansi.enabled", "false")
+        .config("spark.sql.ansi.enabled", os.environ.get("CORPUSMILL_ANSI", "true"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
