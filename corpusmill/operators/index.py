@@ -240,11 +240,11 @@ def with_index(index: Index, **changes) -> Index:
 def containing_docs(index: Index, docs: DataFrame, items: DataFrame, item_id: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, doc_id) for every document whose text contains an item's whole text.
 
-    Candidates come from an equi-join on the item's rarest *interior* token
-    (first and last tokens may be cut words inside a document); each candidate
-    is then verified with ``instr``.  Items with fewer than three tokens have no
-    interior token; they are few and short, so they are size-checked and
-    broadcast against the documents."""
+    Items with three or more tokens: candidates from an equi-join on the item's
+    rarest *interior* token (first and last tokens may be cut words inside a
+    document), each verified with ``instr``.  Items with fewer tokens have no
+    such key; they are size-checked, compiled into one Aho-Corasick automaton,
+    broadcast, and every document partition is scanned for them (exact, no join)."""
     it = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text_col).alias("item_text"))
     toks = tokens("item_text")
     inner = it.filter(F.size(toks) >= 3).select(
@@ -260,8 +260,44 @@ def containing_docs(index: Index, docs: DataFrame, items: DataFrame, item_id: st
     cand = index.postings.select("doc_id", "term").join(bounded_broadcast(rarest), "term").select("item_id", "item_text", "doc_id")
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text_col).alias("doc_text"))
     found = cand.join(d, "doc_id").filter(F.instr("doc_text", F.col("item_text")) > 0).select("item_id", "doc_id")
-    short = it.filter(F.size(toks) < 3)
-    short_found = (
-        d.join(bounded_broadcast(short, 10_000), F.instr(F.col("doc_text"), F.col("item_text")) > 0).select("item_id", "doc_id")
-    )
-    return found.unionByName(short_found)
+    short = it.filter(F.size(toks) < 3).filter(F.length("item_text") > 0)
+    if short.count() == 0:
+        return found
+    return found.unionByName(_scan_for_items(d, short))
+
+
+MAX_SCAN_ITEMS = 1_000_000
+
+
+def _scan_for_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Exact substring search for many short items in one pass per document partition."""
+    import ahocorasick
+
+    rows = items.limit(MAX_SCAN_ITEMS + 1).collect()
+    if len(rows) > MAX_SCAN_ITEMS:
+        raise ValueError("too many short items to broadcast as one automaton")
+    by_text: dict[str, list[int]] = {}
+    for r in rows:
+        by_text.setdefault(r["item_text"], []).append(int(r["item_id"]))
+    bc = docs.sparkSession.sparkContext.broadcast(by_text)
+
+    def scan(batches):
+        import pandas as pd
+
+        auto = ahocorasick.Automaton()
+        for txt, ids in bc.value.items():
+            auto.add_word(txt, ids)
+        auto.make_automaton()
+        for pdf in batches:
+            out_i, out_d = [], []
+            for doc_id, text in zip(pdf["doc_id"], pdf["doc_text"]):
+                if not isinstance(text, str):
+                    continue
+                hit = set()
+                for _, ids in auto.iter(text):
+                    hit.update(ids)
+                out_i.extend(hit)
+                out_d.extend([doc_id] * len(hit))
+            yield pd.DataFrame({"item_id": out_i, "doc_id": out_d}, dtype="int64")
+
+    return docs.mapInPandas(scan, "item_id long, doc_id long")

@@ -177,12 +177,17 @@ def cold_start_pairs(corpus: DataFrame, id_col: str, strong: str | None, weak: s
 
 def lm_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", target_role: str = "assistant") -> DataFrame:
     """For every target-role turn: context = the turn two back, prompt = the
-    turn before, target = this turn; tokens concatenated, labels 1 only on target tokens."""
-    w = Window.partitionBy(conv).orderBy(turn)
-    t = turns.select(
+    turn before, target = this turn; tokens concatenated, labels 1 only on target tokens.
+
+    The two previous turns come from the chunked look-back (``last_k_before``),
+    so one very long conversation is still split into bounded groups."""
+    from corpusmill.operators.ordered import last_k_before
+
+    h = last_k_before(turns.select(conv, turn, role, text), conv, [turn], 2, text, out="_prev")
+    t = h.select(
         conv, turn, role,
-        tokens(F.lag(text, 2).over(w)).alias("c"),
-        tokens(F.lag(text, 1).over(w)).alias("p"),
+        tokens(F.when(F.size("_prev") == 2, F.col("_prev")[0])).alias("c"),
+        tokens(F.when(F.size("_prev") >= 1, F.element_at("_prev", -1))).alias("p"),
         tokens(text).alias("y"),
     ).filter(F.col(role) == target_role)
     c = F.coalesce("c", F.array().cast("array<string>"))

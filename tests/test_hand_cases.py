@@ -234,3 +234,12 @@ def test_knn_approx_recall_above_half(spark):
     from corpusmill.operators import evaluate as ev
 
     assert ev.recall_at_k(approx, exact.select("query_id", "doc_id"), 10).first()[0] > 0.5
+
+
+def test_containment_truth_short_and_long_items(spark):
+    docs = spark.createDataFrame(
+        [(1, "the quick brown fox jumps"), (2, "xquick brownish"), (3, "nothing here")], "doc_id long, text string"
+    )
+    items = spark.createDataFrame([(10, "quick brown"), (11, "k brown fox ju"), (12, "own"), (13, "zzz")], "item_id long, text string")
+    got = sorted(tuple(r) for r in ix.containing_docs(ix.build_index(docs), docs, items).collect())
+    assert got == [(10, 1), (10, 2), (11, 1), (12, 1), (12, 2)]
