@@ -74,9 +74,9 @@ def fetch_hits(spark, sf):
 
 
 @register("containment_truth", TRUTH_SQL)
-def containment_truth(spark, sf):
+def containment_truth(spark, sf, idx=None):
     docs = load(spark, sf, "documents")
-    idx = ix.build_index(docs, "doc_id", "text")
+    idx = idx or ix.build_index(docs, "doc_id", "text")
     return ix.containing_docs(idx, docs, load(spark, sf, "benchmark")).select(F.col("item_id").alias("query_id"), "doc_id")
 
 
@@ -89,7 +89,8 @@ def containment_truth(spark, sf):
         FROM tq LEFT JOIN ok ON tq.query_id = ok.query_id""",
 )
 def search_precision_at_1(spark, sf):
-    return ev.precision_at_1(bm25_search(spark, sf), containment_truth(spark, sf))
+    idx = doc_index(spark, sf)
+    return ev.precision_at_1(ix.search(idx, bench_queries(spark, sf), K), containment_truth(spark, sf, idx))
 
 
 @register(
@@ -100,4 +101,5 @@ def search_precision_at_1(spark, sf):
         SELECT round(avg(r), 6) AS recall_at_k FROM per_q""",
 )
 def search_recall_at_5(spark, sf):
-    return ev.recall_at_k(bm25_search(spark, sf), containment_truth(spark, sf), K)
+    idx = doc_index(spark, sf)
+    return ev.recall_at_k(ix.search(idx, bench_queries(spark, sf), K), containment_truth(spark, sf, idx), K)
