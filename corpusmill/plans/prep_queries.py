@@ -290,3 +290,37 @@ def union_sources(spark, sf):
     pd = html.html_to_corpus(load(spark, sf, "pages")).select("doc_id", F.col("title").alias("text"))
     bm = load(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return sc.union_sources([load(spark, sf, "documents"), bm, pd])
+
+
+# ---- S5, S6: write derived files, read them back ---------------------------------------------
+
+@register(
+    "examples_jsonl_round_trip",
+    """SELECT prompt, context, target FROM (
+         SELECT role, text AS target, lag(text, 1) OVER w AS prompt, lag(text, 2) OVER w AS context
+         FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'assistant'""",
+)
+def examples_jsonl_round_trip(spark, sf):
+    """Prompt / context / target lines built from the conversations, written as
+    JSON lines and read back with the declared schema (bad lines set aside)."""
+    from corpusmill.operators.ordered import last_k_before
+
+    c = load(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    h = last_k_before(c, "conv_id", ["turn"], 2, "text", out="_prev")
+    ex = h.filter(F.col("role") == "assistant").select(
+        F.when(F.size("_prev") >= 1, F.element_at("_prev", -1)).alias("prompt"),
+        F.when(F.size("_prev") == 2, F.col("_prev")[0]).alias("context"),
+        F.col("text").alias("target"),
+    )
+    path = f"{ensure_checkpoint_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    ex.write.json(path)
+    good, _bad = files.read_examples_jsonl(spark, path)
+    return good
+
+
+@register("read_lines_documents", f"SELECT unnest(string_split(text, {NL})) AS line FROM documents")
+def read_lines_documents(spark, sf):
+    """Documents written as plain text, read back one row per line."""
+    path = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    load(spark, sf, "documents").select("text").write.text(path)
+    return files.read_lines(spark, path).select("line")
