@@ -3,6 +3,7 @@ and metrics (E1, E4, E5, E7) on the driver tables."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from corpusmill.operators import classify as cl
@@ -335,7 +336,7 @@ def _tabular_sql(k: int):
 def _tabular_model(spark, sf):
     li = load(spark, sf, "lineitem").withColumn("row_id", li_row_id()).withColumn(
         "label", F.when(F.col("l_returnflag") == "R", "1").otherwise("0")
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # the row hash feeds both fitting and scoring
     feats = _li_features()
     tr = li.filter(prep.hash_bucket("row_id", 21) < 800_000)
     return li, feats, cl.fit_tabular(tr, "row_id", feats, "label")
