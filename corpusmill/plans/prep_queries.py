@@ -324,3 +324,17 @@ def read_lines_documents(spark, sf):
     path = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
     load(spark, sf, "documents").select("text").write.text(path)
     return files.read_lines(spark, path).select("line")
+
+
+@register(
+    "json_records_lookup",
+    f"""SELECT p.doc_id, p.title, g.url FROM ({q.page_docs()}) p JOIN pages g ON g.page_id = p.doc_id""",
+)
+def json_records_lookup(spark, sf):
+    """Page urls stored as JSON arrays keyed by page id, read back and used
+    as a lookup (join by key) for the page documents."""
+    path = f"{ensure_checkpoint_dir(spark)}/records-{uuid.uuid4().hex}"
+    files.write_json_records(load(spark, sf, "pages").select("page_id", "url"), path, "page_id")
+    recs = files.read_json_records(spark, path, "page_id", "page_id long, url string")
+    docs = html.html_to_corpus(load(spark, sf, "pages")).select("doc_id", "title")
+    return docs.join(recs.select(F.col("key").alias("doc_id"), "url"), "doc_id")

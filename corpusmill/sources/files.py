@@ -61,3 +61,13 @@ def read_json_records(spark: SparkSession, path: str, key: str, schema: T.Struct
         r = r.schema(schema)
     df = r.json(path)
     return df.select(F.col(key).alias("key"), *[c for c in df.columns if c != key])
+
+
+def write_json_records(df: DataFrame, path: str, key: str, rows_per_file: int = 50_000) -> None:
+    """S7 writer: JSON arrays of records, one array per file.  Rows are cut into
+    hash buckets sized from the row count, so no file (and no group) grows with
+    the table."""
+    n = max(1, -(-df.count() // rows_per_file))
+    b = F.pmod(F.xxhash64(F.col(key)), F.lit(n)).alias("_bucket")
+    arrays = df.groupBy(b).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arrays.write.partitionBy("_bucket").text(path)
