@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import text_of, words_of
+from corpusmill.llm.common import fenced, text_of, words_of
 
 WINDOW = 8
 
@@ -84,7 +84,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     dup = lines - F.size(F.array_distinct("_l"))
     return base.select(
         "doc_id", *keep,
-        n.cast("long").alias("n_words"),
+        fenced(n.cast("long")).alias("n_words"),
         word_chars.cast("long").alias("word_chars"),
         symbols.cast("long").alias("n_symbols"),
         dup.cast("long").alias("n_dup_lines"),
