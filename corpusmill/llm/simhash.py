@@ -6,10 +6,12 @@ exceeds the bit distance of the fingerprints, so it is a lower bound.  Counts ar
 kept as thermometer codes (0, 1, 2 as 00, 01, 11): then one step on the grid is one
 bit and the Manhattan distance is the bit count of an XOR.
 
-Range-join: fingerprints within ``max_bits`` (up to 5) lie at most that many grid
-steps apart, so in one half of the embedding at most two.  Points two steps apart
-share a grid point one step from both: each point visits, in each half, the cells
-within one step, and the points that meet in a cell are the candidates.
+Range-join: the embedding is cut into a side of FIRST segments and a shorter one.
+Fingerprints within four bits lie at most two grid steps apart on the first side or
+at most one on the second (within five: two on either; within three: one).  Points
+two steps apart share a grid point one step from both, and points one step apart
+share one that is the home of either: each point visits the cells within one step,
+and the points that meet in a cell are the candidates.
 
 A cell's members are checked exactly: first the lower bound, then the bit distance.
 A cell yields a spanning forest of its links, never all its pairs; a cell of many
@@ -35,6 +37,8 @@ from corpusmill.llm.common import attach, materialise, run_of
 # A cell is checked in blocks of about so many members; cells of up to SMALL members
 # compare all pairs; a hot cell's members meet its size under so many salts.
 BLOCK, SMALL, SALTS = 4096, 32, 16
+# Segments of the first side of the grid, of 32 in all.
+FIRST = 17
 LOW = 0x5555555555555555
 
 
@@ -80,18 +84,21 @@ def thermometer(fp: Column) -> Column:
 
 
 def _cells(points: DataFrame) -> DataFrame:
-    """(fp, side, cell): the grid points within one step of each embedding, in
-    each half.  Setting or clearing one bit is a step if the code stays valid."""
-    halves = points.select("fp", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).alias("half")),
-        F.struct(F.lit(1).alias("side"), F.shiftrightunsigned("code", 32).alias("half")),
+    """(fp, side, cell, home): the grid points within one step of each embedding, on
+    each side; ``home`` marks the point itself.  Setting or clearing one bit is a
+    step if the code stays valid."""
+    sides = points.select("fp", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("code").bitwiseAND(F.lit((1 << 2 * FIRST) - 1).cast("long")).alias("half")),
+        F.struct(F.lit(1).alias("side"), F.shiftrightunsigned("code", 2 * FIRST).alias("half")),
     )).alias("x")).select("fp", "x.side", "x.half")
-    low, high = [F.lit(1 << (2 * i)).cast("long") for i in range(16)], [F.lit(2 << (2 * i)).cast("long") for i in range(16)]
-    has = lambda bit: F.col("half").bitwiseAND(bit) != 0
-    moved = [F.when(~has(hi), F.col("half").bitwiseXOR(lo)) for lo, hi in zip(low, high)]  # 0 <-> 1
-    moved += [F.when(has(lo), F.col("half").bitwiseXOR(hi)) for lo, hi in zip(low, high)]  # 1 <-> 2
-    cells = halves.select("fp", "side", F.explode(F.array(F.col("half"), *moved)).alias("cell"))
-    return cells.where(F.col("cell").isNotNull())
+    moved = []
+    for i in range(FIRST):
+        low, high = F.lit(1 << 2 * i).cast("long"), F.lit(2 << 2 * i).cast("long")
+        there = F.lit(True) if i < 32 - FIRST else F.col("side") == 0
+        moved.append(F.when(there & (F.col("half").bitwiseAND(high) == 0), F.col("half").bitwiseXOR(low)))  # 0 <-> 1
+        moved.append(F.when(there & (F.col("half").bitwiseAND(low) != 0), F.col("half").bitwiseXOR(high)))  # 1 <-> 2
+    cells = sides.select("fp", "side", "half", F.explode(F.array(F.col("half"), *moved)).alias("cell")).where(F.col("cell").isNotNull())
+    return cells.select("fp", "side", "cell", (F.col("cell") == F.col("half")).alias("home"))
 
 
 def _codes(fps: np.ndarray) -> np.ndarray:
@@ -148,8 +155,10 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     if max_bits > 5:
         raise ValueError("the grid has cells for up to 5 differing bits")
     cells = _cells(prints.select("fp", thermometer(F.col("fp")).alias("code")))
-    sizes = cells.groupBy("side", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    sizes = materialise(sizes.where("n > 1"))
+    sizes = cells.groupBy("side", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("home"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+    # on a side with a range of one step, one point of a pair is at home in the cell
+    far = F.when(F.col("side") == 0, max_bits > 3).otherwise(max_bits > 4)
+    sizes = materialise(sizes.where((F.col("n") > 1) & (far | F.col("home"))))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     bound = F.bit_count(thermometer(F.col("a")).bitwiseXOR(thermometer(F.col("b")))) <= max_bits
     pairs = sizes.where((F.col("n") == 2) & bound & near).select("a", "b")
