@@ -155,22 +155,29 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     if max_bits > 5:
         raise ValueError("the grid has cells for up to 5 differing bits")
     cells = _cells(prints.select("fp", thermometer(F.col("fp")).alias("code")))
-    sizes = cells.groupBy("side", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("home"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+    sizes = cells.groupBy("side", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("home"), F.min("fp").alias("a"), F.max("fp").alias("b"), F.bit_xor("fp").alias("x"))
     # on a side with a range of one step, one point of a pair is at home in the cell
     far = F.when(F.col("side") == 0, max_bits > 3).otherwise(max_bits > 4)
     sizes = materialise(sizes.where((F.col("n") > 1) & (far | F.col("home"))))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    bound = F.bit_count(thermometer(F.col("a")).bitwiseXOR(thermometer(F.col("b")))) <= max_bits
-    pairs = sizes.where((F.col("n") == 2) & bound & near).select("a", "b")
-
-    salt = F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")
-    crowded = sizes.where("n > 2").select("side", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    crowded = crowded.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    members = cells.withColumn("salt", salt).join(crowded, ["side", "cell", "salt"])
-    members = members.withColumn("i", F.pmod(F.xxhash64("fp", "side"), F.col("blocks")).cast("int"))
-    members = members.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # two or three members are known from the smallest, the largest and the XOR of all
+    a, b, c = F.col("a"), F.col("b"), F.when(F.col("n") == 3, F.col("a").bitwiseXOR(F.col("b")).bitwiseXOR(F.col("x")))
+    both_ways = F.array(*[F.struct(p.alias("a"), q.alias("b")) for p, q in ((a, b), (a, c), (b, c))])
+    close = F.filter(both_ways, lambda p: (
+        F.bit_count(thermometer(p["a"]).bitwiseXOR(thermometer(p["b"]))) <= max_bits) & (F.bit_count(p["a"].bitwiseXOR(p["b"])) <= max_bits))
+    pairs = sizes.where("n <= 3").select(F.explode(close).alias("p")).select("p.a", "p.b")
+
+    # a cell of up to BLOCK members is one group; a larger one meets its size under
+    # SALTS keys and is checked block by block
+    crowded = sizes.where("n > 3").select("side", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = cells.join(crowded.where("blocks = 1"), ["side", "cell"]).select("side", "cell", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp")
+    hot = crowded.where("blocks > 1")
+    if hot.limit(1).count():
+        salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = cells.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")).join(salted, ["side", "cell", "salt"])
+        dealt = dealt.withColumn("i", F.pmod(F.xxhash64("fp", "side"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        members = members.unionByName(dealt.select("side", "cell", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "fp"))
     key = ["side", "cell", "i", "j"]
-    members = members.select("side", "cell", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "fp")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Groups lie together; the last one of a batch waits for the next batch."""
