@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import exact, maxent, mixing, packing, pii, quality, simhash, tokens, urls, warc
+from corpusmill.llm import exact, maxent, mixing, oracles, packing, pii, quality, simhash, tokens, urls, warc
 from corpusmill.llm.common import table
 
 LIMIT, END_ID = 1024, 2
@@ -82,4 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_url_filter, op10_exact_dedup, pipeline,
     )
 }
-ORACLES: dict[str, str] = {}
+# Tests hold the other operators against brute force.
+ORACLES: dict[str, str] = {
+    "op5_quality": oracles.quality_rules(), "op7_warc": oracles.warc(), "op10_exact_dedup": oracles.exact_dedup(),
+}
