@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import tokens
-from corpusmill.operators.topk import top_k  # noqa: F401
 from corpusmill.session import bounded_broadcast
 
 MAX_DENSE_CLASSES = 10_000  # classes scored for every row (checked, then a literal array)
@@ -120,15 +119,8 @@ def _explode_classes(rows, names: list[str]):
     return F.explode(F.array(*[F.struct(*[F.lit(r[i]).alias(nm) for i, nm in enumerate(names)]) for r in rows])).alias("_c")
 
 
-def predict_terms(model: CountModel, terms: DataFrame, rows: DataFrame, k: int = 1, places: int = 4) -> DataFrame:
-    """M2 on (row_id, term, cnt): (row_id, label, score, prob, rank) for the top k classes.
-
-    One shuffle: each known term carries its per-class ln(n + 1) (a map bounded
-    by the class count, joined from the model; broadcast after a size check),
-    every row gathers its own terms with one ``groupBy(row_id)`` (a row's terms
-    are bounded by the row), and all classes are scored, normalised and ranked
-    inside the row.  ``rows`` lists every row to score (rows without a known
-    term get the prior)."""
+def _scoring_tables(model: CountModel) -> tuple[list, DataFrame]:
+    """The classes (label, prior, norm) and (term, m): per-class ln(n + 1) of each term."""
     tc = model.term_counts.filter(F.col("n") > 0)
     v_size = tc.select("term").distinct().count()
     n_docs = model.class_counts.agg(F.sum("docs")).first()[0] or 0.0
@@ -138,7 +130,19 @@ def predict_terms(model: CountModel, terms: DataFrame, rows: DataFrame, k: int =
         ).orderBy("label"),
         ["label", "prior", "norm"],
     )
-    weights = tc.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("label", F.log(F.col("n") + 1)))).alias("m"))
+    return classes, tc.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("label", F.log(F.col("n") + 1)))).alias("m"))
+
+
+def predict_terms(model: CountModel, terms: DataFrame, rows: DataFrame, k: int = 1, places: int = 4) -> DataFrame:
+    """M2 on (row_id, term, cnt): (row_id, label, score, prob, rank) for the top k classes.
+
+    One shuffle: each known term carries its per-class ln(n + 1) (a map bounded
+    by the class count, joined from the model; broadcast after a size check),
+    every row gathers its own terms with one ``groupBy(row_id)`` (a row's terms
+    are bounded by the row), and all classes are scored, normalised and ranked
+    inside the row.  ``rows`` lists every row to score (rows without a known
+    term get the prior)."""
+    classes, weights = _scoring_tables(model)
     known = terms.join(bounded_broadcast(weights), "term").select("row_id", "cnt", "m")
     empty = rows.select("row_id", F.lit(None).cast("double").alias("cnt"), F.lit(None).cast(weights.schema["m"].dataType).alias("m"))
     per_row = known.unionByName(empty).groupBy("row_id").agg(
@@ -146,22 +150,29 @@ def predict_terms(model: CountModel, terms: DataFrame, rows: DataFrame, k: int =
         F.filter(F.collect_list(F.struct("cnt", "m")), lambda x: x["m"].isNotNull()).alias("ev"),
     )
 
+    return _rank_classes(per_row, ["row_id"], classes, k, places)
+
+
+def _rank_classes(per_row: DataFrame, keep: list[str], classes: list, k: int, places: int = 4) -> DataFrame:
+    """Scores, normalises and ranks the classes inside each row, from its number of
+    known terms ``L`` and its evidence ``ev`` (cnt, m)."""
+
     def class_score(c):
         bonus = F.aggregate("ev", F.lit(0.0), lambda acc, x: acc + x["cnt"] * F.coalesce(x["m"][F.lit(c["label"])], F.lit(0.0)))
         s = F.lit(float(c["prior"])) - F.col("L") * F.lit(float(c["norm"])) + bonus
         return F.struct(F.lit(c["label"]).alias("label"), F.round(s, places).alias("score"))
 
-    scored = per_row.select("row_id", F.array(*[class_score(c) for c in classes]).alias("s"))
+    scored = per_row.select(*keep, F.array(*[class_score(c) for c in classes]).alias("s"))
     mx = F.array_max(F.transform("s", lambda x: x["score"]))
-    scored = scored.select("row_id", "s", mx.alias("mx")).select(
-        "row_id", "s", F.aggregate("s", F.lit(0.0), lambda acc, x: acc + F.exp(x["score"] - F.col("mx"))).alias("z"), "mx"
+    scored = scored.select(*keep, "s", mx.alias("mx")).select(
+        *keep, "s", F.aggregate("s", F.lit(0.0), lambda acc, x: acc + F.exp(x["score"] - F.col("mx"))).alias("z"), "mx"
     )
     ranked = F.slice(
         F.array_sort(F.transform("s", lambda x: F.struct((-x["score"]).alias("neg"), x["label"].alias("label"), x["score"].alias("score")))), 1, k
     )
-    out = scored.select("row_id", "mx", "z", F.posexplode(ranked).alias("pos", "c"))
+    out = scored.select(*keep, "mx", "z", F.posexplode(ranked).alias("pos", "c"))
     return out.select(
-        "row_id", F.col("c.label").alias("label"), F.col("c.score").alias("score"),
+        *keep, F.col("c.label").alias("label"), F.col("c.score").alias("score"),
         F.round(F.exp(F.col("c.score") - F.col("mx")) / F.col("z"), 6).alias("prob"), (F.col("pos") + 1).cast("bigint").alias("rank"),
     )
 
@@ -173,22 +184,30 @@ def predict(model: CountModel, df: DataFrame, id_col: str, text_col: str, k: int
 
 # ---- M4: tabular rows as "column=value" tokens ------------------------------------
 
-def tabular_terms(df: DataFrame, id_col: str, feature_cols: dict) -> DataFrame:
-    """Unpivot declared feature columns to (row_id, term, cnt); ``feature_cols``
-    maps a name to a Column already binned / coded (F2, F3)."""
-    arr = F.array(*[F.concat(F.lit(f"{n}="), F.coalesce(c.cast("string"), F.lit("?"))) for n, c in feature_cols.items()])
-    return df.select(F.col(id_col).alias("row_id"), F.explode(arr).alias("term")).withColumn("cnt", F.lit(1.0))
+def _tabular_terms(feature_cols: dict) -> list:
+    """``feature_cols`` maps a name to a Column already binned / coded."""
+    return [F.concat(F.lit(f"{n}="), F.coalesce(c.cast("string"), F.lit("?"))) for n, c in feature_cols.items()]
 
 
-def fit_tabular(df: DataFrame, id_col: str, feature_cols: dict, label_col: str) -> CountModel:
+def fit_tabular(df: DataFrame, feature_cols: dict, label_col: str) -> CountModel:
     """M4: count-based model on binned numbers and categories (label kept in the row)."""
-    arr = F.array(*[F.concat(F.lit(f"{n}="), F.coalesce(c.cast("string"), F.lit("?"))) for n, c in feature_cols.items()])
+    arr = F.array(*_tabular_terms(feature_cols))
     lab = F.col(label_col).cast("string").alias("label")
     return _fit_rows(df.select(lab), df.select(lab, F.explode(arr).alias("term")), 1.0)
 
 
-def predict_tabular(model: CountModel, df: DataFrame, id_col: str, feature_cols: dict, k: int = 1) -> DataFrame:
-    return predict_terms(model, tabular_terms(df, id_col, feature_cols), df.select(F.col(id_col).alias("row_id")), k)
+def predict_tabular(model: CountModel, df: DataFrame, keep: list[str], feature_cols: dict, k: int = 1) -> DataFrame:
+    """Top k classes of every row, with its columns ``keep``.  Each feature looks its
+    weights up in the model's table and the row adds them: rows need no id, and
+    equal rows are scored each by itself."""
+    classes, weights = _scoring_tables(model)
+    rows, found = df.select(*keep, *[t.alias(f"_t{i}") for i, t in enumerate(_tabular_terms(feature_cols))]), []
+    weights = bounded_broadcast(weights.persist(StorageLevel.MEMORY_AND_DISK))
+    for i in range(len(feature_cols)):
+        rows = rows.join(weights.select(F.col("term").alias(f"_t{i}"), F.col("m").alias(f"_m{i}")), f"_t{i}", "left")
+        found.append(F.struct(F.lit(1.0).alias("cnt"), F.col(f"_m{i}").alias("m")))
+    rows = rows.select(*keep, F.filter(F.array(*found), lambda x: x["m"].isNotNull()).alias("ev"))
+    return _rank_classes(rows.withColumn("L", F.size("ev").cast("double")), keep, classes, k)
 
 
 # ---- M9: several labels per row, one-against-rest ---------------------------------

@@ -73,14 +73,15 @@ class FeatureSpec:
             c = F.col(name)
             if isinstance(t, Numerical):
                 lo, hi = t.range
-                bad = c.isNull() | (c.cast("double") < lo) | (c.cast("double") > hi)
+                v = c.try_cast("double")
+                bad = v.isNull() | (v < lo) | (v > hi)
             elif isinstance(t, Categorical) and t.type == "int":
-                code = c.cast("bigint")
+                code = c.try_cast("bigint")
                 bad = code.isNull() | (code < 0)
                 if t.n_classes is not None:
                     bad = bad | (code >= t.n_classes)
             elif isinstance(t, Date):
-                bad = c.isNull() | F.to_date(c.cast("string")).isNull()
+                bad = c.cast("string").try_cast("date").isNull()
             else:
                 bad = c.isNull()
             out.append(F.sum(bad.cast("bigint")).alias(name))
@@ -88,7 +89,8 @@ class FeatureSpec:
 
 
 def validate(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """one counting pass; (column, violations) per declared column."""
+    """one counting pass; (column, violations) per declared column.  A value
+    that cannot be read as its declared type is a violation."""
     spec.check_columns(df)
     wide = df.agg(*spec.violation_exprs())
     names = list(spec.types)

@@ -22,6 +22,7 @@ from dataclasses import dataclass, replace
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusmill.functions.text import round_score, stable_hash, tokens
 from corpusmill.operators.topk import top_k, top_k_by_score
@@ -60,7 +61,9 @@ def _field_weights(fields) -> dict[str, float]:
 def _postings_and_lengths(corpus: DataFrame, id_col: str, weights: dict[str, float]):
     toks = {f: tokens(F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in weights}
     dl = sum((F.size(t).cast("double") * F.lit(w) for (f, t), w in zip(toks.items(), weights.values())), F.lit(0.0))
-    base = spread(corpus.select(F.col(id_col).cast("bigint").alias("doc_id"), *[F.col(f) for f in weights]), "doc_id")
+    # a composite id stays a struct: it groups, joins and orders like any id
+    doc_id = F.col(id_col) if isinstance(corpus.schema[id_col].dataType, StructType) else F.col(id_col).cast("bigint")
+    base = spread(corpus.select(doc_id.alias("doc_id"), *[F.col(f) for f in weights]), "doc_id")
     base = base.select("doc_id", dl.alias("dl"), *[t.alias(f"_t{i}") for i, t in enumerate(toks.values())])
     doc_len = base.select("doc_id", "dl")
     # One exploded stream per field, weight as a literal; explode_outer + null

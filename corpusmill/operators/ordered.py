@@ -73,17 +73,16 @@ def last_k_before(df: DataFrame, key: str, order, k: int, values, chunk_rows: in
 
     A plain window partitioned by key sends a hot key's rows to one task.  Here
     rows get global positions (``dense_ids``), are cut into chunks of
-    ``chunk_rows`` positions, and the last k rows of each chunk are copied into
-    the next chunk as a halo; the window then runs per (key, chunk), so no
-    group exceeds chunk_rows + k rows whatever the key skew."""
+    ``chunk_rows`` positions, and each row is copied, as a halo, into every later
+    chunk that holds one of the k positions after it; the window then runs per
+    (key, chunk), so no group exceeds chunk_rows + k rows whatever the key skew."""
     order = [order] if isinstance(order, str) else list(order)
     values = [values] if isinstance(values, str) else list(values)
     g = dense_ids(df, [key, *order], "_g")
-    g = g.withColumn("_chunk", F.floor(F.col("_g") / F.lit(chunk_rows)).cast("bigint")).withColumn("_halo", F.lit(False))
-    halo = g.filter(F.col("_g") % F.lit(chunk_rows) >= F.lit(chunk_rows - k)).withColumn("_chunk", F.col("_chunk") + 1).withColumn(
-        "_halo", F.lit(True)
-    )
-    both = g.unionByName(halo)
+    g = g.withColumn("_chunk", F.expr(f"_g div {int(chunk_rows)}")).withColumn("_halo", F.lit(False))
+    reach = F.expr(f"(_g + {int(k)}) div {int(chunk_rows)}")
+    halo = g.filter(reach > F.col("_chunk")).withColumn("_chunk", F.explode(F.sequence(F.col("_chunk") + 1, reach)))
+    both = g.unionByName(halo.withColumn("_halo", F.lit(True)))
     item = F.struct(*[F.col(v) for v in values]) if len(values) > 1 else F.col(values[0])
     w = Window.partitionBy(key, "_chunk").orderBy("_g").rowsBetween(-k, -1)
     return both.withColumn(out, F.collect_list(item).over(w)).filter(~F.col("_halo")).drop("_g", "_chunk", "_halo")

@@ -137,8 +137,8 @@ def noisy_queries(df: DataFrame, text_col: str, id_col: str, copies: int = 2) ->
     before = F.substr(s, F.lit(1), pos - 1)
     at = F.substr(s, pos, F.lit(1))
     nxt = F.substr(s, pos + 1, F.lit(1))
-    after1 = F.substr(s, pos + 1, F.lit(1000000))
-    after2 = F.substr(s, pos + 2, F.lit(1000000))
+    after1 = F.substr(s, pos + 1)
+    after2 = F.substr(s, pos + 2)
     noisy = (
         F.when(L < 2, s)
         .when(op == 0, F.concat(before, after1))

@@ -13,17 +13,10 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 
-from corpusmill.operators.topk import top_k  # noqa: F401
 from corpusmill.session import bounded_broadcast
 
 
-def _masker(kind: str):
-    # Lambdas given to Spark's higher-order functions must take exactly the
-    # element arguments, so the kind is bound here rather than as a default.
-    def f(acc, m):
-        return F.replace(acc, m, F.lit(f"[{kind}]"))
-
-    return f
+WORD = r"[\p{L}\p{N}_]"
 
 
 def _as_find(kind: str):
@@ -43,20 +36,23 @@ def _mask_chain(df: DataFrame, text_col: str) -> DataFrame:
     for i, (kind, pat, check) in enumerate(RULES):
         found = F.regexp_extract_all(F.col(cur), F.lit(pat), 0)
         if check:
-            found = F.filter(found, CHECKS[check])
-        df = df.withColumn(f"_f{i}", found)
-        if check:
-            nxt = F.aggregate(F.col(f"_f{i}"), F.col(cur), _masker(kind))
+            # the text between the matches, with each match put back or masked in its place
+            matches = F.transform(found, lambda m: F.struct(m.alias("m"), CHECKS[check](m).alias("ok")))  # noqa: B023
+            df = df.withColumn("_matches", matches).withColumn(f"_f{i}", F.transform(F.filter("_matches", lambda x: x["ok"]), lambda x: x["m"]))
+            put = F.transform("_matches", lambda x: F.when(x["ok"], F.lit(f"[{kind}]")).otherwise(x["m"]))  # noqa: B023
+            nxt = F.array_join(F.zip_with(F.split(F.col(cur), pat, -1), F.concat(put, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
         else:
+            df = df.withColumn(f"_f{i}", found)
             nxt = F.regexp_replace(F.col(cur), pat, f"[{kind}]")
-        df = df.withColumn(f"_t{i + 1}", nxt).drop(cur)
+        df = df.withColumn(f"_t{i + 1}", nxt).drop(cur, "_matches")
         cur = f"_t{i + 1}"
     return df.withColumnRenamed(cur, "_masked")
 
 
 def detect_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gazetteer: DataFrame | None = None) -> DataFrame:
     """(id, kind, value) for every find; pattern kinds in rule order, then
-    locations from a gazetteer (single-word names matched as whole words)."""
+    locations from a gazetteer (names of any number of words, whole words with one
+    space between them)."""
     m = _mask_chain(df.select(id_col, text_col), text_col)
     arr = F.concat(*[F.transform(F.col(f"_f{i}"), _as_find(kind)) for i, (kind, _, _) in enumerate(RULES)])
     out = m.select(F.col(id_col), F.explode(arr).alias("f")).select(id_col, "f.kind", "f.value")
@@ -66,14 +62,40 @@ def detect_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ga
 
 
 def gazetteer_finds(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, kind: str = "LOCATION") -> DataFrame:
-    names = bounded_broadcast(gazetteer.select(F.col(gazetteer.columns[0]).alias("value")).distinct())
-    words = df.select(F.col(id_col), F.explode(F.regexp_extract_all(F.col(text_col), F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("value"))
-    return words.join(names, "value").select(id_col, F.lit(kind).alias("kind"), "value")
+    """(id, kind, value) per occurrence of a name.  Word groups up to the longest
+    name's number of words are joined with the names."""
+    names = gazetteer.select(F.col(gazetteer.columns[0]).alias("value")).distinct()
+    longest = names.agg(F.max(F.size(F.split("value", " ")))).first()[0] or 1
+    runs = F.split(F.col(text_col), r"[^\p{L}\p{N}_ ]+| {2,}", -1)  # words with one space between them
+    run = df.select(F.col(id_col), F.explode(runs).alias("run")).select(id_col, F.split(F.trim("run"), " ").alias("w"))
+    groups = [
+        F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))  # noqa: B023
+        if n > 1 else F.col("w")
+        for n in range(1, longest + 1)
+    ]
+    some = [F.when(F.size("w") >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(groups, 1)]
+    words = run.select(F.col(id_col), F.explode(F.concat(*some)).alias("value"))
+    return words.join(bounded_broadcast(names), "value").select(id_col, F.lit(kind).alias("kind"), "value")
+
+
+def _mask_places(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame) -> DataFrame:
+    """Masks the names that ``gazetteer_finds`` found in each text, longest first."""
+    found = gazetteer_finds(df.select(id_col, text_col), id_col, text_col, gazetteer)
+    per_row = found.groupBy(F.col(id_col).alias("_id")).agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False).alias("_v"))
+    out = df.join(per_row, df[id_col].eqNullSafe(per_row["_id"]), "left")
+    pattern = F.concat(
+        F.lit(f"(?<!{WORD})(?:"), F.array_join(F.transform("_v", lambda x: F.concat(F.lit("\\Q"), x["value"], F.lit("\\E"))), "|"), F.lit(f")(?!{WORD})")
+    )
+    masked = F.when(F.col("_v").isNull(), F.col(text_col)).otherwise(F.regexp_replace(F.col(text_col), pattern, F.lit("[LOCATION]")))
+    return out.withColumn(text_col, masked).drop("_id", "_v")
 
 
-def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Replace each pattern find with [KIND], in the rule order."""
+def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gazetteer: DataFrame | None = None) -> DataFrame:
+    """Replace each pattern find with [KIND], in the rule order, then the
+    gazetteer's names, where one is given, with [LOCATION]."""
     m = _mask_chain(df, text_col)
+    if gazetteer is not None:
+        m = _mask_places(m, id_col, "_masked", gazetteer)
     return m.withColumn(text_col, F.col("_masked")).drop("_masked", *[f"_f{i}" for i in range(len(RULES))])
 
 
@@ -100,16 +122,16 @@ def _persisted(*tables: DataFrame) -> TaggerModel:
 
 def fit_tagger(tagged: DataFrame, id_col: str = "row_id", weight: float = 1.0) -> TaggerModel:
     """Counts of (word, tag), (shape, tag), (previous tag, tag) from aligned rows
-    (id, pos, token, tag).  The previous tag comes from a self-join on pos - 1
-    (no window over a whole row)."""
+    (id, pos, token, tag).  The previous tag comes from a window over the row's own
+    tokens: one exchange by row, and none where the rows lie together already."""
     t = tagged.select(F.col(id_col).alias("row_id"), "pos", F.lower("token").alias("token"), shape(F.col("token")).alias("shape"), "tag")
-    prev = tagged.select(F.col(id_col).alias("row_id"), (F.col("pos") + 1).alias("pos"), F.col("tag").alias("prev_tag"))
+    before = Window.partitionBy("row_id").orderBy("pos")
+    prev_tag = F.when(F.lag("pos").over(before) == F.col("pos") - 1, F.lag("tag").over(before))
     w = F.lit(weight)
     return _persisted(
         t.groupBy("token", "tag").agg((F.count(F.lit(1)) * w).alias("n")),
         t.groupBy("shape", "tag").agg((F.count(F.lit(1)) * w).alias("n")),
-        t.join(prev, ["row_id", "pos"], "left")
-        .select(F.coalesce("prev_tag", F.lit("<s>")).alias("prev_tag"), "tag")
+        t.select(F.coalesce(prev_tag, F.lit("<s>")).alias("prev_tag"), "tag")
         .groupBy("prev_tag", "tag")
         .agg((F.count(F.lit(1)) * w).alias("n")),
         t.groupBy("tag").agg((F.count(F.lit(1)) * w).alias("n")),

@@ -13,60 +13,64 @@ from corpusmill.functions.text import stable_hash
 from corpusmill.operators.index import Index, idf_expr
 from corpusmill.operators.topk import top_k_by_score
 
-# Largest query matrix shipped to every task (rows x dims, float64).
-MAX_QUERY_VALUES = 50_000_000
-QUERY_BLOCK = 1024
+# Rows of a block of the comparison grid.
+BLOCK, LEAST_BLOCK = 4096, 256
+
+
+def _blocks(n: int, tasks: int) -> int:
+    """Blocks to cut n rows into: at most BLOCK rows each, and enough to spread."""
+    return max(1, -(-n // BLOCK), min(-(-n // LEAST_BLOCK), int(tasks**0.5)))
+
+
+def _grid_best(qs: DataFrame, vs: DataFrame, keys: list[str], k: int, exclude_self: bool) -> DataFrame:
+    """(query_id, doc_id, raw): the top k vectors of every query in each pair of a
+    query block and a vector block with equal ``keys``.  Both sides have id, v, the
+    keys and the block counts bq and bv; a row goes to its own block of its side and
+    to every block of the other."""
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("long")  # noqa: E731 - block assignment only, never compared to an oracle
+    other = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
+    qb = qs.select("id", "v", *keys, F.lit(True).alias("is_query"), own("bq").alias("qblk"), other("bv").alias("vblk"))
+    vb = vs.select("id", "v", *keys, F.lit(False).alias("is_query"), other("bq").alias("qblk"), own("bv").alias("vblk"))
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        q, v = pdf[pdf["is_query"]], pdf[~pdf["is_query"]]
+        if q.empty or v.empty:
+            return pd.DataFrame({"query_id": [], "doc_id": [], "raw": []})
+        qm = np.stack(q["v"].to_numpy()).astype(np.float64)
+        vm = np.stack(v["v"].to_numpy()).astype(np.float64)
+        qm /= np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-300)
+        vm /= np.maximum(np.linalg.norm(vm, axis=1, keepdims=True), 1e-300)
+        qids, vids = q["id"].to_numpy(), v["id"].to_numpy()
+        out_q, out_v, out_s = [], [], []
+        for s in range(0, len(qids), LEAST_BLOCK):
+            ids = qids[s : s + LEAST_BLOCK]
+            sims = qm[s : s + LEAST_BLOCK] @ vm.T
+            if exclude_self:
+                sims[ids[:, None] == vids[None, :]] = -np.inf
+            r = np.round(sims, 6)
+            for i in range(len(ids)):
+                order = np.lexsort((vids, -r[i]))[:k]
+                order = order[np.isfinite(r[i][order])]
+                out_q.append(np.full(len(order), ids[i]))
+                out_v.append(vids[order])
+                out_s.append(sims[i][order])
+        return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_v), "raw": np.concatenate(out_s)})
+
+    return qb.unionByName(vb).groupBy(*keys, "qblk", "vblk").applyInPandas(score, "query_id long, doc_id long, raw double")
 
 
 def knn(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_id", v_id: str = "vec_id", vec: str = "embedding",
         exclude_self: bool = True) -> DataFrame:
-    """Exact cosine top-k for a size-checked table of query vectors.
-
-    The query matrix is broadcast; each task scores its slice of ``vectors`` in
-    numpy blocks and keeps only its own top k per query (never all pairs), then
-    a per-query top-k merges the task results."""
-    spark = vectors.sparkSession
-    qdf = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("v"))
-    n = qdf.count()
-    dim = len(qdf.first()["v"]) if n else 0
-    if n * max(dim, 1) > MAX_QUERY_VALUES:
-        raise ValueError("query vectors exceed the broadcast bound; split the query table")
-    rows = qdf.collect()
-    qids = np.array([r["qid"] for r in rows], dtype=np.int64)
-    qm = np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), dim)
-    qn = np.linalg.norm(qm, axis=1, keepdims=True)
-    qm = np.divide(qm, qn, out=np.zeros_like(qm), where=qn > 0)
-    bq = spark.sparkContext.broadcast((qids, qm))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_q, mat_q = bq.value
-        for pdf in batches:
-            if pdf.empty or len(ids_q) == 0:
-                continue
-            vids = pdf["vid"].to_numpy(dtype=np.int64)
-            vm = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            vn = np.linalg.norm(vm, axis=1, keepdims=True)
-            vm = np.divide(vm, vn, out=np.zeros_like(vm), where=vn > 0)
-            for s in range(0, len(ids_q), QUERY_BLOCK):
-                blk_ids = ids_q[s : s + QUERY_BLOCK]
-                sims = mat_q[s : s + QUERY_BLOCK] @ vm.T
-                if exclude_self:
-                    sims[blk_ids[:, None] == vids[None, :]] = -np.inf
-                r = np.round(sims, 6)
-                kk = min(k, len(vids))
-                out_q, out_v, out_s = [], [], []
-                for i in range(len(blk_ids)):
-                    order = np.lexsort((vids, -r[i]))[:kk]
-                    order = order[np.isfinite(r[i][order])]
-                    out_q.append(np.full(len(order), blk_ids[i]))
-                    out_v.append(vids[order])
-                    out_s.append(sims[i][order])
-                yield pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_v), "raw": np.concatenate(out_s)})
-
-    part = vectors.select(F.col(v_id).cast("long").alias("vid"), F.col(vec).cast("array<double>").alias("v")).mapInPandas(
-        score, "query_id long, doc_id long, raw double"
-    )
-    scored = part.select("query_id", "doc_id", F.round("raw", 6).alias("score"))
+    """Exact cosine top-k for a table of query vectors of any size.
+
+    Queries and vectors are cut into blocks; every pair of blocks is one group,
+    scored in numpy, that keeps its own top k per query (never all pairs), then a
+    per-query top-k merges the groups.  Only the two row counts reach the driver."""
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    qs, vs = (d.select(F.col(i).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")) for d, i in ((queries, q_id), (vectors, v_id)))
+    counts = {"bq": _blocks(queries.count(), tasks), "bv": _blocks(vectors.count(), tasks)}
+    qs, vs = (d.withColumns({n: F.lit(c) for n, c in counts.items()}) for d in (qs, vs))
+    scored = _grid_best(qs, vs, [], k, exclude_self).select("query_id", "doc_id", F.round("raw", 6).alias("score"))
     return top_k_by_score(scored, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
 
 
@@ -133,37 +137,6 @@ def knn_approx(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_
         .select("tbl", "sig", F.greatest(F.ceil(F.col("nq") / block), F.lit(1)).alias("bq"), F.greatest(F.ceil(F.col("nv") / block), F.lit(1)).alias("bv"))
     )
     sizes = F.broadcast(sizes)  # one row per (table, signature): at most n_tables * 2**n_bits rows
-    h = lambda c: F.pmod(F.xxhash64(c), F.col("_n"))  # noqa: E731 - block assignment only, never compared to an oracle
-    qb = qs.join(sizes, ["tbl", "sig"]).withColumn("_n", F.col("bq")).select(
-        "id", "v", "tbl", "sig", "role", h("id").alias("qblk"), F.explode(F.sequence(F.lit(0), F.col("bv") - 1)).alias("vblk")
-    )
-    vb = vs.join(sizes, ["tbl", "sig"]).withColumn("_n", F.col("bv")).select(
-        "id", "v", "tbl", "sig", "role", F.explode(F.sequence(F.lit(0), F.col("bq") - 1)).alias("qblk"), h("id").alias("vblk")
-    )
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf[pdf["role"] == "q"]
-        v = pdf[pdf["role"] == "v"]
-        if q.empty or v.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "raw": []})
-        qm = np.stack(q["v"].to_numpy()).astype(np.float64)
-        vm = np.stack(v["v"].to_numpy()).astype(np.float64)
-        qm /= np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-300)
-        vm /= np.maximum(np.linalg.norm(vm, axis=1, keepdims=True), 1e-300)
-        sims = qm @ vm.T
-        qids, vids = q["id"].to_numpy(), v["id"].to_numpy()
-        if exclude_self:
-            sims[qids[:, None] == vids[None, :]] = -np.inf
-        r = np.round(sims, 6)
-        out_q, out_v, out_s = [], [], []
-        for i in range(len(qids)):
-            order = np.lexsort((vids, -r[i]))[:k]
-            order = order[np.isfinite(r[i][order])]
-            out_q.append(np.full(len(order), qids[i]))
-            out_v.append(vids[order])
-            out_s.append(sims[i][order])
-        return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_v), "raw": np.concatenate(out_s)})
-
-    pairs = qb.unionByName(vb).groupBy("tbl", "sig", "qblk", "vblk").applyInPandas(score, "query_id long, doc_id long, raw double")
+    pairs = _grid_best(qs.join(sizes, ["tbl", "sig"]), vs.join(sizes, ["tbl", "sig"]), ["tbl", "sig"], k, exclude_self)
     best = pairs.groupBy("query_id", "doc_id").agg(F.round(F.max("raw"), 6).alias("score"))
     return top_k_by_score(best, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")

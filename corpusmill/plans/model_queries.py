@@ -3,7 +3,8 @@ and metrics (E1, E4, E5, E7) on the driver tables."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpusmill.operators import classify as cl
@@ -13,6 +14,8 @@ from corpusmill.operators import prep
 from corpusmill.operators.ordered import last_k_before
 from corpusmill.plans import sql as q
 from corpusmill.plans.registry import load, register
+from corpusmill.session import ensure_checkpoint_dir
+from corpusmill.sources import store
 
 # ---- features ---------------------------------------------------------------------
 
@@ -165,6 +168,15 @@ def nb_quality(spark, sf):
     return _nb_out(cl.predict(m, ld, "doc_id", "text", 1))
 
 
+@register("nb_saved_model", NB_QUALITY_SQL)
+def nb_saved_model(spark, sf):
+    """Train, store, reload, predict."""
+    ld = labelled_docs(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    store.save_model(cl.fit_text(train_part(ld), "doc_id", "text", "quality"), path)
+    return _nb_out(cl.predict(store.load_model(spark, path, cl.CountModel), ld, "doc_id", "text", 1))
+
+
 @register("nb_fine_tune", NB_QUALITY_SQL)
 def nb_fine_tune(spark, sf):
     """M5: fit on one half of the training rows, fine-tune on the other at weight 1 = joint fit."""
@@ -253,7 +265,7 @@ def compare_runs(spark, sf):
     m = cl.fit_text(tr, "doc_id", "text", "quality")
     p = cl.predict(m, test, "doc_id", "text", 1).select(F.col("row_id").alias("doc_id"), F.col("label").alias("pred"))
     top = tr.groupBy(F.col("quality").cast("string").alias("pred")).count().orderBy(F.desc("count"), "pred").limit(1).select("pred")
-    maj = test.select("doc_id").join(top, how="inner", on=F.lit(True)) if False else test.select("doc_id", F.lit(top.first()["pred"]).alias("pred"))
+    maj = test.select("doc_id", F.lit(top.first()["pred"]).alias("pred"))
     return ev.compare(
         {
             "naive_bayes": ev.categorical_accuracy(p, test, "doc_id", "pred", "quality"),
@@ -316,9 +328,8 @@ LI_ROW_SQL = q.shash(
 
 
 def li_row_id():
-    """lineitem has no key column and even (order, line, part, supplier) repeats
-    at small scales, so a row is named by a stable hash of all its values
-    (numbers in hundredths, the date as yyyymmdd)."""
+    """lineitem has no key column, so its split into parts goes by a stable hash of
+    all values of a row (numbers in hundredths, the date as yyyymmdd)."""
     parts = [F.col(c).cast("string") for c in ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]]
     parts += [F.round(F.col(c) * 100).cast("bigint").cast("string") for c in _CENTS]
     parts += [F.col("l_returnflag"), F.col("l_linestatus"),
@@ -327,26 +338,24 @@ def li_row_id():
 
 
 def _tabular_sql(k: int):
-    train = (f"SELECT {LI_ROW_SQL} AS row_id, CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END AS label, {_li_sql_terms()} AS text "
-             f"FROM lineitem WHERE {q.bucket(21, LI_ROW_SQL)} < 800000")
-    score = f"SELECT {LI_ROW_SQL} AS row_id, {_li_sql_terms()} AS text FROM lineitem"
-    return f"WITH {q.nb_ctes(train, score, lambda x: x)} {q.nb_top(k)}"
+    """Rows are numbered, so equal rows stay apart."""
+    train = (f"SELECT row_id, CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END AS label, {_li_sql_terms()} AS text "
+             f"FROM li WHERE {q.bucket(21, LI_ROW_SQL)} < 800000")
+    score = f"SELECT row_id, {_li_sql_terms()} AS text FROM li"
+    return f"""WITH li AS MATERIALIZED (SELECT row_number() OVER () AS row_id, * FROM lineitem), {q.nb_ctes(train, score, lambda x: x)}
+        SELECT li.l_orderkey, li.l_linenumber, li.l_returnflag, p.label, p.score, p.prob FROM ({q.nb_top(k)}) p JOIN li USING (row_id)"""
 
 
-def _tabular_model(spark, sf):
-    li = load(spark, sf, "lineitem").withColumn("row_id", li_row_id()).withColumn(
-        "label", F.when(F.col("l_returnflag") == "R", "1").otherwise("0")
-    ).persist(StorageLevel.MEMORY_AND_DISK)  # the row hash feeds both fitting and scoring
+def _tabular(spark, sf, k):
+    li = load(spark, sf, "lineitem")
     feats = _li_features()
-    tr = li.filter(prep.hash_bucket("row_id", 21) < 800_000)
-    return li, feats, cl.fit_tabular(tr, "row_id", feats, "label")
+    train = li.withColumn("_row", li_row_id()).filter(prep.hash_bucket("_row", 21) < 800_000).withColumn("label", F.when(F.col("l_returnflag") == "R", "1").otherwise("0"))
+    return cl.predict_tabular(cl.fit_tabular(train, feats, "label"), li, ["l_orderkey", "l_linenumber", "l_returnflag"], feats, k)
 
 
-@register("tabular_returnflag", f"SELECT row_id, label, score, prob FROM ({_tabular_sql(1)})")
+@register("tabular_returnflag", f"SELECT l_orderkey, l_linenumber, label, score, prob FROM ({_tabular_sql(1)})")
 def tabular_returnflag(spark, sf):
-    li, feats, m = _tabular_model(spark, sf)
-    p = cl.predict_tabular(m, li, "row_id", feats, 1)
-    return p.select("row_id", "label", "score", "prob")
+    return _tabular(spark, sf, 1).select("l_orderkey", "l_linenumber", "label", "score", "prob")
 
 
 @register(
@@ -364,16 +373,14 @@ def roc_auc_discount(spark, sf):
 @register(
     "roc_auc_tabular",
     f"""WITH p AS ({_tabular_sql(2)}),
-            j AS (SELECT p.prob AS s, CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM p JOIN lineitem l ON p.row_id = {LI_ROW_SQL} WHERE p.label = '1'),
+            j AS (SELECT prob AS s, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM p WHERE label = '1'),
             g AS (SELECT s, sum(y)::DOUBLE AS pos, sum(1 - y)::DOUBLE AS neg FROM j GROUP BY s),
             r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM g)
        SELECT round(sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS roc_auc FROM r""",
 )
 def roc_auc_tabular(spark, sf):
-    li, feats, m = _tabular_model(spark, sf)
-    p = cl.predict_tabular(m, li, "row_id", feats, 2).filter(F.col("label") == "1")
-    truth = li.select("row_id", (F.col("l_returnflag") == "R").cast("int").alias("y"))
-    return ev.roc_auc(p.join(truth, "row_id"), "prob", "y")
+    p = _tabular(spark, sf, 2).filter(F.col("label") == "1")
+    return ev.roc_auc(p.select("prob", (F.col("l_returnflag") == "R").cast("int").alias("y")), "prob", "y")
 
 
 # ---- MLlib (M3) -----------------------------------------------------------------------------

@@ -123,9 +123,9 @@ b AS (SELECT doc_id, title AS source, c AS copy FROM pd, (SELECT unnest(range(0,
 h AS (SELECT *, length(source) AS L, ({h} % greatest(length(source), 1)) + 1 AS pos, ({h} >> 20) % 3 AS op FROM b)
 SELECT doc_id, copy::BIGINT AS copy, source,
   CASE WHEN L < 2 THEN source
-       WHEN op = 0 THEN substring(source, 1, pos - 1) || substring(source, pos + 1, 1000000)
-       WHEN op = 1 AND pos < L THEN substring(source, 1, pos - 1) || substring(source, pos + 1, 1) || substring(source, pos, 1) || substring(source, pos + 2, 1000000)
-       ELSE substring(source, 1, pos - 1) || substring(source, pos, 1) || substring(source, pos, 1) || substring(source, pos + 1, 1000000) END AS noisy
+       WHEN op = 0 THEN substring(source, 1, pos - 1) || substring(source, pos + 1)
+       WHEN op = 1 AND pos < L THEN substring(source, 1, pos - 1) || substring(source, pos + 1, 1) || substring(source, pos, 1) || substring(source, pos + 2)
+       ELSE substring(source, 1, pos - 1) || substring(source, pos, 1) || substring(source, pos, 1) || substring(source, pos + 1) END AS noisy
 FROM h"""
 
 

@@ -5,12 +5,16 @@ an item is every document containing its whole text."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpusmill.operators import evaluate as ev
 from corpusmill.operators import index as ix
 from corpusmill.plans import sql as q
 from corpusmill.plans.registry import load, register
+from corpusmill.session import ensure_checkpoint_dir
+from corpusmill.sources import store
 
 K = 5
 
@@ -34,6 +38,23 @@ def bm25_search(spark, sf):
     return ix.search(doc_index(spark, sf), bench_queries(spark, sf), K)
 
 
+@register("save_load_search", BM25_SQL)
+def save_load_search(spark, sf):
+    """Index stored and reloaded."""
+    path = f"{ensure_checkpoint_dir(spark)}/index-{uuid.uuid4().hex}"
+    store.save_index(doc_index(spark, sf), path)
+    return ix.search(store.load_index(spark, path), bench_queries(spark, sf), K)
+
+
+@register("resumable_build", BM25_SQL)
+def resumable_build(spark, sf):
+    """A build that stops after three of eight buckets is taken up again."""
+    path = f"{ensure_checkpoint_dir(spark)}/index-{uuid.uuid4().hex}"
+    docs = load(spark, sf, "documents")
+    store.build_resumable(docs, path, stop_after=3)
+    return ix.search(store.build_resumable(docs, path), bench_queries(spark, sf), K)
+
+
 @register(
     "index_postings",
     f"""SELECT doc_id, term, count(*)::DOUBLE AS tf FROM (SELECT doc_id, unnest({q.tok('text')}) AS term FROM documents)

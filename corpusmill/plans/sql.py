@@ -145,13 +145,14 @@ def pii_chain(source: str, keep: str = "doc_id") -> str:
     ctes = [f"pc0 AS (SELECT {keep}, text AS t0 FROM ({source}))"]
     for i, (kind, pat, check) in enumerate(RULES):
         sp = pat.replace("'", "''")
-        found = f"regexp_extract_all(t{i}, '{sp}', 0)"
+        found = every = f"regexp_extract_all(t{i}, '{sp}', 0)"
         if check:
             fn = luhn if check == "luhn" else mod97
             found = f"list_filter({found}, lambda m: {fn('m')})"
         ctes.append(f"pf{i} AS (SELECT *, {found} AS f{i} FROM pc{i})")
         if check:
-            nxt = f"list_reduce(f{i}, lambda acc, m: replace(acc, m, '[{kind}]'), t{i})"
+            put = f"list_append(list_transform({every}, lambda m: CASE WHEN {fn('m')} THEN '[{kind}]' ELSE m END), '')"
+            nxt = f"array_to_string(list_transform(list_zip(regexp_split_to_array(t{i}, '{sp}'), {put}), lambda z: z[1] || z[2]), '')"
         else:
             nxt = f"regexp_replace(t{i}, '{sp}', '[{kind}]', 'g')"
         ctes.append(f"pc{i + 1} AS (SELECT * EXCLUDE (t{i}), {nxt} AS t{i + 1} FROM pf{i})")

@@ -6,6 +6,8 @@ O) in B-/I- form, which is what the tagger learns and is scored against."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from corpusmill.operators import tagging as tg
 from corpusmill.plans import sql as q
 from corpusmill.plans.registry import load, register
 from corpusmill.plans.search_queries import BENCH_TERMS, DOC_FIELDS, K, bench_queries, doc_index
+from corpusmill.session import ensure_checkpoint_dir
+from corpusmill.sources import store
 
 EMAIL_RE = RULES[0][1]
 N_RULES = len(RULES)
@@ -35,7 +39,10 @@ fx AS (SELECT doc_id, {' || '.join(f"list_transform(f{i}, lambda v: {{'kind': '{
 pat AS (SELECT doc_id, f.kind AS kind, f.value AS value FROM (SELECT doc_id, unnest(fs) AS f FROM fx)),
 gz AS (SELECT n_name AS value FROM nation UNION SELECT r_name FROM region),
 loc AS (SELECT w.doc_id, 'LOCATION' AS kind, w.value FROM
-        (SELECT doc_id, unnest(regexp_extract_all(masked, '[\\p{{L}}\\p{{N}}_]+', 0)) AS value FROM pm) w JOIN gz ON gz.value = w.value)
+        (SELECT doc_id, array_to_string(w[i : i + n - 1], ' ') AS value FROM
+          (SELECT doc_id, string_split(unnest(regexp_extract_all(masked, '[\\p{{L}}\\p{{N}}_]+(?: [\\p{{L}}\\p{{N}}_]+)*', 0)), ' ') AS w FROM pm) r,
+          (SELECT DISTINCT len(string_split(value, ' ')) AS n FROM gz) sz, unnest(range(1, len(w) - n + 2)) AS u(i)) w
+        JOIN gz ON gz.value = w.value)
 SELECT * FROM pat UNION ALL SELECT * FROM loc"""
 
 
@@ -76,8 +83,9 @@ SELECT b.item_id AS query_id,
 FROM benchmark b LEFT JOIN ctx ON ctx.query_id = b.item_id""",
 )
 def rag_context_redacted(spark, sf):
-    hits = ix.search(doc_index(spark, sf), bench_queries(spark, sf), K)
-    texts = tg.redact(load(spark, sf, "documents").select("doc_id", "text"))
+    hits = ix.search(doc_index(spark, sf), bench_queries(spark, sf), K).persist(StorageLevel.MEMORY_AND_DISK)
+    used = hits.filter("rank <= 3").select("doc_id").distinct()  # only these texts run through the rules
+    texts = tg.redact(load(spark, sf, "documents").select("doc_id", "text").join(used, "doc_id", "left_semi"))
     return fb.rag_context(hits, texts, bench_queries(spark, sf), 3)
 
 
@@ -145,6 +153,15 @@ def tagger_transitions(spark, sf):
     return tg.fit_tagger(tr, "doc_id").trans
 
 
+@register("tagger_saved_transitions", TRANS_SQL)
+def tagger_saved_transitions(spark, sf):
+    """Train, store, reload."""
+    tr, _ = _train_rows(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    store.save_model(tg.fit_tagger(tr, "doc_id"), path)
+    return store.load_model(spark, path, tg.TaggerModel).trans
+
+
 @register("tagger_fine_tuned_transitions", TRANS_SQL)
 def tagger_fine_tuned_transitions(spark, sf):
     """Fit on part of the rows, fine-tune on the rest = joint fit."""

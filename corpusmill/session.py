@@ -58,6 +58,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True if the folder or file is there; a store that cannot be reached raises."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-spread a scan that arrived in too few partitions (one row group per
     file loads as one task).  On a cluster the scan already has thousands of

@@ -37,16 +37,11 @@ def write_table(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite
 
 def read_examples_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Prompt / context / target JSON lines; returns (good, bad) where bad
-    rows keep the raw line."""
-    df = (
-        spark.read.schema(EXAMPLE_SCHEMA)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-    ).cache()  # Spark refuses queries on only the corrupt column of an uncached scan
-    good = df.filter(F.col("_corrupt").isNull() & F.col("target").isNotNull()).drop("_corrupt")
-    bad = df.filter(F.col("_corrupt").isNotNull() | F.col("target").isNull()).select(F.col("_corrupt").alias("raw"))
-    return good, bad
+    rows (not JSON, or without a target) keep the raw line; blank lines are skipped."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    rows = spark.read.text(path).filter(F.trim("value") != "").select("value", F.from_json("value", EXAMPLE_SCHEMA, options).alias("r"))
+    ok = F.col("r._corrupt").isNull() & F.col("r.target").isNotNull()
+    return rows.filter(ok).select("r.prompt", "r.context", "r.target"), rows.filter(~ok).select(F.col("value").alias("raw"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from dataclasses import fields as fields_of
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import stable_hash
 from corpusmill.operators.index import Index, build_index
+from corpusmill.session import path_exists
 
 N_BUCKETS = 64  # term buckets of stored postings
 
@@ -40,6 +42,24 @@ def load_index(spark: SparkSession, path: str) -> Index:
     )
 
 
+def save_model(model, path: str) -> None:
+    """Stores a trained model: the tables of a count model or tagger, each in a
+    folder of its own, or one table (transitions, reformulation pairs)."""
+    if isinstance(model, DataFrame):
+        model.write.mode("overwrite").parquet(path)
+        return
+    for f in fields_of(model):
+        getattr(model, f.name).write.mode("overwrite").parquet(f"{path}/{f.name}")
+
+
+def load_model(spark: SparkSession, path: str, kind: type | None = None):
+    """Reads back what ``save_model`` stored; ``kind`` is the model's class, or
+    None for one table."""
+    if kind is None:
+        return spark.read.parquet(path)
+    return kind(*[spark.read.parquet(f"{path}/{f.name}") for f in fields_of(kind)])
+
+
 def build_resumable(corpus: DataFrame, path: str, n_buckets: int = 8, resume: bool = True, fields="text", stop_after: int | None = None) -> Index:
     """Build per document-hash bucket; each finished bucket is committed by
     a manifest line written after its data, so a rerun with ``resume`` skips
@@ -48,11 +68,8 @@ def build_resumable(corpus: DataFrame, path: str, n_buckets: int = 8, resume: bo
     spark = corpus.sparkSession
     manifest = f"{path}/_manifest"
     done: set[int] = set()
-    if resume:
-        try:
-            done = {int(r[0]) for r in spark.read.text(manifest).collect()}  # at most n_buckets lines
-        except Exception:  # noqa: BLE001 - no manifest yet
-            done = set()
+    if resume and path_exists(spark, manifest):
+        done = {int(r[0]) for r in spark.read.text(manifest).collect()}  # at most n_buckets lines
     b = F.pmod(stable_hash(F.col("doc_id")), F.lit(n_buckets))
     built = 0
     for k in range(n_buckets):
@@ -64,6 +81,7 @@ def build_resumable(corpus: DataFrame, path: str, n_buckets: int = 8, resume: bo
         part.postings.write.mode("overwrite").parquet(f"{path}/postings/b={k}")
         part.doc_len.write.mode("overwrite").parquet(f"{path}/doc_len/b={k}")
         spark.createDataFrame([(str(k),)], "v string").write.mode("append").text(manifest)
+        part.postings.unpersist()
         built += 1
     postings = spark.read.parquet(f"{path}/postings").select("doc_id", "term", "tf", "dl")
     doc_len = spark.read.parquet(f"{path}/doc_len").select("doc_id", "dl")
