@@ -32,6 +32,7 @@ UNITS = re.compile(r" (?=\w)")
 SPACES = regex.compile(r"\s{2,}")
 PLAIN = re.compile(r"[\x00-\x1b\x20-\x7e¡-ɏ]*")
 CACHE = 400_000
+SHORT = (2, 1)
 
 
 def byte_symbols() -> dict[str, int]:
@@ -58,10 +59,16 @@ class PrefixCounter:
         self.text = {v: k for k, v in self.token.items()}
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.merge = {(vocab[a], vocab[b]): (i, vocab[a + b]) for i, (a, b) in enumerate(merges)}
-        self.longest = max(map(len, self.token))
+        # lengths of the tokens that end with three given bytes, longest first, then two and one
+        ends: dict[bytes, set[int]] = {}
+        for b in self.token:
+            if len(b) > 2:
+                ends.setdefault(b[-3:], set()).add(len(b))
+        self.ends = {b: (*sorted(sizes, reverse=True), *SHORT) for b, sizes in ends.items()}
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.splitter = Tokenizer.from_file(path).pre_tokenizer
         self.pair_ok: dict[tuple[int, int], bool] = {}
+        self.piece_totals: dict[str, int] = {}
         self.units: dict[str, int] = {}
         self.old_units: dict[str, int] = {}
 
@@ -85,15 +92,32 @@ class PrefixCounter:
 
     def counts(self, b: bytes) -> list[int]:
         """Token count of b[:i] for every i, for a piece that is split no further."""
-        last, count, token = [-1] * (len(b) + 1), [0] * (len(b) + 1), self.token
+        last, count, token, ends, known = [-1] * (len(b) + 1), [0] * (len(b) + 1), self.token, self.ends, self.pair_ok
         for i in range(1, len(b) + 1):
-            for j in range(max(0, i - self.longest), i):
-                t = token.get(b[j:i])
-                if t is not None and (not j and self.alone(t) or j and self.fits(last[j], t)):
+            for size in ends.get(b[i - 3 : i], SHORT) if i > 2 else SHORT:
+                j = i - size
+                t = token.get(b[j:i]) if j >= 0 else None
+                if t is None:
+                    continue
+                ok = known.get((last[j], t))  # nothing stands before a token at 0: -1
+                if ok is None:
+                    ok = self.fits(last[j], t) if j else self.alone(t)
+                if ok:
                     last[i], count[i] = t, count[j] + 1
                     break
         return count
 
+    def piece_total(self, piece: str) -> int:
+        """Cached count at the end of a piece: most pieces occur in many units."""
+        n = self.piece_totals.get(piece)
+        if n is None:
+            n = self.counts(piece.encode())[-1]
+            if len(piece) <= 64:
+                if len(self.piece_totals) > CACHE:
+                    self.piece_totals.clear()
+                self.piece_totals[piece] = n
+        return n
+
     def alone(self, t: int) -> bool:
         """True if the token's bytes encode to the token itself."""
         ok = self.pair_ok.get((-1, t))
@@ -127,7 +151,7 @@ class PrefixCounter:
     def unit_count(self, unit: str) -> int:
         if self.special and self.special.search(unit):
             return sum(self.unit_count(x) for x in self.special.split(unit)) + len(self.special.findall(unit))
-        return sum(self.counts(unit[s:e].encode())[-1] for s, e in self.pieces(unit))
+        return sum(self.piece_total(unit[s:e]) for s, e in self.pieces(unit))
 
     def totals(self, units: list[str]) -> list[int]:
         """Cached token counts of units.  Two generations bound the cache."""
