@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -25,39 +26,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import materialise
-from corpusmill.llm.tokens import CACHE, split_units
+from corpusmill.llm.tokens import CACHE, byte_symbols, split_units
 
 ITEM = "piece int, start long, length long, ids_crc32 long"
+# Within a unit a new piece also starts where punctuation follows a Latin letter or
+# a digit, and where a word follows a single line end.
+FINE = re.compile(r"(?<=[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])(?=[!-/:-@\[-^`{-~])|(?<=\S\n)(?=[A-Za-z0-9])")
+# A word that is one piece.
+WORD = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library.  Texts are cut where the
-    tokenizer always starts a new piece; the ids of such units are cached."""
+    tokenizer always starts a new piece; the ids of such units are cached.  A unit
+    that is not cached is put together from its finer parts, so that a known word
+    before new punctuation is not encoded again."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(specials) or "(?!)")
+        self.model = self.tokenizer.model
+        self.plain = self.tokenizer.normalizer is None and "ByteLevel" in str(self.tokenizer.pre_tokenizer)
+        self.symbols = {b: ord(c) for c, b in byte_symbols().items()}
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _parts(self, unit: str) -> list[str]:
+        return [unit] if self.special.search(unit) else FINE.split(unit)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word, which is one piece: the vocabulary's model alone is asked."""
+        return array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.symbols))]).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        units = [split_units(t) for t in texts]
-        known = {}
-        for u in set().union(*units):
-            b = self.new.get(u)
-            if b is None and (b := self.old.get(u)) is not None:
-                self.new[u] = b
-            known[u] = b
-        missing = [u for u, b in known.items() if b is None]
-        for u, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            known[u] = np.asarray(e.ids, "<u4").tobytes()
-            if len(u) <= 64:
-                self.new[u] = known[u]
-        if len(self.new) > CACHE:
-            self.old, self.new = self.new, {}
-        return [b"".join(map(known.__getitem__, us)) for us in units]
+        units, ids, rest, split = [split_units(t) for t in texts], self.new, [], {}
+        unknown = set().union(*units).difference(ids)
+        for u in unknown:
+            if (b := self.old.get(u)) is None:
+                split[u] = self._parts(u)
+            else:
+                ids[u] = b
+        missing = set().union(*split.values()).difference(ids)
+        for p in missing:
+            if (b := self.old.get(p)) is not None:
+                ids[p] = b
+            elif self.plain and WORD.fullmatch(p):
+                ids[p] = self._word(p)
+            else:
+                rest.append(p)
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            ids[p] = array("I", e.ids).tobytes()
+        for u, parts in split.items():
+            if len(parts) > 1:
+                ids[u] = b"".join(map(ids.__getitem__, parts))
+        out = [b"".join(map(ids.__getitem__, us)) for us in units]
+        for u in unknown | missing:
+            if len(u) > 64:
+                ids.pop(u)
+        if len(ids) > CACHE:
+            self.old, self.new = ids, {}
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}

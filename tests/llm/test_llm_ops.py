@@ -523,3 +523,21 @@ def test_exact_matches_brute_force(spark, docs, odd, empty, runs, fan):
     for df in (docs, odd):
         got = rows(exact.dedup(df, runs=runs, fan=fan))
         assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"], r["text_sha256"]) for r in got) == brute_exact(pairs(df))
+
+
+def test_packing_encoder_equals_the_library_on_whole_texts():
+    import random
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from corpusmill.llm import packing, queries
+
+    e, library = packing.Encoder(queries.vocabulary()), Tokenizer.from_file(queries.vocabulary())
+    rng = random.Random(5)
+    parts = ["a", "B", "é", "Ǆ", "9", " ", "\n", "\n\n", "\t", "'", "'s", ".", "?!", "_", "<|endoftext|>", "<|", "́", "中", "½", " ", "😀", "ɏ", "\x1c"]
+    for _ in range(40):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(64)] + ["ab" * 500 + ".\nx"]
+        got = [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert all(len(u) <= 64 for u in e.new)
