@@ -17,7 +17,7 @@ ranking, ties broken by ascending doc id.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -144,23 +144,26 @@ def search(index: Index, queries: DataFrame, k: int = 5, id_col: str = "query_id
     return top_k_by_score(scores, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
 
 
-def doc_top_terms(index: Index, ids: DataFrame | None = None, n_terms: int = 20) -> DataFrame:
-    """D3 step: the n terms of each document with the largest BM25 weight inside
-    that document (saturated tf times idf; ties by term).  Saturation keeps a
-    frequent word with a large tf from crowding out the telling rare words,
-    which also keeps the candidate set of the follow-up search small."""
+def doc_top_terms(index: Index, ids: DataFrame | None = None, n_terms: int | None = None) -> DataFrame:
+    """D3 step: the terms of each document, all of them or the ``n_terms`` with the
+    largest BM25 weight inside that document (saturated tf times idf; ties by
+    term).  Saturation keeps a frequent word with a large tf from crowding out
+    the telling rare words."""
     p = index.postings
     if ids is not None:
         p = p.join(bounded_broadcast(ids.select(F.col(ids.columns[0]).cast("bigint").alias("doc_id"))), "doc_id", "left_semi")
+    if n_terms is None:
+        return p.select("doc_id", "term")
     tf, dl = F.col("tf"), F.col("dl")
     sat = tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / F.lit(index.avgdl or 1.0)))
     w = p.join(index.term_stats, "term").select("doc_id", "term", round_score(sat * idf_expr(index.n_docs, F.col("df"))).alias("w"))
     return top_k(w, "doc_id", [F.col("w").desc(), F.col("term").asc()], n_terms, "term_rank")
 
 
-def similar_docs(index: Index, ids: DataFrame | None = None, k: int = 5, n_terms: int = 20) -> DataFrame:
-    """D3: each document (or each listed id) used as a query with its top
-    ``n_terms`` tf*idf terms; the document itself is excluded."""
+def similar_docs(index: Index, ids: DataFrame | None = None, k: int = 5, n_terms: int | None = None) -> DataFrame:
+    """D3: each document (or each listed id) used as a query with all its terms,
+    or with the ``n_terms`` of largest BM25 weight in it; the document itself is
+    excluded."""
     qt = doc_top_terms(index, ids, n_terms).select(F.col("doc_id").alias("query_id"), "term")
     scores = score_terms(index, qt).filter(F.col("doc_id") != F.col("query_id"))
     return top_k_by_score(scores, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
@@ -236,10 +239,6 @@ def search_sharded(index: Index, queries: DataFrame, n_shards: int, k: int = 5)
     return top_k_by_score(per_shard, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
 
 
-def with_index(index: Index, **changes) -> Index:
-    return replace(index, **changes)
-
-
 def containing_docs(index: Index, docs: DataFrame, items: DataFrame, item_id: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, doc_id) for every document whose text contains an item's whole text.
 

@@ -102,3 +102,13 @@ def test_saved_models_come_back(spark):
     assert key(back.term_counts) == key(model.term_counts) and key(back.class_counts) == key(model.class_counts)
     store.save_model(model.term_counts, f"{path}/one")
     assert key(store.load_model(spark, f"{path}/one")) == key(model.term_counts)
+
+
+def test_similar_docs_uses_all_terms_by_default(spark):
+    # the only shared word is the query's most common one, its 26th by weight
+    docs = spark.createDataFrame(
+        [(1, "shared " + " ".join(f"a{i}" for i in range(25))), (2, "shared b"), (3, "shared c"), (4, "d")], "doc_id long, text string"
+    )
+    idx, one = ix.build_index(docs), spark.createDataFrame([(1,)], "doc_id long")
+    assert sorted(r["doc_id"] for r in ix.similar_docs(idx, one).collect()) == [2, 3]
+    assert ix.similar_docs(idx, one, n_terms=20).count() == 0
