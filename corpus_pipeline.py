@@ -1,9 +1,10 @@
 """The corpus pipeline: quality rules, exact and near duplicates, source mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept.
-The filtering stages return the columns of ``documents`` as they came; the last one
-returns the packed pieces.  Rows are chosen by doc_id, null-safe; rows that share a
-doc_id stay or go together.  Empty tables stay empty."""
+The filtering stages return the columns of ``documents`` as they came, source mixing
+with rows repeated as often as the mix copies them; the last one returns the packed
+pieces.  Rows are chosen by doc_id, null-safe; rows that share a doc_id stay or go
+together.  Empty tables stay empty."""
 
 from __future__ import annotations
 
@@ -36,7 +37,10 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, mixing.mix(docs).where("kept"))
+    """As often as the mix copies them; rows that share a doc_id alike."""
+    kept = mixing.mix(docs).where("kept").groupBy(F.col("doc_id").alias("_kept")).agg(F.max("copies").alias("_copies"))
+    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]))
+    return found.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), kept["_copies"])).alias("_copy")).drop("_copy")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

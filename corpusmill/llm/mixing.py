@@ -3,18 +3,19 @@
 Documents fall into cells of (source, language, topic) with their token counts.
 Each sweep rakes the cells' weights to the target share of every source, then of
 every language, then of every topic, until all shares hold.  A cell's ratio of
-weight to tokens, times one factor for all cells and at most 1, is the probability
-with which its documents stay; the factor is calibrated so that the expected tokens
-are ``keep_share`` of all.  A document stays when a hash of its id, even over [0, 1),
-lies below its probability: the same choice on every run.
+weight to tokens, times one factor for all cells, is the expected number of copies
+of each of its documents: the whole part as it is, and one more when a hash of the
+id, even over [0, 1), lies below the rest: the same choice on every run.  So the
+copies meet the target shares also where a cell has too few tokens.  The factor is
+calibrated so that the documents that stay at all, each counted once, are expected
+to hold ``keep_share`` of all tokens.
 
 The target share of a value is its token share to the power of the margin's
 ``alpha`` (1 keeps the present mix, 0 makes all values equal), scaled to sum 1.
 
 Only DataFrame operations; cells, not documents, go through the sweeps.  Null
 sources and languages are a value of their own; null and empty texts have no tokens
-and stay with their cell's probability; equal ids share one draw; extra columns are
-ignored."""
+and are copied like their cell; equal ids share one draw; extra columns are ignored."""
 
 from __future__ import annotations
 
@@ -99,7 +100,7 @@ def mix(
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
 ) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, ratio (target weight over tokens of the
-    cell), probability, kept."""
+    cell), probability (to stay at all), kept, copies (0 when not kept)."""
     rows = materialise(measured(docs, id_col, text_col, source_col, lang_col))
     key = list(margins)
     cells = materialise(rows.groupBy(*key).agg(F.sum("n_tokens").alias("tokens")))
@@ -109,5 +110,7 @@ def mix(
     cells = cells.join(raked.select(*key, "ratio"), key, "left").select(*key, F.coalesce("ratio", F.lit(1.0)).alias("ratio"))
     out = attach(rows, cells, key, ["doc_id"])
     draw = stable_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit(NONE))) / F.lit(float(1 << 60))
-    out = out.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(k)))
-    return out.select("doc_id", "source", "lang", "topic", "n_tokens", "ratio", "probability", (draw < F.col("probability")).alias("kept"))
+    expected = F.col("ratio") * F.lit(k)
+    out = out.withColumn("probability", F.least(F.lit(1.0), expected))
+    copies = (F.floor(expected) + (draw < expected - F.floor(expected)).cast("long")).alias("copies")
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", "ratio", "probability", (draw < F.col("probability")).alias("kept"), copies)

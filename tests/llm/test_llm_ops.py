@@ -441,6 +441,24 @@ def test_mixing_keeps_the_calibrated_share(spark, docs, odd, empty):
     assert 0 < got.kept.sum() < len(got)
 
 
+def test_mixing_meets_the_targets_with_a_hot_source(spark):
+    """Half of all tokens from one source: the kept tokens still have the target shares."""
+    df = spark.range(12000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("word "), F.lit(20)).alias("text"), F.when(F.col("id") % 3 == 0, "de").otherwise("en").alias("lang"),
+        F.when(F.col("id") < 6000, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("source"),
+    )
+    got = mixing.mix(df).toPandas()
+    copied = got.n_tokens * got.copies
+    total = got.n_tokens.sum()
+    for name in ("source", "lang"):
+        t = got.groupby(name).n_tokens.sum() / total
+        target = t ** mixing.MARGINS[name] / (t ** mixing.MARGINS[name]).sum()
+        share = copied.groupby(got[name]).sum() / copied.sum()
+        assert np.allclose(share[target.index], target, rtol=0.06), (name, share, target)
+    assert (got.kept == (got.copies > 0)).all() and got.copies.max() > 1
+    assert abs((got.probability * got.n_tokens).sum() / total - mixing.KEEP_SHARE) < 0.01
+
+
 # 9 URL filters
 
 
