@@ -8,9 +8,10 @@ the number of characters, and the threshold lies between the means of the two
 training sets, weighted by their spreads.  A URL that no rule fits is allowed when
 its score reaches the threshold.
 
-A gram's counts enter the model when it has at least SHARE of its order's training
-characters, so each order has at most 1 / SHARE grams and the model is broadcast
-with a proven bound; rarer grams fall back on shorter contexts.
+All grams enter the model.  A character's blended probability is a function of the
+gram of ORDER + 1 characters that ends in it, so it is worked out once for each
+distinct gram, order by order, from tables joined by shuffle; the characters of all
+URLs then take it by their gram, a frequent gram's in many parts.
 
 Null or empty URLs, or those without '://', have empty host and path; no rule fits
 them, and a URL without characters scores zero.  Without training URLs of both
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import attach, lower_ascii, materialise
 
-ORDER, WEIGHT, ALPHABET, SHARE = 3, 2.0, 128, 1e-5
+ORDER, WEIGHT, ALPHABET = 3, 2.0, 128
 
 
 class UrlRule(NamedTuple):
@@ -61,47 +62,48 @@ def rule_of(rules: Sequence[UrlRule], host: Column, path: Column) -> Column:
 
 
 def grams(rows: DataFrame) -> DataFrame:
-    """(row columns, order, gram): per character the grams that end in it; URLs are
-    padded in front so that the first characters have contexts too."""
+    """(row columns, g): per character the gram of ORDER + 1 characters that ends in
+    it; URLs are padded in front so that the first characters have contexts too."""
     padded = F.concat(F.lit("^" * ORDER), F.col("text"))
-    ends = F.when(F.length("text") > 0, F.sequence(F.lit(ORDER + 1), F.length("text") + ORDER)).otherwise(F.array().cast("array<int>"))
+    ends = F.when(F.length("text") > 0, F.sequence(F.lit(1), F.length("text"))).otherwise(F.array().cast("array<int>"))
     at = rows.withColumn("_p", padded).withColumn("_e", F.explode(ends))
-    tails = [F.substr(F.col("_p"), F.col("_e") - k, F.lit(k + 1)).alias(f"g{k}") for k in range(ORDER + 1)]
-    return at.select(*[c for c in rows.columns if c != "text"], *tails)
+    return at.select(*[c for c in rows.columns if c != "text"], F.substr(F.col("_p"), F.col("_e"), F.lit(ORDER + 1)).alias("g"))
 
 
 def train(rows: DataFrame) -> list[DataFrame]:
-    """Per order k a table (g, lk_a, lk_b): the smoothed probability of the gram's
-    last character after its context under both models.  ``rows``: text, good."""
-    seen = grams(rows)
+    """Per order k a table (g, a, b, ca, cb): how often the gram and its context occur
+    in training URLs of both kinds.  ``rows``: text, good (null: not for training, its
+    grams come with the counts of the others)."""
+    a, b = F.count_if(F.col("good")).alias("a"), F.count_if(~F.col("good")).alias("b")
+    counts = materialise(grams(rows.select("text", "good")).groupBy("g").agg(a, b))
     tables = []
-    for k in range(ORDER + 1):
-        counts = seen.groupBy(F.col(f"g{k}").alias("g")).agg(
-            F.sum(F.col("good").cast("long")).alias("a"), F.sum((~F.col("good")).cast("long")).alias("b")
-        )
-        counts = materialise(counts.withColumn("c", F.substr(F.col("g"), F.lit(1), F.lit(k))))
-        contexts = counts.groupBy("c").agg(F.sum("a").alias("ca"), F.sum("b").alias("cb"))
-        total = counts.agg(F.sum(F.col("a") + F.col("b"))).first()[0] or 0
-        tables.append(counts.where(F.col("a") + F.col("b") >= SHARE * total).join(contexts, "c").select("g", "a", "b", "ca", "cb"))
+    for k in range(ORDER, -1, -1):
+        if k < ORDER:
+            counts = materialise(counts.groupBy(F.substr(F.col("g"), F.lit(2)).alias("g")).agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+        named = counts.withColumn("c", F.substr(F.col("g"), F.lit(1), F.lit(k)))
+        contexts = named.groupBy("c").agg(F.sum("a").alias("ca"), F.sum("b").alias("cb"))
+        tables.insert(0, attach(named, contexts, ["c"], ["g"]).select("g", "a", "b", "ca", "cb"))
     return tables
 
 
-def _probability(side: str) -> Column:
-    """The blended probability of one character, from the counts of all orders."""
-    p = F.lit(1.0 / ALPHABET)
-    for k in range(ORDER + 1):
-        n, total = F.coalesce(f"{side}{k}", F.lit(0)), F.coalesce(f"c{side}{k}", F.lit(0))
-        p = (n + WEIGHT * p) / (total + WEIGHT)
-    return p
+def likelihoods(tables: list[DataFrame]) -> DataFrame:
+    """(g, value): per gram of the highest order the difference of the log-probabilities
+    of its last character, the counts of all orders blended."""
+    out = None
+    for k, t in enumerate(tables):
+        if out is None:
+            both = t.withColumn("pa", F.lit(1.0 / ALPHABET)).withColumn("pb", F.lit(1.0 / ALPHABET))
+        else:
+            shorter = out.select(F.col("g").alias("_s"), "pa", "pb")
+            both = attach(t.withColumn("_s", F.substr(F.col("g"), F.lit(2))), shorter, ["_s"], ["g"])
+        out = materialise(both.select("g", *[((F.col(s) + WEIGHT * F.col(f"p{s}")) / (F.col(f"c{s}") + WEIGHT)).alias(f"p{s}") for s in ("a", "b")]))
+    return out.select("g", (F.log("pa") - F.log("pb")).alias("value"))
 
 
-def scored(rows: DataFrame, tables: list[DataFrame]) -> DataFrame:
-    """Adds ``score`` per row key: mean log-likelihood difference by character."""
-    at = grams(rows)
-    for k, t in enumerate(tables):
-        named = t.select(F.col("g").alias(f"g{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("a", "b", "ca", "cb")])
-        at = at.join(F.broadcast(named), f"g{k}", "left")
-    return at.groupBy("key").agg(F.avg(F.log(_probability("a")) - F.log(_probability("b"))).alias("score"))
+def scored(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """``score`` per row number: mean log-likelihood difference by character.
+    ``rows``: number, text."""
+    return attach(grams(rows), values, ["g"], ["number"]).groupBy("number").agg(F.avg("value").alias("score"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -112,14 +114,15 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], id_col: str = "page_i
     # equal URLs score equally: each distinct one is scored once
     rows = rows.withColumn("key", F.coalesce("url", F.lit("")))
     text = F.regexp_replace("key", "^[^:/?#]*://", "")
-    distinct = materialise(rows.groupBy("key").agg(F.first("_r.verdict").alias("label")).withColumn("text", text))
-    marked = distinct.where(F.col("label").isNotNull() & (F.length("text") > 0)).select("text", (F.col("label") == "allow").alias("good"))
-    kinds = {r["good"] for r in marked.select("good").distinct().collect()}
+    distinct = rows.groupBy("key").agg(F.first("_r.verdict").alias("label")).withColumn("text", text)
+    distinct = materialise(distinct.withColumn("number", F.monotonically_increasing_id()))
+    marked = distinct.select("text", (F.col("label") == "allow").alias("good"))
+    kinds = {r["good"] for r in marked.where("good is not null and length(text) > 0").select("good").distinct().collect()}
     if len(kinds) < 2:
         scores, threshold = distinct.select("key", F.lit(0.0).alias("score")), -math.inf
     else:
-        found = scored(distinct.select("key", "text"), train(marked))
-        scores = materialise(distinct.join(found, "key", "left").select("key", "label", F.coalesce("score", F.lit(0.0)).alias("score")))
+        found = scored(distinct.select("number", "text"), likelihoods(train(marked)))
+        scores = materialise(distinct.join(found, "number", "left").select("key", "label", F.coalesce("score", F.lit(0.0)).alias("score")))
         spread = scores.where(F.col("label").isNotNull()).groupBy("label").agg(F.avg("score").alias("m"), F.stddev_pop("score").alias("s"))
         at = {r["label"]: (r["m"], r["s"] + 1e-9) for r in spread.collect()}
         (ma, sa), (mb, sb) = at["allow"], at["block"]

@@ -513,6 +513,34 @@ def test_url_probabilities_sum_to_one_over_the_alphabet(spark):
     assert got["ab"] == (2, 2) and got["bc"] == (1, 1)
 
 
+def test_rare_url_grams_stay_in_the_model_of_a_large_table(spark):
+    data = [("axb", False), ("xa", False), ("abx", None), ("qxé", None)] + [("ab" * 50, True)] * 2500
+    tables = urls.train(spark.createDataFrame(data, "text string, good boolean"))
+    assert {r["g"]: (r["a"], r["b"]) for r in tables[0].collect()}["x"] == (0, 2)
+    counts = Counter()
+    for text, good in data:
+        p = "^" * urls.ORDER + text
+        for e in range(urls.ORDER, len(p)):
+            for k in range(urls.ORDER + 1):
+                if good is not None:
+                    counts[good, k, p[e - k : e + 1]] += 1
+                    counts[good, k, "context", p[e - k : e]] += 1
+
+    def p_of(good, gram):
+        p = 1 / urls.ALPHABET
+        for k in range(urls.ORDER + 1):
+            g = gram[len(gram) - k - 1 :]
+            p = (counts[good, k, g] + urls.WEIGHT * p) / (counts[good, k, "context", g[:-1]] + urls.WEIGHT)
+        return p
+
+    texts = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(data)], "number long, text string")
+    got = {r["number"]: r["score"] for r in rows(urls.scored(texts, urls.likelihoods(tables)))}
+    for i, (t, _) in enumerate(data[:5]):
+        p = "^" * urls.ORDER + t
+        want = [math.log(p_of(True, p[e : e + urls.ORDER + 1])) - math.log(p_of(False, p[e : e + urls.ORDER + 1])) for e in range(len(t))]
+        assert abs(got[i] - sum(want) / len(want)) < 1e-9, t
+
+
 def test_urls_without_training_are_allowed(spark):
     df = spark.createDataFrame([(1, "http://a.net/"), (2, None), (2, None)], "page_id long, url string")
     assert [r["verdict"] for r in rows(urls.judge_urls(df, queries.URL_RULES))] == ["allow"] * 3
