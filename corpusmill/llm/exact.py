@@ -1,9 +1,9 @@
-"""Exact duplicates by a tree-merge of sorted digest runs.
+"""Exact duplicates by hash aggregation of digest runs in tree rounds.
 
 Rows become (digest, best row, count) records dealt over ``runs`` runs by a hash
-of their id.  In each round runs r, r + 1, ... r + fan - 1 exchange their digests
-and merge: a multiway merge on the sorted digest that keeps, per text, the row
-that stays and the number of rows.  After log_fan(runs) rounds one run is left,
+of their id.  In each round runs r, r + 1, ... r + fan - 1 are grouped by digest:
+a hash aggregation in place of a merge of sorted runs, which keeps, per text, the
+row that stays and the number of rows.  After log_fan(runs) rounds one run is left,
 still spread over all tasks by digest.  The result travels back down the same
 tree, so that a text that holds a third of all rows reaches them in ``runs``
 parts.  Two rows are of one text when SHA-256, a second independent 64-bit hash
