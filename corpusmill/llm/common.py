@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +61,24 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], ids: Sequence
     rows = rows.withColumn("_run", run_of(ids, runs))
     heads = rows.select(*keys, "_run").distinct().join(facts, list(keys))
     return rows.join(heads, [*keys, "_run"]).drop("_run")
+
+
+def by_group(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows, which lie together by their first ``keys`` columns, in tables of
+    whole groups: the last group of a batch waits for the next one."""
+    rest: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        block = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[:keys]])
+        other = np.any(block != block[-1], axis=1)
+        last = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        if rest and any(rest[-1].column(k)[-1] != b.column(k)[0] for k in range(keys)):
+            yield pa.Table.from_batches(rest)
+            rest = []
+        if last:
+            yield pa.Table.from_batches([*rest, b.slice(0, last)])
+            rest = []
+        rest.append(b.slice(last))
+    if rest:
+        yield pa.Table.from_batches(rest)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import attach, materialise
+from corpusmill.llm.common import attach, by_group, materialise
 from corpusmill.llm.simhash import components
 
 # Minhashes in a collection; collections on each side of a table key.
@@ -132,27 +132,6 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.mapInArrow(task, f"doc_id {kind}, row long, n long, node long, lefts array<long>, rights array<long>")
 
 
-def _by_group(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """The rows, which lie together by their first ``keys`` columns, in tables of
-    whole groups: the last group of a batch waits for the next one."""
-    rest: list[pa.RecordBatch] = []
-    for b in batches:
-        if not b.num_rows:
-            continue
-        block = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[:keys]])
-        other = np.any(block != block[-1], axis=1)
-        last = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
-        if rest and any(rest[-1].column(k)[-1] != b.column(k)[0] for k in range(keys)):
-            yield pa.Table.from_batches(rest)
-            rest = []
-        if last:
-            yield pa.Table.from_batches([*rest, b.slice(0, last)])
-            rest = []
-        rest.append(b.slice(last))
-    if rest:
-        yield pa.Table.from_batches(rest)
-
-
 def entry_pairs(group: np.ndarray, node: np.ndarray, n: np.ndarray, rights: np.ndarray) -> tuple[np.ndarray, ...]:
     """(a, b, crowded, sized) of the table entries within the groups, distinct."""
     found = []
@@ -189,7 +168,7 @@ def candidates(sets: DataFrame) -> DataFrame:
     met = materialise(lefts.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _by_group(batches, 1):
+        for t in by_group(batches, 1):
             t = t.combine_chunks()
             key, node, n = (t.column(i).to_numpy() for i in range(3))
             group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
@@ -270,7 +249,7 @@ def _across(crowded: DataFrame, links: DataFrame, sets: DataFrame, share: int) -
     dealt = dealt.select("c", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "label").join(sets.select("node", "set"), "node")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _by_group(batches, 3):
+        for t in by_group(batches, 3):
             c, i, j, node, label = (t.column(k).to_numpy() for k in range(5))
             cut = np.flatnonzero((c[1:] != c[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             found = []
