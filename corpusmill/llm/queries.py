@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import exact, manifest, maxent, minhash, mixing, oracles, packing, pii, quality, simhash, tokens, urls, warc
+from corpusmill.llm import exact, manifest, maxent, minhash, mixing, oracles, packing, pii, quality, repair, simhash, tokens, urls, warc
 from corpusmill.llm.common import table
 
 LIMIT, END_ID = 1024, 2
@@ -77,6 +77,10 @@ def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_lm_scores, op3_personal_data, op4_simhash, op5_quality, op6_packing, op7_warc, op8_mixing,
-        op9_url_filter, op10_exact_dedup, op11_manifest, op12_minhash, pipeline,
+        op9_url_filter, op10_exact_dedup, op11_manifest, op12_minhash, op13_repair, pipeline,
     )
 }
 # Tests hold the other operators against brute force.

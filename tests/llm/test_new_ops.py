@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.llm import manifest, minhash, queries
+from corpusmill.llm import manifest, minhash, queries, repair
 from tests.conftest import SMALL
 from tests.llm.test_llm_ops import ODD, rows
 
@@ -190,3 +190,170 @@ def test_tables_meet_as_computed():
 @pytest.mark.parametrize("name", ["op11_manifest", "op12_minhash"])
 def test_queries_return_every_document(spark, docs, name):
     assert queries.QUERIES[name](spark, SMALL).count() == docs.count()
+
+
+# 13 conversation repair
+
+
+def brute_audit(initials, gone, cut):
+    """All cheapest audits by value iteration over whole strings."""
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+    give = (2, 2, 3, 2)
+
+    def inserts(at):
+        for _ in range(3):
+            for q, (c, s) in list(at.items()):
+                t, new = give[q], (c + 3, s + "I")
+                if t not in at or new < at[t]:
+                    at[t] = new
+        return at
+
+    at = inserts({0: (0, "")})
+    for initial, lost, short in zip(initials, gone, cut):
+        new = {}
+        for q, (c, s) in at.items():
+            options = [(q, (c + 4, s + "D"))]
+            if not lost:
+                options.append((give[q], (c + 3 + 3 * short, s + "R")))
+                if (q, initial) in step:
+                    options.append((step[q, initial], (c + 3 * short, s + "K")))
+            for t, o in options:
+                if t not in new or o < new[t]:
+                    new[t] = o
+        at = inserts(new)
+    return min(at[q] for q in (0, 3) if q in at)
+
+
+def brute_exhaustive(initials, gone, cut):
+    """Every audit of up to four inserts, read against the grammar."""
+    import itertools
+    import re
+
+    best, n = None, len(initials)
+    for edits in itertools.product("KRD", repeat=n):
+        if any(lost and e != "D" for e, lost in zip(edits, gone)):
+            continue
+        cost = sum({"K": 0, "R": 3, "D": 4}[e] + (3 if e != "D" and short else 0) for e, short in zip(edits, cut))
+        for gaps in itertools.product(range(3), repeat=n + 1):
+            if sum(gaps) > 4:
+                continue
+            audit = "".join("I" * g + e for g, e in zip(gaps, [*edits, ""]))
+            total = cost + 3 * sum(gaps)
+            if best is not None and (total, audit) >= best:
+                continue
+            # any role may stand for a given one
+            slots = [["u", "a"]] * gaps[0]
+            for i, e in enumerate(edits):
+                slots += ([[initials[i]]] if e == "K" else [["u", "a"]] if e == "R" else []) + [["u", "a"]] * gaps[i + 1]
+            if any(re.fullmatch("(s?(ua)+)?", "".join(x)) for x in itertools.product(*slots)):
+                best = (total, audit)
+    return best
+
+
+def test_audits_match_every_audit():
+    rng = random.Random(7)
+    for _ in range(60):
+        n = rng.randint(0, 4)
+        case = [rng.choice("suat") for _ in range(n)], [rng.random() < 0.2 for _ in range(n)], [rng.random() < 0.2 for _ in range(n)]
+        want = brute_exhaustive(*case)
+        assert brute_audit(*case) == want
+        for modulus in ((1 << 61) - 1, 2, 3):  # with small ones hashes collide
+            assert min(f for f in (repair.audits(*case, modulus=modulus)[q] for q in repair.FINAL) if f) == want
+
+
+def test_long_audits_whole_and_in_pieces():
+    rng = random.Random(8)
+    for n in (30, 200):
+        for modulus in ((1 << 61) - 1, 5):
+            case = [rng.choice("sua") for _ in range(n)], [rng.random() < 0.1 for _ in range(n)], [rng.random() < 0.1 for _ in range(n)]
+            want = brute_audit(*case)
+            assert min(f for f in (repair.audits(*case, modulus=modulus)[q] for q in repair.FINAL) if f) == want
+            cut = range(0, n, 7)
+            pieces = [[repair.audits(*[c[i : i + 7] for c in case], start=q, modulus=modulus) for q in range(4 if i else 1)] for i in cut]
+            assert repair.joined(pieces) == want
+
+
+def test_longest_common_prefix():
+    rng = random.Random(9)
+    for modulus in ((1 << 61) - 1, 3):
+        nodes = [repair.Node(None, "", modulus)]
+        for _ in range(300):
+            nodes.append(repair.Node(rng.choice(nodes[-40:]), rng.choice("KD"), modulus))
+        for _ in range(500):
+            a, b = rng.choice(nodes), rng.choice(nodes)
+            one, two = a.audit(), b.audit()
+            want = next((i for i, (x, y) in enumerate(zip(one, two)) if x != y), min(len(one), len(two)))
+            assert repair.common_prefix(a, b) == want
+
+
+def brute_repair(data):
+    blanks = " \t\n\x0b\x0c\r"
+    groups = {}
+    for conv, turn, role, text in data:
+        role, text = (" " if x is None else x for x in (role, text))
+        own = groups.setdefault(conv, [])
+        fate = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if fate == 1:
+            text = ""
+        if fate == 2:
+            text = text.replace(".", "").replace("!", "").replace("?", "")
+        if fate == 4:
+            role = "user"
+        own += [(turn, role, text)] * {0: 0, 3: 2}.get(fate, 1)
+    out = []
+    for conv, own in groups.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        turns = [t for t, _, _ in own if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        seen, kinds = set(), []
+        for _, role, text in own:
+            end = text.rstrip(blanks)
+            kinds.append("b" if not end else "d" if (role, text) in seen else "t" if end[-1] not in ".!?" else "")
+            seen.add((role, text))
+        initials = [r[:1] for _, r, _ in own]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit = brute_audit(initials, [k in ("b", "d") for k in kinds], [k == "t" for k in kinds])
+        lines, rest = [], iter(own)
+        for e in audit:
+            _, role, text = (0, "", "") if e == "I" else next(rest)
+            if e != "D":
+                last = lines[-1][0][:1] if lines else ""
+                lines.append((role if e == "K" else "assistant" if last == "u" else "user", text))
+        digest = sha("\n".join(f"{r}:{t}" for r, t in lines))
+        out.append((str(conv), gaps, *[kinds.count(k) for k in "bdt"], illegal, cost, audit, digest))
+    return sorted(out)
+
+
+TALK = "conv_id long, turn long, role string, text string"
+
+
+def repair_rows(df):
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+    return sorted((str(r["conv_id"]), *[r[c] for c in names]) for r in rows(df))
+
+
+def odd_talk():
+    rng = random.Random(11)
+    data = [
+        (1, None, "user", "No turn."), (1, 3, None, None), (1, 3, "assistant", "Ties."), (1, 3, "assistant", "Ties."), (None, 1, "user", "Nobody."),
+        (None, None, None, None), (2, 0, "tool", "Odd role."), (2, 1, "", "No role."), (3, 5, "user", "x" * 50000), (3, 9, "assistant", "Wörter 東京!\r\n\x0b"),
+        (4, 0, "system", " \t\n "), (5, 7, "user", None),
+    ]
+    data += [(6, t, rng.choice(["system", "user", "assistant"]), rng.choice(["Yes.", "No!", "Well", "", "Why?\n", f"Word {t}."])) for t in range(300)]
+    return data + [(c, 0, "user", "Hi.") for c in range(20, 60)]
+
+
+def test_repair_matches_brute_force(spark, monkeypatch):
+    talk = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    clash = ["key", "place", "conv", "piece", "fate", "audit", "cost", "first", "_copy"]
+    odd = spark.createDataFrame(odd_talk(), TALK).select("*", *[F.lit("x").alias(c) for c in clash])
+    assert repair.repair(odd.limit(0)).count() == 0
+    monkeypatch.setattr(repair, "PIECE", 40)  # the long conversation comes in pieces
+    for df in (talk, odd):
+        data = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
+        assert repair_rows(repair.repair(df)) == brute_repair(data)
+
+
+def test_repair_query_returns_every_conversation(spark):
+    talk = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    assert queries.op13_repair(spark, SMALL).count() == talk.select("conv_id").distinct().count()
