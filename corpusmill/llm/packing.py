@@ -13,9 +13,8 @@ place of equal rows among each other is of no matter); extra columns are ignored
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -26,70 +25,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import materialise
-from corpusmill.llm.tokens import CACHE, byte_symbols, split_units
+from corpusmill.llm.tokens import byte_symbols
 
 ITEM = "piece int, start long, length long, ids_crc32 long"
-# Within a unit a new piece also starts where punctuation follows a Latin letter or
-# a digit, and where a word follows a single line end.
-FINE = re.compile(r"(?<=[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])(?=[!-/:-@\[-^`{-~])|(?<=\S\n)(?=[A-Za-z0-9])")
-# A word that is one piece.
-WORD = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+# Fixed value: the byte-level split pattern of the vocabulary, without backtracking.
+PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library.  Texts are cut where the
-    tokenizer always starts a new piece; the ids of such units are cached.  A unit
-    that is not cached is put together from its finer parts, so that a known word
-    before new punctuation is not encoded again."""
+    """Ids of whole texts as the tokenizers library gives them.  A byte-level vocabulary
+    whose merges are numbered in order is read from the same file into tiktoken, which
+    gives the same ids several times faster; other vocabularies, and texts that its
+    splitter refuses, go to the tokenizers library itself."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(specials) or "(?!)")
-        self.model = self.tokenizer.model
-        self.plain = self.tokenizer.normalizer is None and "ByteLevel" in str(self.tokenizer.pre_tokenizer)
-        self.symbols = {b: ord(c) for c, b in byte_symbols().items()}
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _parts(self, unit: str) -> list[str]:
-        return [unit] if self.special.search(unit) else FINE.split(unit)
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word, which is one piece: the vocabulary's model alone is asked."""
-        return array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.symbols))]).tobytes()
+        with open(path, encoding="utf-8") as f:
+            self.ranks = self._ranks(json.load(f))
+
+    def _ranks(self, spec: dict):
+        """The vocabulary for tiktoken, None where its rules are others."""
+        import tiktoken
+
+        model, split = spec["model"], spec.get("pre_tokenizer") or {}
+        bytewise = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        odd = [model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")]
+        added = spec["added_tokens"]
+        if model["type"] != "BPE" or spec.get("normalizer") or not bytewise or any(odd) or any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+            return None
+        vocab, special = model["vocab"], {t["content"]: t["id"] for t in added}
+        merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if any(a >= b for a, b in zip(merged, merged[1:])):
+            return None
+        byte = byte_symbols()
+        ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if token not in special}
+        return tiktoken.Encoding("vocabulary", pat_str=PIECES, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        units, ids, rest, split = [split_units(t) for t in texts], self.new, [], {}
-        unknown = set().union(*units).difference(ids)
-        for u in unknown:
-            if (b := self.old.get(u)) is None:
-                split[u] = self._parts(u)
-            else:
-                ids[u] = b
-        missing = set().union(*split.values()).difference(ids)
-        for p in missing:
-            if (b := self.old.get(p)) is not None:
-                ids[p] = b
-            elif self.plain and WORD.fullmatch(p):
-                ids[p] = self._word(p)
-            else:
-                rest.append(p)
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            ids[p] = array("I", e.ids).tobytes()
-        for u, parts in split.items():
-            if len(parts) > 1:
-                ids[u] = b"".join(map(ids.__getitem__, parts))
-        out = [b"".join(map(ids.__getitem__, us)) for us in units]
-        for u in unknown | missing:
-            if len(u) > 64:
-                ids.pop(u)
-        if len(ids) > CACHE:
-            self.old, self.new = ids, {}
-        return out
+        return [self._ids(t) for t in texts]
+
+    def _ids(self, text: str) -> bytes:
+        if self.ranks is not None:
+            try:
+                return self.ranks.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+            except ValueError:  # a run too long for its splitter
+                pass
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}

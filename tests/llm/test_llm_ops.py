@@ -586,4 +586,21 @@ def test_packing_encoder_equals_the_library_on_whole_texts():
         texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(64)] + ["ab" * 500 + ".\nx"]
         got = [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts)]
         assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
-        assert all(len(u) <= 64 for u in e.new)
+
+
+def test_encoder_reads_the_vocabulary_by_rank():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary()
+    e, library = packing.Encoder(path), Tokenizer.from_file(path)
+    assert e.ranks is not None
+    blocks = [range(0x20, 0x3100), range(0xA000, 0xA100), range(0xFF00, 0x10000), range(0x1F300, 0x1F400)]
+    texts = [f"a{chr(c)} {chr(c)}1 b{chr(c)}{chr(c)}'s\n{chr(c)}" for block in blocks for c in block]
+    texts += [" " * 2_000_000 + "x", "a" * 200_000, "<|endoftext|>" * 3]  # the first is too long a run for the fast splitter
+    for text, got in zip(texts, e.encode(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text[:20]
+    other = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert other.ranks is None
+    want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode("Some words, here", add_special_tokens=False).ids
+    assert np.frombuffer(other.encode(["Some words, here"])[0], "<u4").tolist() == want
