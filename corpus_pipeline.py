@@ -2,13 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept.
 The filtering stages return the columns of ``documents`` as they came, source mixing
-with rows repeated as often as the mix copies them; the last one returns the packed
-pieces.  Rows are chosen by doc_id, null-safe; rows that share a doc_id stay or go
+with rows repeated as often as the mix copies them, at most ``mixing.MAX_COPIES`` times;
+the last one returns the packed pieces, with the number of the copy they belong to.  Rows are chosen by doc_id, null-safe; rows that share a doc_id stay or go
 together.  Empty tables stay empty."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm import exact, mixing, packing, quality, queries, simhash
@@ -22,7 +22,7 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    whole = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row")
     rows = docs.select("doc_id", "text", whole)
     return quality.judge(rows, keep=["_row"]).where("kept").select("_row.*")
 
@@ -40,11 +40,16 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """As often as the mix copies them; rows that share a doc_id alike."""
     kept = mixing.mix(docs).where("kept").groupBy(F.col("doc_id").alias("_kept")).agg(F.max("copies").alias("_copies"))
     found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]))
-    return found.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), kept["_copies"])).alias("_copy")).drop("_copy")
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+    repeated = found.select(F.explode(F.array_repeat(whole, kept["_copies"].cast("int"))).alias("_row"))
+    return repeated.select("_row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, queries.vocabulary(), queries.LIMIT, queries.END_ID)
+    """Pieces of equal documents are told apart by ``copy``, from 1."""
+    packed = packing.pack(docs, queries.vocabulary(), queries.LIMIT, queries.END_ID)
+    order = Window.partitionBy("doc_id", "piece", "start", "length", "ids_crc32").orderBy("sequence_id", "offset")
+    return packed.withColumn("copy", F.row_number().over(order))
 
 
 STAGES = [

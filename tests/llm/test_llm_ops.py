@@ -441,6 +441,55 @@ def test_mixing_keeps_the_calibrated_share(spark, docs, odd, empty):
     assert 0 < got.kept.sum() < len(got)
 
 
+def test_mixing_matches_brute_force(spark, docs):
+    """Weights, factor, probability, draw and copies of every document."""
+    bound = 2
+    got = {r["doc_id"]: r for r in rows(mixing.mix(docs, max_copies=bound))}
+    texts = dict(pairs(docs))
+    cell = {i: (r["source"], r["lang"], r["topic"]) for i, r in got.items()}
+    size = {i: len(WORD.findall(texts[i] or "")) for i in got}
+    assert size == {i: r["n_tokens"] for i, r in got.items()}
+    tokens_ = Counter()
+    for i, c in cell.items():
+        tokens_[c] += size[i]
+    tokens_ = {c: n for c, n in tokens_.items() if n}
+    total, weight = sum(tokens_.values()), dict(tokens_)
+
+    def sums(values, at):
+        out = Counter()
+        for c, n in values.items():
+            out[c[at]] += n
+        return out
+
+    targets = []
+    for at, alpha in enumerate(mixing.MARGINS.values()):
+        t = {v: (n / total) ** alpha for v, n in sums(tokens_, at).items()}
+        targets.append({v: x / sum(t.values()) * total for v, x in t.items()})
+    for _ in range(300):
+        for at, target in enumerate(targets):
+            now = sums(weight, at)
+            weight = {c: w * target[c[at]] / now[c[at]] for c, w in weight.items()}
+    ratio = {c: weight[c] / n for c, n in tokens_.items()}
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        k = (low + high) / 2
+        low, high = (k, high) if sum(n * min(1, k * ratio[c]) for c, n in tokens_.items()) < mixing.KEEP_SHARE * total else (low, k)
+    for i, r in got.items():
+        expected = min(k * ratio.get(cell[i], 1.0), bound)
+        draw = int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) / (1 << 60)
+        assert abs(r["probability"] - min(1, expected)) < 0.01
+        if min(abs(draw - expected % 1), abs(expected - round(expected))) > 0.01:
+            assert r["copies"] == math.floor(expected) + (draw < expected % 1) <= bound
+        assert r["kept"] == (r["copies"] > 0) and r["gap"] <= mixing.TOLERANCE
+
+
+def test_mixing_reports_targets_that_cannot_be_met(spark):
+    """Two cells that share no margin value: no weights meet both margins."""
+    df = spark.createDataFrame([(i, "a b c " * 9, "en", "x") for i in range(20)] + [(99, "a b", "de", "y")], SCHEMA)
+    gap = mixing.mix(df).first()["gap"]
+    assert gap > mixing.TOLERANCE
+
+
 def test_mixing_meets_the_targets_with_a_hot_source(spark):
     """Half of all tokens from one source: the kept tokens still have the target shares."""
     df = spark.range(12000).select(
