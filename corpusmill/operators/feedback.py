@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import stable_hash, tokens
-from corpusmill.operators.index import Index, query_terms, score_terms
+from corpusmill.operators.index import Index, query_terms, score_pairs, top_k_terms
 from corpusmill.operators.topk import top_k_by_score
 from corpusmill.session import bounded_broadcast
 
@@ -44,8 +44,7 @@ def associate(qterms: DataFrame, pairs: DataFrame, source: str = "source", targe
 
 
 def search_terms(index: Index, qterms: DataFrame, k: int) -> DataFrame:
-    s = score_terms(index, qterms)
-    return top_k_by_score(s, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
+    return top_k_terms(index, qterms, k)
 
 
 def upvote_table(pairs: DataFrame, text: str = "query", doc: str = "doc_id", weight: float = UPVOTE_WEIGHT) -> DataFrame:
@@ -56,15 +55,19 @@ def upvote_table(pairs: DataFrame, text: str = "query", doc: str = "doc_id", wei
 
 
 def search_with_upvotes(index: Index, queries: DataFrame, boosts: DataFrame, k: int) -> DataFrame:
-    """BM25 plus boosts; a full outer join lets an upvoted document that
-    matched no query word enter the top k."""
-    scores = score_terms(index, query_terms(queries))
+    """BM25 plus boosts, which are never negative.  A document without a boost
+    that is among the best k with boosts is so without them, so the bounded top k and
+    the boosted pairs, scored by themselves, are all that can win; an upvoted document
+    may match no query word."""
+    qterms = query_terms(queries)
+    plain = top_k_terms(index, qterms, k).select("query_id", "doc_id", "score")
     qb = queries.select(F.col("query_id").cast("bigint").alias("query_id"), query_key("text").alias("key")).join(
         bounded_broadcast(boosts), "key"
     ).select("query_id", "doc_id", "boost")
-    merged = scores.join(qb, ["query_id", "doc_id"], "full_outer").select(
-        "query_id", "doc_id", F.round(F.coalesce("score", F.lit(0.0)) + F.coalesce("boost", F.lit(0.0)), 6).alias("score")
+    boosted = qb.join(score_pairs(index, qterms, qb), ["query_id", "doc_id"], "left").select(
+        "query_id", "doc_id", F.round(F.coalesce("score", F.lit(0.0)) + F.col("boost"), 6).alias("score")
     )
+    merged = boosted.unionByName(plain.join(qb, ["query_id", "doc_id"], "left_anti"))
     return top_k_by_score(merged, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corpusmill.functions.text import round_score, stable_hash, tokens
+from corpusmill.operators import bounded
 from corpusmill.operators.topk import top_k, top_k_by_score
 from corpusmill.session import BROADCAST_MAX_ROWS, bounded_broadcast, spread
 
@@ -128,9 +129,7 @@ def score_terms(index: Index, qterms: DataFrame) -> DataFrame:
     )
     if small:
         weighted = F.broadcast(weighted)
-    avgdl = index.avgdl or 1.0
-    tf, dl = F.col("tf"), F.col("dl")
-    part = F.col("idf") * tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / F.lit(avgdl)))
+    part = F.col("idf") * saturation(index)
     return (
         index.postings.join(weighted, "term")
         .groupBy("query_id", "doc_id")
@@ -138,10 +137,54 @@ def score_terms(index: Index, qterms: DataFrame) -> DataFrame:
     )
 
 
+def saturation(index: Index) -> Column:
+    """What a posting contributes per unit of its term's weight."""
+    tf, dl = F.col("tf"), F.col("dl")
+    return tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / F.lit(index.avgdl or 1.0)))
+
+
+def _weighted(index: Index, qterms: DataFrame) -> DataFrame:
+    if "qw" not in qterms.columns:
+        qterms = qterms.withColumn("qw", F.lit(1.0))
+    w = F.col("qw").cast("double") * idf_expr(index.n_docs, F.col("df"))
+    return qterms.join(index.term_stats, "term").select(F.col("query_id").cast("bigint").alias("query_id"), "term", w.alias("w"))
+
+
+def _best_by_block(index: Index, qterms: DataFrame, k: int, exclude_self: bool = False, shard: Column | None = None, n_shards: int = 1):
+    """The top k of every query in each block of documents (see ``bounded``).  A query
+    table of few terms first leaves the other terms' postings out."""
+    n_terms = qterms.count()
+    postings = index.postings.select("doc_id", "term", saturation(index).alias("sat"))
+    size = index.term_stats
+    if n_terms <= BROADCAST_MAX_ROWS // 8:
+        asked = qterms.select("term").distinct()
+        postings, size = (d.join(F.broadcast(asked), "term", "left_semi") for d in (postings, size))
+    n_postings = size.agg(F.sum("df")).first()[0] or 0
+    return bounded.grid_best(postings, _weighted(index, qterms), k, int(n_postings), n_terms, exclude_self, shard, n_shards)
+
+
+def top_k_terms(index: Index, qterms: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:
+    """Top-k (query_id, doc_id, rank, score) for (query_id, term[, qw]) rows, qw above
+    zero: exact, by bounded scoring in blocks.  An index with composite ids scores
+    all pairs."""
+    if isinstance(index.postings.schema["doc_id"].dataType, StructType):
+        scores = score_terms(index, qterms)
+    else:
+        found, _ = _best_by_block(index, qterms, k, exclude_self)
+        scores = found.select("query_id", "doc_id", round_score("raw").alias("score"))
+    return top_k_by_score(scores, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
+
+
+def score_pairs(index: Index, qterms: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(query_id, doc_id, score) of the listed (query_id, doc_id) pairs only."""
+    asked = pairs.select("query_id", "doc_id").distinct().join(_weighted(index, qterms), "query_id")
+    part = F.col("w") * saturation(index)
+    return asked.join(index.postings, ["doc_id", "term"]).groupBy("query_id", "doc_id").agg(round_score(F.sum(part)).alias("score"))
+
+
 def search(index: Index, queries: DataFrame, k: int = 5, id_col: str = "query_id", text_col: str = "text") -> DataFrame:
     """Top-k (query_id, doc_id, rank, score) for a whole table of queries."""
-    scores = score_terms(index, query_terms(queries, id_col, text_col))
-    return top_k_by_score(scores, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
+    return top_k_terms(index, query_terms(queries, id_col, text_col), k)
 
 
 def doc_top_terms(index: Index, ids: DataFrame | None = None, n_terms: int | None = None) -> DataFrame:
@@ -154,9 +197,7 @@ def doc_top_terms(index: Index, ids: DataFrame | None = None, n_terms: int | Non
         p = p.join(bounded_broadcast(ids.select(F.col(ids.columns[0]).cast("bigint").alias("doc_id"))), "doc_id", "left_semi")
     if n_terms is None:
         return p.select("doc_id", "term")
-    tf, dl = F.col("tf"), F.col("dl")
-    sat = tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / F.lit(index.avgdl or 1.0)))
-    w = p.join(index.term_stats, "term").select("doc_id", "term", round_score(sat * idf_expr(index.n_docs, F.col("df"))).alias("w"))
+    w = p.join(index.term_stats, "term").select("doc_id", "term", round_score(saturation(index) * idf_expr(index.n_docs, F.col("df"))).alias("w"))
     return top_k(w, "doc_id", [F.col("w").desc(), F.col("term").asc()], n_terms, "term_rank")
 
 
@@ -165,8 +206,7 @@ def similar_docs(index: Index, ids: DataFrame | None = None, k: int = 5, n_terms
     or with the ``n_terms`` of largest BM25 weight in it; the document itself is
     excluded."""
     qt = doc_top_terms(index, ids, n_terms).select(F.col("doc_id").alias("query_id"), "term")
-    scores = score_terms(index, qt).filter(F.col("doc_id") != F.col("query_id"))
-    return top_k_by_score(scores, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
+    return top_k_terms(index, qt, k, exclude_self=True)
 
 
 def fetch(hits: DataFrame, corpus: DataFrame, cols, id_col: str = "doc_id") -> DataFrame:
@@ -234,7 +274,8 @@ def shard_of(doc_id: Column, n: int) -> Column:
 def search_sharded(index: Index, queries: DataFrame, n_shards: int, k: int = 5) -> DataFrame:
     """Top-k inside each shard, then merge; statistics stay global, so the
     result equals ``search``."""
-    scores = score_terms(index, query_terms(queries)).withColumn("shard", shard_of(F.col("doc_id"), n_shards))
+    found, per = _best_by_block(index, query_terms(queries), k, shard=shard_of(F.col("doc_id"), n_shards), n_shards=n_shards)
+    scores = found.select("query_id", "doc_id", round_score("raw").alias("score"), F.floor(F.col("dblk") / per).alias("shard"))
     per_shard = top_k_by_score(scores, ["query_id", "shard"], "score", "doc_id", k, "shard_rank")
     return top_k_by_score(per_shard, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
 
