@@ -1,33 +1,73 @@
-"""Query reformulation: learned pairs first, then the nearest targets by spelling."""
+"""Query reformulation: learned pairs first, then the nearest targets by spelling.
+
+Candidates of a query are the targets that share a character 3-gram with it, A-Z taken
+as a-z.  An edit spoils at most three of a query's grams, so a target within distance d
+shares all but 3d of them, and one of any 3d + 1.  The two rarest grams of a query give
+a first k-th best distance; with it, the 3d + 1 rarest grams and the lengths find every
+candidate that can still be among the best k, and the frequent grams stay out of the
+join.  Queries with too few targets so far, or too few grams, go through all of theirs.
+No distance is ruled out beforehand."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import char_grams
 from corpusmill.operators.topk import top_k
 
 GRAM = 3
+PROBE = 2
+
+
+def grams(text: str) -> Column:
+    small = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.array_distinct(char_grams(small, GRAM))
+
+
+def _meeting(qg: DataFrame, tg: DataFrame) -> DataFrame:
+    """(query, target, limit): distinct pairs that share one of the given grams and
+    whose lengths differ by no more than the limit, if there is one."""
+    close = F.col("limit").isNull() | (F.abs(F.length("query") - F.length("target")) <= F.col("limit"))
+    return qg.join(tg, "g").where(close).select("query", "target", "limit").distinct()
+
+
+def candidates(targets: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query, target, limit) of distinct ``query`` and ``target`` texts: all pairs that
+    can be among the k nearest of a query, ties included, with the k-th best distance
+    so far."""
+    tg = targets.select("target", F.explode(grams("target")).alias("g")).persist(StorageLevel.MEMORY_AND_DISK)
+    df = tg.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    qg = queries.select("query", F.explode(grams("query")).alias("g"))
+    rarest = Window.partitionBy("query").orderBy(F.coalesce("df", F.lit(0)), "g")  # as many rows as a query has grams
+    qg = qg.join(df, "g", "left").where("df is not null").withColumn("nth", F.row_number().over(rarest)).drop("df").persist(StorageLevel.MEMORY_AND_DISK)
+    near = _meeting(qg.where(F.col("nth") <= PROBE).withColumn("limit", F.lit(None).cast("int")), tg)
+    near = top_k(near.withColumn("d", F.levenshtein("query", "target")), "query", ["d", "target"], k)
+    limit = near.where(F.col("rank") == k).select("query", F.col("d").alias("limit"))
+    held = qg.join(limit, "query", "left").where(F.col("limit").isNull() | (F.col("nth") <= 3 * F.col("limit") + 1))
+    return _meeting(held, tg)
+
+
+def nearest(targets: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query, target, distance) of the candidates that keep their limit."""
+    bound = F.coalesce("limit", F.greatest(F.length("query"), F.length("target")))
+    found = candidates(targets, queries, k).withColumn("distance", F.levenshtein("query", "target").cast("bigint"))
+    return found.where(F.col("distance") <= bound).drop("limit")
 
 
 def reformulate(targets: DataFrame, queries: DataFrame, k: int, pairs: DataFrame | None = None, q_id: str = "query_id",
                 q_text: str = "query", t_text: str = "target") -> DataFrame:
     """(query_id, target, rank, distance, learned).
 
-    Candidates are the targets sharing at least one lower-cased character
-    3-gram with the query (an equi-join on the gram), reranked by Levenshtein
-    distance, ties by target.  Targets learned for exactly this query text come
-    first, with distance 0 reported as their own edit distance."""
-    t = targets.select(F.col(t_text).alias("target")).distinct()
-    q = queries.select(F.col(q_id).alias("query_id"), F.col(q_text).alias("query"))
-    tg = t.select("target", F.explode(F.array_distinct(char_grams(F.lower("target"), GRAM))).alias("g"))
-    qg = q.select("query_id", "query", F.explode(F.array_distinct(char_grams(F.lower("query"), GRAM))).alias("g"))
-    cand = qg.join(tg, "g").select("query_id", "query", "target").distinct().withColumn("learned", F.lit(0))
+    The k candidates of least Levenshtein distance, ties by target.  Targets learned
+    for exactly this query text come first, with their own edit distance."""
+    t = targets.select(F.col(t_text).alias("target")).where("target is not null").distinct()
+    q = queries.select(F.col(q_id).alias("query_id"), F.col(q_text).alias("query")).where("query is not null")
+    cand = nearest(t, q.select("query").distinct(), k).withColumn("learned", F.lit(0))
     if pairs is not None:
-        learned = pairs.select(F.col("source").alias("query"), F.col("target")).join(q, "query").select("query_id", "query", "target").withColumn("learned", F.lit(1))
-        cand = cand.unionByName(learned).groupBy("query_id", "query", "target").agg(F.max("learned").alias("learned"))
-    scored = cand.withColumn("distance", F.levenshtein("query", "target").cast("bigint"))
-    return top_k(scored, "query_id", [F.col("learned").desc(), F.col("distance").asc(), F.col("target").asc()], k).select(
-        "query_id", "target", "rank", "distance", F.col("learned").cast("bigint").alias("learned")
-    )
+        learned = pairs.select(F.col("source").alias("query"), F.col("target")).join(q.select("query").distinct(), "query", "left_semi").distinct()
+        learned = learned.select("query", "target", F.levenshtein("query", "target").cast("bigint").alias("distance"), F.lit(1).alias("learned"))
+        cand = cand.unionByName(learned).groupBy("query", "target", "distance").agg(F.max("learned").alias("learned"))
+    best = top_k(cand, "query", [F.col("learned").desc(), F.col("distance").asc(), F.col("target").asc()], k)
+    return q.join(best, "query").select("query_id", "target", "rank", "distance", F.col("learned").cast("bigint").alias("learned"))

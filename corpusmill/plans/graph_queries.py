@@ -14,6 +14,7 @@ from corpusmill.operators import recommend as rc
 from corpusmill.operators import reform as rf
 from corpusmill.operators import vectors as vx
 from corpusmill.plans import sql as q
+from corpusmill.plans.prep_queries import _noisy_sql
 from corpusmill.plans.registry import load, register
 from corpusmill.sources import html
 
@@ -252,7 +253,26 @@ def cold_start_recall(spark, sf):
     return ev.recall_at_k(hits, truth, 5)
 
 
-# ---- M17 reformulation (rows-only: DuckDB's edit distance counts bytes) -------------------------------
+def _grams(x):
+    return f"list_distinct(CASE WHEN length({x}) <= 3 THEN [{x}] ELSE list_transform(range(1, length({x}) - 1), lambda i: substring({x}, i, 3)) END)"
+
+
+# ---- M17 reformulation ---------------------------------------------------------------------------------
+
+# DuckDB's edit distance counts bytes: characters beyond ASCII are first put in place of control characters,
+# which titles do not hold.
+_CONTROLS = " || ".join(f"chr({i})" for i in (*range(1, 9), 11, 12, *range(14, 32), 127))
+_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+REFORM_SQL = f"""WITH nz AS ({_noisy_sql()}), q AS (SELECT doc_id * 2 + copy AS query_id, noisy AS query, source FROM nz),
+t AS (SELECT DISTINCT title AS target FROM ({q.page_docs()})),
+al AS (SELECT coalesce(string_agg(ch, '' ORDER BY ch), '') AS s FROM (SELECT DISTINCT unnest(string_split(target, '')) AS ch FROM t) WHERE unicode(ch) > 127),
+qs AS (SELECT DISTINCT query FROM q),
+qg AS (SELECT query, unnest({_grams(_AZ.format('query'))}) AS g FROM qs), tg AS (SELECT target, unnest({_grams(_AZ.format('target'))}) AS g FROM t),
+cand AS (SELECT DISTINCT query, target FROM qg JOIN tg USING (g)),
+d AS (SELECT query, target, levenshtein(translate(query, s, {_CONTROLS}), translate(target, s, {_CONTROLS})) AS distance FROM cand CROSS JOIN al),
+best AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, target) AS rank FROM d),
+hits AS (SELECT q.query_id, best.target, best.rank, best.distance, 0::BIGINT AS learned FROM q JOIN best USING (query) WHERE best.rank <= 3)"""
+
 
 def _reform(spark, sf, k=3):
     pd = html.html_to_corpus(load(spark, sf, "pages"))
@@ -262,12 +282,17 @@ def _reform(spark, sf, k=3):
     return noisy, rf.reformulate(pd.select(F.col("title").alias("target")), noisy, k)
 
 
-@register("reformulate_titles")
+@register("reformulate_titles", f"{REFORM_SQL} SELECT query_id, target, rank, distance, learned FROM hits")
 def reformulate_titles(spark, sf):
     return _reform(spark, sf)[1]
 
 
-@register("reformulate_recall")
+@register(
+    "reformulate_recall",
+    f"""{REFORM_SQL} SELECT round(avg(r), 6) AS recall_at_k FROM (
+        SELECT q.query_id, avg(CASE WHEN hits.target IS NULL THEN 0.0 ELSE 1.0 END) AS r
+        FROM q LEFT JOIN hits ON hits.query_id = q.query_id AND hits.target = q.source GROUP BY q.query_id)""",
+)
 def reformulate_recall(spark, sf):
     noisy, hits = _reform(spark, sf)
     truth = noisy.select("query_id", F.col("source").alias("doc_id"))
