@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import stable_hash
 from corpusmill.operators.index import Index, idf_expr
-from corpusmill.operators.topk import top_k_by_score
+from corpusmill.operators.topk import top_k, top_k_by_score
 
 # Rows of a block of the comparison grid.
 BLOCK, LEAST_BLOCK = 4096, 256
@@ -94,49 +95,107 @@ def dense(sparse: DataFrame, dim: int, id_col: str = "doc_id") -> DataFrame:
     return g.select(id_col, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0))).alias("vector"))
 
 
-# ---- D15: bucketed (approximate) neighbours ------------------------------------------------
+# ---- D15: approximate neighbours by sign codes ---------------------------------------------
 
-def _hyperplanes(dim: int, n_tables: int, n_bits: int, seed: int) -> np.ndarray:
-    """Random hyperplanes (Charikar 2002), fixed by the seed."""
-    return np.random.default_rng(seed).standard_normal((n_tables, n_bits, dim))
+# Signs a code holds; vectors a bucket is meant to hold; buckets a query looks into, chosen
+# among those that differ in its NARROW least certain signs.
+CODE_BITS, BUCKET, PROBES, NARROW = 256, 4096, 64, 12
 
 
-def _signatures(df: DataFrame, id_col: str, vec: str, planes: np.ndarray, role: str) -> DataFrame:
-    """(id, v, table, sig) with one sign-bit signature per table, computed in numpy per Arrow batch."""
-    n_tables, n_bits, _ = planes.shape
-    weights = (1 << np.arange(n_bits)).astype(np.int64)
+def planes(spark, dim: int, n_bits: int = CODE_BITS, seed: int = 7) -> DataFrame:
+    """(bit, signs): hyperplanes of random signs (Charikar 2002) from the stable hash of
+    ``seed:bit:dimension``; a table that can be stored beside its codes."""
+    sign = lambda d: F.when(F.pmod(stable_hash(F.concat(F.lit(f"{seed}:"), F.col("bit"), F.lit(f":{d}"))), F.lit(2)) == 0, 1.0).otherwise(-1.0)
+    return spark.range(n_bits).select(F.col("id").alias("bit"), F.array(*[sign(d) for d in range(dim)]).alias("signs"))
 
-    def sig(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def probed(margin: np.ndarray, n_probes: int) -> np.ndarray:
+    """Per row the buckets to look into, nearest first: the bucket of its signs, then
+    those whose differing signs have the least sum of squared margins."""
+    n, bits = margin.shape
+    base = (margin >= 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(n, np.int64)
+    narrow = min(bits, NARROW)
+    weak = np.argsort(np.abs(margin), axis=1, kind="stable")[:, :narrow]
+    flips = (np.arange(1 << narrow)[:, None] >> np.arange(narrow)) & 1
+    cost = np.take_along_axis(margin, weak, 1) ** 2 @ flips.T
+    pick = np.argsort(cost, axis=1, kind="stable")[:, : min(n_probes, 1 << narrow)]
+    change = (1 << weak.astype(np.int64)) @ flips.T.astype(np.int64)
+    return base[:, None] ^ np.take_along_axis(change, pick, 1)
+
+
+def codes(df: DataFrame, id_col: str, vec: str, signs: np.ndarray, bucket_bits: int, n_probes: int) -> DataFrame:
+    """(id, code, bucket): one row per vector, or per vector and bucket to look into."""
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty:
                 continue
-            m = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            for t in range(n_tables):
-                bits = (m @ planes[t].T) >= 0
-                yield pd.DataFrame({"id": pdf["id"].to_numpy(), "v": pdf["v"], "tbl": t, "sig": bits.astype(np.int64) @ weights})
+            margin = np.stack(pdf["v"].to_numpy()).astype(np.float64) @ signs.T
+            packed = np.packbits(margin >= 0, axis=1, bitorder="little").view("<i8")
+            buckets = probed(margin[:, :bucket_bits], n_probes)
+            at = np.repeat(np.arange(len(pdf)), buckets.shape[1])
+            yield pd.DataFrame({"id": pdf["id"].to_numpy()[at], "code": list(packed[at]), "bucket": buckets.ravel()})
+
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")).where("v is not null")
+    return src.mapInPandas(code, "id long, code array<long>, bucket long")
+
+
+def _short_list(m: int, exclude_self: bool):
+    def nearest(t: pa.Table) -> pa.Table:
+        is_query = t.column("is_query").to_numpy()
+        ids = t.column("id").to_numpy()
+        bits = t.column("code").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+        q, v, qids, vids = bits[is_query], bits[~is_query], ids[is_query], ids[~is_query]
+        order = np.argsort(vids, kind="stable")
+        v, vids = v[order], vids[order]
+        out = [np.empty((0, 3), np.int64)]
+        for i in range(len(q) if len(v) else 0):
+            far = np.bitwise_count(v ^ q[i]).sum(axis=1, dtype=np.int64)
+            if exclude_self:
+                far[vids == qids[i]] = far.max() + bits.shape[1] * 64 + 1
+            best = np.argsort(far, kind="stable")[:m]  # ties by id
+            best = best[vids[best] != qids[i]] if exclude_self else best
+            out.append(np.column_stack([np.full(len(best), qids[i]), vids[best], far[best]]))
+        found = np.concatenate(out)
+        return pa.table({"query_id": found[:, 0], "doc_id": found[:, 1], "far": found[:, 2]})
 
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v"))
-    return src.mapInPandas(sig, "id long, v array<double>, tbl int, sig long").withColumn("role", F.lit(role))
+    return nearest
 
 
 def knn_approx(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_id", v_id: str = "vec_id", vec: str = "embedding",
-               n_tables: int = 8, n_bits: int = 4, block: int = 2048, seed: int = 7, exclude_self: bool = True) -> DataFrame:
-    """Neighbours among vectors sharing a sign-bit bucket in any table.
-
-    A bucket is cut into a grid of query blocks x vector blocks of at most
-    ``block`` rows each (block counts come from the bucket sizes), so a hot
-    bucket spreads over many tasks and no group exceeds 2 x block rows; each
-    block pair emits only its own top k per query."""
-    dim = len(vectors.select(vec).first()[0])
-    planes = _hyperplanes(dim, n_tables, n_bits, seed)
-    qs = _signatures(queries, q_id, vec, planes, "q")
-    vs = _signatures(vectors, v_id, vec, planes, "v")
-    sizes = (
-        qs.unionByName(vs).groupBy("tbl", "sig")
-        .agg(F.sum((F.col("role") == "q").cast("long")).alias("nq"), F.sum((F.col("role") == "v").cast("long")).alias("nv"))
-        .select("tbl", "sig", F.greatest(F.ceil(F.col("nq") / block), F.lit(1)).alias("bq"), F.greatest(F.ceil(F.col("nv") / block), F.lit(1)).alias("bv"))
-    )
-    sizes = F.broadcast(sizes)  # one row per (table, signature): at most n_tables * 2**n_bits rows
-    pairs = _grid_best(qs.join(sizes, ["tbl", "sig"]), vs.join(sizes, ["tbl", "sig"]), ["tbl", "sig"], k, exclude_self)
-    best = pairs.groupBy("query_id", "doc_id").agg(F.round(F.max("raw"), 6).alias("score"))
-    return top_k_by_score(best, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
+               short_list: int = 20, n_bits: int = CODE_BITS, bucket: int = BUCKET, n_probes: int = PROBES, seed: int = 7, exclude_self: bool = True) -> DataFrame:
+    """The ``short_list * k`` vectors of nearest sign code are compared exactly.
+
+    Buckets are told apart by as many signs as leave about ``bucket`` vectors in each,
+    and a query looks into its ``n_probes`` nearest ones, so that its work stops growing
+    with the number of vectors; below two buckets' worth all codes are looked at.  A bucket
+    is cut into a grid of query blocks x vector blocks, which shuffle codes, not vectors.
+    Ties of codes and of scores go to the smaller id."""
+    spark, n = vectors.sparkSession, vectors.count()
+    first = vectors.select(vec).where(F.col(vec).isNotNull()).first()
+    if first is None:
+        return spark.createDataFrame([], "query_id long, doc_id long, rank long, score double")
+    signs = np.array([r["signs"] for r in planes(spark, len(first[0]), n_bits, seed).orderBy("bit").collect()])  # n_bits rows
+    bits = max(0, int(np.log2(max(n, 1) / bucket)))
+    qs, vs = codes(queries, q_id, vec, signs, bits, n_probes), codes(vectors, v_id, vec, signs, bits, 1)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = lambda d, name: d.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.least(F.ceil(F.count(F.lit(1)) / LEAST_BLOCK), F.lit(max(1, int((tasks >> min(bits, 30)) ** 0.5))))).alias(name))
+    sizes = cut(qs, "bq").join(cut(vs, "bv"), "bucket")
+    own = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("long")  # noqa: E731 - block assignment only
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c).cast("long") - 1))
+    qb = qs.join(sizes, "bucket").select("bucket", own("bq").alias("qblk"), every("bv").alias("vblk"), F.lit(True).alias("is_query"), "id", "code")
+    vb = vs.join(sizes, "bucket").select("bucket", every("bq").alias("qblk"), own("bv").alias("vblk"), F.lit(False).alias("is_query"), "id", "code")
+    near = qb.unionByName(vb).groupBy("bucket", "qblk", "vblk").applyInArrow(_short_list(short_list * k, exclude_self), "query_id long, doc_id long, far long")
+    near = top_k(near, "query_id", ["far", "doc_id"], short_list * k).select("query_id", "doc_id")
+    side = lambda d, i, name, v: d.select(F.col(i).cast("long").alias(name), F.col(vec).cast("array<double>").alias(v))
+    both = near.join(side(vectors, v_id, "doc_id", "v"), "doc_id").join(side(queries, q_id, "query_id", "q"), "query_id")
+
+    def cosine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not pdf.empty:
+                a, b = (np.stack(pdf[c].to_numpy()).astype(np.float64) for c in ("q", "v"))
+                norm = np.maximum(np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1), 1e-300)
+                yield pd.DataFrame({"query_id": pdf["query_id"], "doc_id": pdf["doc_id"], "raw": (a * b).sum(axis=1) / norm})
+
+    scored = both.mapInPandas(cosine, "query_id long, doc_id long, raw double").select("query_id", "doc_id", F.round("raw", 6).alias("score"))
+    return top_k_by_score(scored, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")

@@ -299,17 +299,33 @@ def reformulate_recall(spark, sf):
     return ev.recall_at_k(hits.select("query_id", F.col("target").alias("doc_id"), "rank"), truth, 3)
 
 
-# ---- D15: bucketed neighbours, measured against D14 (rows-only: random hyperplanes) ----------------
+# ---- D15: neighbours by sign codes, measured against D14 --------------------------------------------
 
-@register("knn_approx_embeddings")
+# The same planes from the stable hash.  One bucket: all codes are looked at below two buckets' worth of vectors.
+_APPROX_SQL = f"""WITH pl AS (SELECT b AS bit, list(CASE WHEN {q.shash("'7:' || b || ':' || d")} % 2 = 0 THEN 1.0 ELSE -1.0 END::DOUBLE ORDER BY d) AS signs
+  FROM range(256) t(b), range((SELECT max(len(embedding)) FROM embeddings)) u(d) GROUP BY b),
+e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+c AS (SELECT vec_id, string_agg(CASE WHEN list_dot_product(v, signs) >= 0 THEN '1' ELSE '0' END, '' ORDER BY bit)::BIT AS code FROM e, pl GROUP BY vec_id),
+f AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, bit_count(xor(a.code, b.code)) AS far FROM c a JOIN c b ON a.vec_id <> b.vec_id),
+s AS (SELECT query_id, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY far, doc_id) AS r FROM f) WHERE r <= 200),
+x AS (SELECT s.query_id, s.doc_id, round(list_cosine_similarity(a.v, b.v), 6) AS score FROM s JOIN e a ON a.vec_id = s.query_id JOIN e b ON b.vec_id = s.doc_id)
+SELECT query_id, doc_id, rank, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM x) WHERE rank <= 10"""
+
+
+@register("knn_approx_embeddings", _APPROX_SQL)
 def knn_approx_embeddings(spark, sf):
     e = load(spark, sf, "embeddings")
     return vx.knn_approx(e, e, 10)
 
 
-@register("knn_approx_recall")
+@register(
+    "knn_approx_recall",
+    f"""SELECT round(avg(r), 6) AS recall_at_k FROM (
+        SELECT t.query_id, avg(CASE WHEN h.doc_id IS NULL THEN 0.0 ELSE 1.0 END) AS r
+        FROM ({_knn_sql(10)}) t LEFT JOIN ({_APPROX_SQL}) h ON h.query_id = t.query_id AND h.doc_id = t.doc_id GROUP BY t.query_id)""",
+)
 def knn_approx_recall(spark, sf):
-    """Share of the exact top 10 (D14) that the bucketed search finds."""
+    """Share of the exact top 10 (D14) that the codes' short list holds."""
     e = load(spark, sf, "embeddings")
     exact = vx.knn(e, e, 10)
     approx = vx.knn_approx(e, e, 10)
