@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import tokens
-from corpusmill.session import bounded_broadcast
+from corpusmill.operators import class_grid, prep
+from corpusmill.session import bounded_broadcast, ensure_checkpoint_dir
 
-MAX_DENSE_CLASSES = 10_000  # classes scored for every row (checked, then a literal array)
+# Up to so many classes are scored inside the row, more of them in blocks of rows and
+# classes (``class_grid``): the same answers by another plan.
+IN_ROW_CLASSES = 64
 
 
 @dataclass(frozen=True)
@@ -106,33 +109,31 @@ def fit_in_batches(batches: list[DataFrame], id_col: str, text_col: str, label_c
     return reduce(lambda a, b: merge(a, b), models)
 
 
-def _class_rows(classes: DataFrame, cols: list[str]):
-    """Bring a class table to the driver after checking its size (it becomes a
-    literal array, so rows are expanded per class without any join)."""
-    n = classes.count()
-    if n > MAX_DENSE_CLASSES:
-        raise ValueError(f"{n} classes is too many for dense scoring; use search-style scoring (M6)")
-    return classes.select(*cols).collect()
-
-
-def _explode_classes(rows, names: list[str]):
-    return F.explode(F.array(*[F.struct(*[F.lit(r[i]).alias(nm) for i, nm in enumerate(names)]) for r in rows])).alias("_c")
+def _classes(model: CountModel) -> DataFrame:
+    """label, prior, norm of every class."""
+    v_size = model.term_counts.filter(F.col("n") > 0).select("term").distinct().count()
+    n_docs = model.class_counts.agg(F.sum("docs")).first()[0] or 0.0
+    return model.class_counts.select(
+        "label", F.log(F.col("docs") / F.lit(float(n_docs))).alias("prior"), F.log(F.col("len") + F.lit(float(v_size))).alias("norm")
+    )
 
 
 def _scoring_tables(model: CountModel) -> tuple[list, DataFrame]:
-    """The classes (label, prior, norm) and (term, m): per-class ln(n + 1) of each term."""
+    """The classes, at most IN_ROW_CLASSES, and (term, m): per-class ln(n + 1) of each term."""
     tc = model.term_counts.filter(F.col("n") > 0)
-    v_size = tc.select("term").distinct().count()
-    n_docs = model.class_counts.agg(F.sum("docs")).first()[0] or 0.0
-    classes = _class_rows(
-        model.class_counts.select(
-            "label", F.log(F.col("docs") / F.lit(float(n_docs))).alias("prior"), F.log(F.col("len") + F.lit(float(v_size))).alias("norm")
-        ).orderBy("label"),
-        ["label", "prior", "norm"],
-    )
+    classes = _classes(model).orderBy("label").collect()
     return classes, tc.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("label", F.log(F.col("n") + 1)))).alias("m"))
 
 
+def _in_blocks(model: CountModel, terms: DataFrame, rows: DataFrame, k: int, places: int) -> DataFrame:
+    weights = model.term_counts.filter(F.col("n") > 0).select("label", "term", F.log(F.col("n") + 1).alias("w"))
+    known = terms.join(weights.select("term").distinct(), "term", "left_semi").select("row_id", "term", "cnt").persist(StorageLevel.MEMORY_AND_DISK)
+    # a row may be listed twice, and its terms once: it is scored once
+    rows = rows.select("row_id").distinct().join(known.groupBy("row_id").agg(F.sum("cnt").alias("L")), "row_id", "left").select("row_id", F.coalesce("L", F.lit(0.0)).alias("L"))
+    sizes = {"classes": model.class_counts.count(), "weights": weights.count(), "rows": rows.count(), "terms": known.count()}
+    return class_grid.rank_classes(_classes(model), weights, rows, known, sizes, k, places)
+
+
 def predict_terms(model: CountModel, terms: DataFrame, rows: DataFrame, k: int = 1, places: int = 4) -> DataFrame:
     """M2 on (row_id, term, cnt): (row_id, label, score, prob, rank) for the top k classes.
 
@@ -140,8 +141,10 @@ def predict_terms(model: CountModel, terms: DataFrame, rows: DataFrame, k: int =
     by the class count, joined from the model; broadcast after a size check),
     every row gathers its own terms with one ``groupBy(row_id)`` (a row's terms
     are bounded by the row), and all classes are scored, normalised and ranked
-    inside the row.  ``rows`` lists every row to score (rows without a known
-    term get the prior)."""
+    inside the row.  More than IN_ROW_CLASSES classes are scored in blocks.
+    ``rows`` lists every row to score (rows without a known term get the prior)."""
+    if model.class_counts.limit(IN_ROW_CLASSES + 1).count() > IN_ROW_CLASSES:
+        return _in_blocks(model, terms, rows, k, places)
     classes, weights = _scoring_tables(model)
     known = terms.join(bounded_broadcast(weights), "term").select("row_id", "cnt", "m")
     empty = rows.select("row_id", F.lit(None).cast("double").alias("cnt"), F.lit(None).cast(weights.schema["m"].dataType).alias("m"))
@@ -199,7 +202,13 @@ def fit_tabular(df: DataFrame, feature_cols: dict, label_col: str) -> CountModel
 def predict_tabular(model: CountModel, df: DataFrame, keep: list[str], feature_cols: dict, k: int = 1) -> DataFrame:
     """Top k classes of every row, with its columns ``keep``.  Each feature looks its
     weights up in the model's table and the row adds them: rows need no id, and
-    equal rows are scored each by itself."""
+    equal rows are scored each by itself.  More than IN_ROW_CLASSES classes are scored
+    in blocks, rows by their number in a checkpoint."""
+    if model.class_counts.limit(IN_ROW_CLASSES + 1).count() > IN_ROW_CLASSES:
+        ensure_checkpoint_dir(df.sparkSession)
+        own = df.select(*keep, F.array(*_tabular_terms(feature_cols)).alias("_terms"), F.monotonically_increasing_id().alias("row_id")).checkpoint()
+        terms = own.select("row_id", F.explode("_terms").alias("term"), F.lit(1.0).alias("cnt"))
+        return own.join(_in_blocks(model, terms, own, k, 4), "row_id").drop("row_id", "_terms")
     classes, weights = _scoring_tables(model)
     rows, found = df.select(*keep, *[t.alias(f"_t{i}") for i, t in enumerate(_tabular_terms(feature_cols))]), []
     weights = bounded_broadcast(weights.persist(StorageLevel.MEMORY_AND_DISK))
@@ -232,31 +241,42 @@ def predict_multilabel(fitted, df: DataFrame, id_col: str, text_col: str) -> Dat
     terms = doc_terms(df, id_col, text_col)
     known = terms.join(all_terms, "term")
     length = known.groupBy("row_id").agg(F.sum("cnt").alias("L"))
-    classes = _class_rows(
-        pos.class_counts.select(
-            "label",
-            (F.log(F.col("docs")) - F.log(F.lit(n_all) - F.col("docs"))).alias("prior"),
-            (F.log(F.lit(len_all) - F.col("len") + F.lit(v)) - F.log(F.col("len") + F.lit(v))).alias("norm"),
-        ),
-        ["label", "prior", "norm"],
+    classes = pos.class_counts.select(
+        "label",
+        (F.log(F.col("docs")) - F.log(F.lit(n_all) - F.col("docs"))).alias("prior"),
+        (F.log(F.lit(len_all) - F.col("len") + F.lit(v)) - F.log(F.col("len") + F.lit(v))).alias("norm"),
     )
+    # every row gets every label: the result is that large
+    listed = F.explode(classes.agg(F.collect_list(F.struct("label", "prior", "norm"))).scalar()).alias("_c")
+    missed = known.groupBy("row_id").agg(F.sum(F.col("cnt") * F.log(F.col("n_all") + 1)).alias("missed"))
     base = (
-        df.select(F.col(id_col).alias("row_id")).join(length, "row_id", "left")
-        .select("row_id", "L", _explode_classes(classes, ["label", "prior", "norm"]))
-        .select("row_id", F.col("_c.label").alias("label"), (F.col("_c.prior") + F.coalesce(F.col("L"), F.lit(0.0)) * F.col("_c.norm")).alias("s"))
-    )
-    pairs = known.select("row_id", "term", "cnt", "n_all", _explode_classes([(r["label"],) for r in classes], ["label"])).select(
-        "row_id", "term", "cnt", "n_all", F.col("_c.label").alias("label")
+        df.select(F.col(id_col).alias("row_id")).join(length, "row_id", "left").join(missed, "row_id", "left")
+        .select("row_id", "L", "missed", listed)
+        .select(
+            "row_id", F.col("_c.label").alias("label"),
+            (F.col("_c.prior") + F.coalesce(F.col("L"), F.lit(0.0)) * F.col("_c.norm") - F.coalesce("missed", F.lit(0.0))).alias("s"),
+        )
     )
-    pairs = pairs.join(pos.term_counts, ["label", "term"], "left").withColumn("n", F.coalesce("n", F.lit(0.0)))
-    bonus = pairs.groupBy("row_id", "label").agg(
-        F.sum(F.col("cnt") * (F.log(F.col("n") + 1) - F.log(F.col("n_all") - F.col("n") + 1))).alias("b")
+    # a term that a label has not met adds -ln(n_all + 1), summed above; only terms that it has met are joined
+    met = known.join(pos.term_counts.filter(F.col("n") > 0), "term")
+    bonus = met.groupBy("row_id", "label").agg(
+        F.sum(F.col("cnt") * (F.log(F.col("n") + 1) - F.log(F.col("n_all") - F.col("n") + 1) + F.log(F.col("n_all") + 1))).alias("b")
     )
     return base.join(bonus, ["row_id", "label"], "left").select(
         "row_id", "label", F.round(F.col("s") + F.coalesce("b", F.lit(0.0)), 4).alias("score")
     )
 
 
+# ---- M6: text to id -----------------------------------------------------------------
+
+def cold_start(corpus: DataFrame, id_col: str, strong: str | None, weak: str | None, phrase_len: int = 8) -> CountModel:
+    """M6: learns text to id from an unlabelled catalogue: the pseudo queries of P11 (the
+    strong text, phrases of the weak one) train a count model with the id as class.
+    ``predict`` then gives the best ids for any text, whatever the size of the catalogue."""
+    pairs = prep.cold_start_pairs(corpus, id_col, strong, weak, phrase_len)
+    return fit_text(pairs, "doc_id", "query", "doc_id")
+
+
 # ---- M3: MLlib logistic regression --------------------------------------------------
 
 def fit_linear(df: DataFrame, feature_cols: list[str], label_col: str, max_iter: int = 50):

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusmill.operators import classify as cl
 from corpusmill.operators import evaluate as ev
 from corpusmill.operators import features as fx
 from corpusmill.operators import graph as gr
@@ -15,7 +16,7 @@ from corpusmill.operators import reform as rf
 from corpusmill.operators import vectors as vx
 from corpusmill.plans import sql as q
 from corpusmill.plans.prep_queries import _noisy_sql
-from corpusmill.plans.registry import load, register
+from corpusmill.plans.registry import ORACLES, load, register
 from corpusmill.sources import html
 
 # ---- purchase history: customers buying parts, in order date order --------------------------
@@ -257,6 +258,20 @@ def _grams(x):
     return f"list_distinct(CASE WHEN length({x}) <= 3 THEN [{x}] ELSE list_transform(range(1, length({x}) - 1), lambda i: substring({x}, i, 3)) END)"
 
 
+def _cold_ids_sql():
+    train = f"SELECT row_number() OVER () AS row_id, CAST(doc_id AS VARCHAR) AS label, query AS text FROM ({ORACLES['cold_start_pages']})"
+    return f"""WITH {q.nb_ctes(train, f"SELECT doc_id AS row_id, title AS text FROM ({q.page_docs()})")}
+        SELECT row_id AS doc_id, label AS id, score, prob, rank FROM ({q.nb_top(3)})"""
+
+
+@register("cold_start_ids", _cold_ids_sql())
+def cold_start_ids(spark, sf):
+    """M6: every page's title finds the ids of the pages that its words speak for."""
+    pd = html.html_to_corpus(load(spark, sf, "pages"))
+    hits = cl.predict(cl.cold_start(pd, "doc_id", "title", "body"), pd, "doc_id", "title", 3)
+    return hits.select(F.col("row_id").alias("doc_id"), F.col("label").alias("id"), "score", "prob", "rank")
+
+
 # ---- M17 reformulation ---------------------------------------------------------------------------------
 
 # DuckDB's edit distance counts bytes: characters beyond ASCII are first put in place of control characters,
