@@ -15,6 +15,7 @@ so only (class, term) pairs that occurred are joined.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,8 +23,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import tokens
+from corpusmill.functions.text import char_grams, tokens, word_ngrams
 from corpusmill.operators import class_grid, prep
+from corpusmill.operators.features import Categorical, Date, FeatureSpec, Numerical, Text, date_parts, numerical
 from corpusmill.session import bounded_broadcast, ensure_checkpoint_dir
 
 # Up to so many classes are scored inside the row, more of them in blocks of rows and
@@ -300,3 +302,97 @@ def predict_linear(model, df: DataFrame, id_col: str) -> DataFrame:
 
     out = model.transform(df)
     return out.select(F.col(id_col), F.round(vector_to_array("probability")[1], 6).alias("p1"), F.col("prediction").cast("bigint").alias("pred"))
+
+
+# ---- M3 on mixed columns --------------------------------------------------------------
+
+def _design(df: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, list[str], list[str], list[str]]:
+    """The declared columns as inputs of a design row: scaled numbers, category strings
+    and token lists.  A number stands as itself (F2, clipped to its range) and as its bin;
+    a missing value is a category of its own."""
+    spec.check_columns(df)
+    numbers, names, lists, out = [], [], [], []
+    for c, kind in spec.types.items():
+        if c == spec.target:
+            continue
+        text = F.col(c).cast("string")
+        if isinstance(kind, Numerical):
+            scaled, bin_ = numerical(F.col(c).cast("string").try_cast("double"), *kind.range, kind.bins)
+            out += [F.coalesce(scaled, F.lit(0.0)).alias(f"_{c}_x"), F.coalesce(bin_.cast("string"), F.lit("?")).alias(f"_{c}_bin")]
+            numbers.append(f"_{c}_x")
+            names.append(f"_{c}_bin")
+        elif isinstance(kind, Date):
+            day = text.try_cast("date")
+            for part in date_parts(day):
+                name = f"_{c}_{len(out)}"
+                out.append(F.coalesce(part.cast("string"), F.lit("?")).alias(name))
+                names.append(name)
+        elif isinstance(kind, Text):
+            t = tokens(F.coalesce(text, F.lit("")))
+            grams = t if kind.word_n <= 1 else F.concat(t, word_ngrams(t, kind.word_n))
+            if kind.char_k > 0:
+                grams = F.concat(grams, F.flatten(F.transform(t, lambda x: char_grams(x, kind.char_k))))  # noqa: B023 - used at once
+            out.append(grams.alias(f"_{c}_t"))
+            lists.append(f"_{c}_t")
+        elif isinstance(kind, Categorical) and kind.delimiter:
+            out.append(F.coalesce(F.split(text, re.escape(kind.delimiter)), F.array().cast("array<string>")).alias(f"_{c}_t"))
+            lists.append(f"_{c}_t")
+        else:
+            out.append(F.coalesce(text, F.lit("?")).alias(f"_{c}_c"))
+            names.append(f"_{c}_c")
+    return df.select("*", *out), numbers, names, lists
+
+
+@dataclass(frozen=True)
+class MixedModel:
+    spec: FeatureSpec
+    pipeline: object  # the fitted MLlib pipeline
+
+
+def fit_mixed(df: DataFrame, spec: FeatureSpec, width: int = 1 << 16, crosses: list[tuple[str, str]] = (), max_iter: int = 50, reg: float = 1e-4) -> MixedModel:
+    """M3 on mixed columns: an iterative classifier over sparse hashed rows.
+
+    Numbers, categories, dates, delimited values, texts and the listed ``crosses`` of two
+    columns (F9) are hashed into ``width`` places a group of columns (F7), all inside the
+    JVM; the fit sums gradients over the partitions.  The target is 0 or 1; rows without it
+    are left out."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import FeatureHasher, HashingTF, VectorAssembler
+
+    rows, numbers, names, lists = _design(_crossed(df, crosses), _with_crosses(spec, crosses))
+    stages, parts = [], []
+    if numbers or names:
+        stages.append(FeatureHasher(inputCols=numbers + names, outputCol="_hashed", numFeatures=width, categoricalCols=names))
+        parts.append("_hashed")
+    for c in lists:
+        stages.append(HashingTF(inputCol=c, outputCol=f"{c}_v", numFeatures=width, binary=True))
+        parts.append(f"{c}_v")
+    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
+    stages.append(LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter, regParam=reg, standardization=False))
+    rows = rows.withColumn("_label", F.col(spec.target).cast("double")).where("_label is not null").select("_label", *numbers, *names, *lists)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read once an iteration
+    fitted = Pipeline(stages=stages).fit(rows)
+    rows.unpersist()
+    return MixedModel(_with_crosses(spec, crosses), (tuple(crosses), fitted))
+
+
+def _crossed(df: DataFrame, crosses) -> DataFrame:
+    return df.select("*", *[F.concat_ws("|", F.col(a).cast("string"), F.col(b).cast("string")).alias(f"{a}__{b}") for a, b in crosses])
+
+
+def _with_crosses(spec: FeatureSpec, crosses) -> FeatureSpec:
+    return FeatureSpec({**spec.types, **{f"{a}__{b}": Categorical() for a, b in crosses}}, spec.target)
+
+
+def predict_mixed(model: MixedModel, df: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` with p1, the probability of class 1, and pred.  The target
+    need not be there."""
+    from pyspark.ml.functions import vector_to_array
+
+    crosses, fitted = model.pipeline
+    rows, numbers, names, lists = _design(_crossed(df, crosses), FeatureSpec({c: t for c, t in model.spec.types.items() if c != model.spec.target}))
+    found = fitted.transform(rows.select(*[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)], *numbers, *names, *lists))
+    return found.select(
+        *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], F.round(vector_to_array("probability")[1], 6).alias("p1"), F.col("prediction").cast("bigint").alias("pred")
+    )

@@ -412,3 +412,34 @@ def linear_quality_auc(spark, sf):
     m = cl.fit_linear(tr, ["non_letter_share", "log_len", "lines_per_k"], "quality", 50)
     p = cl.predict_linear(m, te, "doc_id").join(te.select("doc_id", "quality"), "doc_id")
     return ev.roc_auc(p, "p1", "quality")
+
+
+def _watched_spec():
+    return fx.FeatureSpec(
+        {"l_quantity": fx.Numerical((1.0, 50.0), 10), "l_extendedprice": fx.Numerical((900.0, 105000.0), 20), "l_discount": fx.Numerical((0.0, 0.1), 10),
+         "l_linestatus": fx.Categorical(), "l_shipdate": fx.Date()},
+        target="watched",
+    )
+
+
+@register("mixed_lineitem_auc")
+def mixed_lineitem_auc(spark, sf):
+    """M3 on numbers, a category, a date and a cross of ``lineitem``, on held-out rows.
+    The columns are independent of each other, so the target is made from them: a large
+    net price, or a December line of status F."""
+    li = load(spark, sf, "lineitem").withColumn("month", F.month("l_shipdate"))
+    large = F.col("l_extendedprice") * (1 - F.col("l_discount")) > 60000
+    li = li.withColumn("watched", (large | ((F.col("month") == 12) & (F.col("l_linestatus") == "F"))).cast("int"))
+    li = li.withColumn("_row", li_row_id()).withColumn("part", prep.hash_bucket("_row", 21))
+    m = cl.fit_mixed(li.filter("part < 800000"), _watched_spec(), 1 << 12, [("month", "l_linestatus")], 15)
+    return ev.roc_auc(cl.predict_mixed(m, li.filter("part >= 800000"), ["watched"]), "p1", "watched")
+
+
+@register("mixed_quality_auc")
+def mixed_quality_auc(spark, sf):
+    """M3 on the text, language and length of the labelled documents, on held-out ones."""
+    d = labelled_docs(spark, sf).join(load(spark, sf, "documents").select("doc_id", "lang", "n_chars"), "doc_id")
+    spec = fx.FeatureSpec({"text": fx.Text(word_n=2), "lang": fx.Categorical(), "n_chars": fx.Numerical((0.0, 5000.0), 20)}, target="quality")
+    part = prep.hash_bucket("doc_id", 11)
+    m = cl.fit_mixed(d.filter(part < 800_000), spec, 1 << 16, (), 15, 1e-3)
+    return ev.roc_auc(cl.predict_mixed(m, d.filter(part >= 800_000), ["quality"]), "p1", "quality")
