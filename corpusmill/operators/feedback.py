@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,25 +75,30 @@ def search_with_upvotes(index: Index, queries: DataFrame, boosts: DataFrame, k:
 def learn_from_qrels(index: Index, qrels: DataFrame, query: str = "query", doc: str = "doc_id", weight: float = LEARNED_FIELD_WEIGHT) -> Index:
     """Query words become a learned field of their document (Rocchio 1971).
 
-    The result equals an index built with that extra field: learned term counts
-    and lengths are added, document frequencies recomputed from the postings.
+    The result equals an index built with that extra field.  Postings of documents
+    without feedback pass as they are; those of the others are regrouped with the learned
+    words, and a term's document frequency grows by the documents that have it new.
     Feedback for unknown documents is ignored."""
-    known = qrels.select(F.col(query).alias("_q"), F.col(doc).cast("bigint").alias("doc_id")).join(
+    known = qrels.select(F.coalesce(F.col(query), F.lit("")).alias("_q"), F.col(doc).cast("bigint").alias("doc_id")).join(
         index.doc_len.select("doc_id"), "doc_id", "left_semi"
     )
     learned_tf = (
         known.select("doc_id", F.explode_outer(tokens("_q")).alias("term"))
         .filter(F.col("term").isNotNull())
-        .groupBy("doc_id", "term")
-        .agg((F.count(F.lit(1)) * F.lit(weight)).alias("tf"))
+        .select("doc_id", "term", F.lit(float(weight)).alias("tf"))
     )
-    learned_len = known.groupBy("doc_id").agg(F.sum(F.size(tokens("_q")) * F.lit(weight)).alias("_add"))
-    doc_len = index.doc_len.join(learned_len, "doc_id", "left").select(
+    learned_len = known.groupBy("doc_id").agg(F.sum(F.size(tokens("_q")) * F.lit(weight)).alias("_add")).persist(StorageLevel.MEMORY_AND_DISK)
+    taught = bounded_broadcast(learned_len.select("doc_id"))
+    doc_len = index.doc_len.join(bounded_broadcast(learned_len), "doc_id", "left").select(
         "doc_id", (F.col("dl") + F.coalesce("_add", F.lit(0.0))).alias("dl")
     )
-    tf = index.postings.select("doc_id", "term", "tf").unionByName(learned_tf).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
-    postings = tf.join(doc_len, "doc_id").select("doc_id", "term", "tf", "dl")
-    stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    old = index.postings.join(taught, "doc_id", "left_semi").select("doc_id", "term", "tf", F.lit(True).alias("_had"))
+    both = old.unionByName(learned_tf.withColumn("_had", F.lit(False))).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"), F.max("_had").alias("_had"))
+    lengths = index.doc_len.join(bounded_broadcast(learned_len), "doc_id").select("doc_id", (F.col("dl") + F.col("_add")).alias("dl"))
+    touched = both.join(bounded_broadcast(lengths), "doc_id").select("doc_id", "term", "tf", "dl", "_had").persist(StorageLevel.MEMORY_AND_DISK)
+    postings = index.postings.join(taught, "doc_id", "left_anti").select("doc_id", "term", "tf", "dl").unionByName(touched.drop("_had"))
+    new = touched.where("not _had").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    stats = index.term_stats.unionByName(new).groupBy("term").agg(F.sum("df").cast("bigint").alias("df"))
     add = learned_len.agg(F.sum("_add")).first()[0] or 0.0
     return Index(postings, doc_len, stats, index.n_docs, index.total_len + float(add))
 

@@ -17,7 +17,7 @@ ranking, ties broken by ascending doc id.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -45,6 +45,9 @@ class Index:
     total_len: float
     # Set by ``insert`` when the new rows exceed 10% of the existing ones.
     needs_retrain: bool = False
+    # A stored index: postings and term statistics with their term bucket, and the number
+    # of buckets.  Searches then read the buckets of their query terms only.
+    stored: tuple[DataFrame, DataFrame, int] | None = None
 
     @property
     def avgdl(self) -> float:
@@ -100,6 +103,25 @@ def build_index(corpus: DataFrame, id_col: str = "doc_id", fields="text", persis
     return Index(postings, doc_len, term_stats, int(n), float(total or 0.0))
 
 
+def term_bucket(col: str, n: int) -> Column:
+    """The bucket of a term in a stored index."""
+    return F.pmod(stable_hash(F.col(col)), F.lit(n))
+
+
+def for_terms(index: Index, qterms: DataFrame) -> Index:
+    """The index cut down to the term buckets that the query terms fall into, if it is a
+    stored one: at most as many numbers as there are buckets reach the driver, and the
+    scan leaves the other folders out."""
+    if index.stored is None:
+        return index
+    postings, stats, n = index.stored
+    wanted = sorted(r[0] for r in qterms.select(term_bucket("term", n).alias("b")).distinct().collect())
+    if len(wanted) == n:
+        return index
+    keep = F.col("bucket").isin(wanted) if wanted else F.lit(False)
+    return replace(index, postings=postings.where(keep).select("doc_id", "term", "tf", "dl"), term_stats=stats.where(keep).select("term", "df"), stored=None)
+
+
 def idf_expr(n_docs: int, df: Column) -> Column:
     return F.log(F.lit(1.0) + (F.lit(float(n_docs)) - df + F.lit(0.5)) / (df + F.lit(0.5)))
 
@@ -122,6 +144,7 @@ def score_terms(index: Index, qterms: DataFrame) -> DataFrame:
     if "qw" not in qterms.columns:
         qterms = qterms.withColumn("qw", F.lit(1.0))
     qterms = qterms.select("query_id", "term", F.col("qw").cast("double").alias("qw"))
+    index = for_terms(index, qterms)
     small = qterms.count() <= BROADCAST_MAX_ROWS
     q = F.broadcast(qterms) if small else qterms
     weighted = q.join(index.term_stats, "term").select(
@@ -154,6 +177,7 @@ def _best_by_block(index: Index, qterms: DataFrame, k: int, exclude_self: bool =
     """The top k of every query in each block of documents (see ``bounded``).  A query
     table of few terms first leaves the other terms' postings out."""
     n_terms = qterms.count()
+    index = for_terms(index, qterms)
     postings = index.postings.select("doc_id", "term", saturation(index).alias("sat"))
     size = index.term_stats
     if n_terms <= BROADCAST_MAX_ROWS // 8:
@@ -177,6 +201,7 @@ def top_k_terms(index: Index, qterms: DataFrame, k: int, exclude_self: bool = Fa
 
 def score_pairs(index: Index, qterms: DataFrame, pairs: DataFrame) -> DataFrame:
     """(query_id, doc_id, score) of the listed (query_id, doc_id) pairs only."""
+    index = for_terms(index, qterms)
     asked = pairs.select("query_id", "doc_id").distinct().join(_weighted(index, qterms), "query_id")
     part = F.col("w") * saturation(index)
     return asked.join(index.postings, ["doc_id", "term"]).groupBy("query_id", "doc_id").agg(round_score(F.sum(part)).alias("score"))

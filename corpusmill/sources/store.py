@@ -9,39 +9,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import stable_hash
-from corpusmill.operators.index import Index, build_index
+from corpusmill.operators.index import Index, build_index, term_bucket
 from corpusmill.session import path_exists
 
 N_BUCKETS = 64  # term buckets of stored postings
+WRITERS = 4  # tasks that write a bucket
 
 
-def term_bucket(col="term", n: int = N_BUCKETS):
-    return F.pmod(stable_hash(F.col(col)), F.lit(n))
-
-
-def save_index(index: Index, path: str) -> None:
-    """Postings partitioned by term bucket (search prunes to its query
-    terms' buckets), plus doc lengths, term statistics and the two scalars."""
+def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS, writers: int = WRITERS) -> None:
+    """Postings and term statistics partitioned by term bucket, plus document lengths
+    and the scalars.  A bucket is written by several tasks, so that a frequent term's
+    postings do not wait for one."""
     spark = index.postings.sparkSession
-    (index.postings.withColumn("bucket", term_bucket()).repartition("bucket")
+    deal = F.pmod(F.xxhash64("doc_id", "term"), F.lit(writers))
+    (index.postings.withColumn("bucket", term_bucket("term", n_buckets)).withColumn("_w", deal).repartition("bucket", "_w").drop("_w")
      .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
     index.doc_len.write.mode("overwrite").parquet(f"{path}/doc_len")
-    index.term_stats.withColumn("bucket", term_bucket()).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/term_stats")
-    meta = json.dumps({"n_docs": index.n_docs, "total_len": index.total_len})
+    index.term_stats.withColumn("bucket", term_bucket("term", n_buckets)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/term_stats")
+    meta = json.dumps({"n_docs": index.n_docs, "total_len": index.total_len, "n_buckets": n_buckets})
     spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
+    """The stored index; a search on it reads the buckets of its query terms only."""
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+    postings, stats = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "term_stats"))
     return Index(
-        spark.read.parquet(f"{path}/postings").select("doc_id", "term", "tf", "dl"),
-        spark.read.parquet(f"{path}/doc_len"),
-        spark.read.parquet(f"{path}/term_stats").select("term", "df"),
-        int(meta["n_docs"]),
-        float(meta["total_len"]),
+        postings.select("doc_id", "term", "tf", "dl"), spark.read.parquet(f"{path}/doc_len"), stats.select("term", "df"),
+        int(meta["n_docs"]), float(meta["total_len"]), stored=(postings, stats, int(meta["n_buckets"])),
     )
 
 
+def save_taught(path: str, pairs: DataFrame | None = None, boosts: DataFrame | None = None) -> None:
+    """What a search was taught, beside its index: the association pairs of D6 and
+    the upvotes of D7.  What D8 learned is part of the index itself."""
+    for name, table in (("pairs", pairs), ("boosts", boosts)):
+        if table is not None:
+            table.write.mode("overwrite").parquet(f"{path}/taught/{name}")
+
+
+def load_taught(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """(pairs, boosts); None for what was not stored."""
+    found = (f"{path}/taught/{name}" for name in ("pairs", "boosts"))
+    return tuple(spark.read.parquet(p) if path_exists(spark, p) else None for p in found)
+
+
 def save_model(model, path: str) -> None:
     """Stores a trained model: the tables of a count model or tagger, each in a
     folder of its own, or one table (transitions, reformulation pairs)."""
