@@ -211,14 +211,39 @@ def predict_tabular(model: CountModel, df: DataFrame, keep: list[str], feature_c
         own = df.select(*keep, F.array(*_tabular_terms(feature_cols)).alias("_terms"), F.monotonically_increasing_id().alias("row_id")).checkpoint()
         terms = own.select("row_id", F.explode("_terms").alias("term"), F.lit(1.0).alias("cnt"))
         return own.join(_in_blocks(model, terms, own, k, 4), "row_id").drop("row_id", "_terms")
-    classes, weights = _scoring_tables(model)
-    rows, found = df.select(*keep, *[t.alias(f"_t{i}") for i, t in enumerate(_tabular_terms(feature_cols))]), []
-    weights = bounded_broadcast(weights.persist(StorageLevel.MEMORY_AND_DISK))
-    for i in range(len(feature_cols)):
-        rows = rows.join(weights.select(F.col("term").alias(f"_t{i}"), F.col("m").alias(f"_m{i}")), f"_t{i}", "left")
-        found.append(F.struct(F.lit(1.0).alias("cnt"), F.col(f"_m{i}").alias("m")))
-    rows = rows.select(*keep, F.filter(F.array(*found), lambda x: x["m"].isNotNull()).alias("ev"))
-    return _rank_classes(rows.withColumn("L", F.size("ev").cast("double")), keep, classes, k)
+    if k > 1:
+        classes, weights = _scoring_tables(model)
+        weights = bounded_broadcast(weights.persist(StorageLevel.MEMORY_AND_DISK))
+        rows, found = df.select(*keep, *[t.alias(f"_t{i}") for i, t in enumerate(_tabular_terms(feature_cols))]), []
+        for i in range(len(feature_cols)):
+            rows = rows.join(weights.select(F.col("term").alias(f"_t{i}"), F.col("m").alias(f"_m{i}")), f"_t{i}", "left")
+            found.append(F.struct(F.lit(1.0).alias("cnt"), F.col(f"_m{i}").alias("m")))
+        rows = rows.select(*keep, F.filter(F.array(*found), lambda x: x["m"].isNotNull()).alias("ev"))
+        return _rank_classes(rows.withColumn("L", F.size("ev").cast("double")), keep, classes, k)
+    return _best_class(model, df, keep, _tabular_terms(feature_cols))
+
+
+def _best_class(model: CountModel, df: DataFrame, keep: list[str], terms: list, places: int = 4) -> DataFrame:
+    """The best class of every row, all in plain columns: a term's weights are one double
+    a class, the row adds them up, and the greatest score names the class."""
+    classes = _classes(model).orderBy("label").collect()  # at most IN_ROW_CLASSES
+    met = model.term_counts.filter(F.col("n") > 0)
+    wide = met.groupBy("term").agg(*[F.coalesce(F.max(F.when(F.col("label") == c["label"], F.log(F.col("n") + 1))), F.lit(0.0)).alias(f"w{j}") for j, c in enumerate(classes)])
+    wide = bounded_broadcast(wide.persist(StorageLevel.MEMORY_AND_DISK))
+    rows = df.select(*keep, *[t.alias(f"_t{i}") for i, t in enumerate(terms)])
+    for i in range(len(terms)):
+        rows = rows.join(wide.select(F.col("term").alias(f"_t{i}"), *[F.col(f"w{j}").alias(f"_w{i}_{j}") for j in range(len(classes))]), f"_t{i}", "left")
+    known = sum((F.when(F.col(f"_w{i}_0").isNotNull(), 1.0).otherwise(0.0) for i in range(len(terms))), F.lit(0.0))
+    rows = rows.withColumn("_L", known)
+    score = lambda j, c: F.round(
+        F.lit(float(c["prior"])) - F.col("_L") * F.lit(float(c["norm"])) + sum((F.coalesce(F.col(f"_w{i}_{j}"), F.lit(0.0)) for i in range(len(terms))), F.lit(0.0)), places
+    )
+    rows = rows.select(*keep, *[score(j, c).alias(f"_s{j}") for j, c in enumerate(classes)])
+    scores = [F.col(f"_s{j}") for j in range(len(classes))]
+    rows = rows.withColumn("_mx", F.greatest(*scores) if len(scores) > 1 else scores[0])
+    label = F.coalesce(*[F.when(s == F.col("_mx"), F.lit(c["label"])) for s, c in zip(scores, classes)])  # ties: the first label
+    z = sum((F.exp(s - F.col("_mx")) for s in scores), F.lit(0.0))
+    return rows.select(*keep, label.alias("label"), F.col("_mx").alias("score"), F.round(F.lit(1.0) / z, 6).alias("prob"), F.lit(1).cast("bigint").alias("rank"))
 
 
 # ---- M9: several labels per row, one-against-rest ---------------------------------

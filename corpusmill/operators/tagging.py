@@ -165,9 +165,11 @@ def tag(model: TaggerModel, tokens_df: DataFrame, top_k_tags: int = 1, id_col: s
     total = float(sum(r["n"] for r in tags))
     vw = float(model.word_tag.select("token").distinct().count())
     vs = float(model.shape_tag.select("shape").distinct().count())
+    t = tokens_df.select(F.col(id_col).alias("row_id"), "pos", F.lower("token").alias("token"), shape(F.col("token")).alias("shape"))
+    if top_k_tags == 1 and tags:
+        return _best_tag(model, t, tags, total, vw, vs, places)
     wmap = model.word_tag.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("tag", "n"))).alias("wm"))
     smap = model.shape_tag.groupBy("shape").agg(F.map_from_entries(F.collect_list(F.struct("tag", "n"))).alias("sm"))
-    t = tokens_df.select(F.col(id_col).alias("row_id"), "pos", F.lower("token").alias("token"), shape(F.col("token")).alias("shape"))
     t = t.join(bounded_broadcast(wmap), "token", "left").join(bounded_broadcast(smap), "shape", "left")
 
     def tag_score(r):
@@ -182,6 +184,35 @@ def tag(model: TaggerModel, tokens_df: DataFrame, top_k_tags: int = 1, id_col: s
     return out.select("row_id", "pos", F.col("c.tag").alias("tag"), (-F.col("c.neg")).alias("score"), (F.col("i") + 1).cast("bigint").alias("rank"))
 
 
+def _best_tag(model: TaggerModel, t: DataFrame, tags: list, total: float, vw: float, vs: float, places: int) -> DataFrame:
+    """The best tag of every token in plain columns: a word and a shape bring one double a
+    tag, and the greatest sum names the tag (ties: the first one)."""
+
+    def wide(table: DataFrame, key: str, size: float, name: str) -> DataFrame:
+        n = lambda r: F.coalesce(F.max(F.when(F.col("tag") == r["tag"], F.col("n"))), F.lit(0.0))
+        return table.groupBy(key).agg(*[F.log((n(r) + 1) / F.lit(float(r["n"]) + size)).alias(f"_{name}{j}") for j, r in enumerate(tags)])
+
+    t = t.join(bounded_broadcast(wide(model.word_tag, "token", vw, "w")), "token", "left").join(bounded_broadcast(wide(model.shape_tag, "shape", vs, "s")), "shape", "left")
+    unseen = lambda c, r, size: F.coalesce(F.col(c), F.log(F.lit(1.0) / F.lit(float(r["n"]) + size)))
+    t = t.select("row_id", "pos", *[
+        F.round(F.lit(float(np.log(float(r["n"]) / total))) + unseen(f"_w{j}", r, vw) + unseen(f"_s{j}", r, vs), places).alias(f"_c{j}") for j, r in enumerate(tags)
+    ])
+    scores = [F.col(f"_c{j}") for j in range(len(tags))]
+    t = t.withColumn("score", F.greatest(*scores) if len(scores) > 1 else scores[0])
+    name = F.coalesce(*[F.when(s == F.col("score"), F.lit(r["tag"])) for s, r in zip(scores, tags)])
+    return t.select("row_id", "pos", name.alias("tag"), "score", F.lit(1).cast("bigint").alias("rank"))
+
+
+def tagged_sentences(sents: DataFrame, model: TaggerModel, keys: list[str], text_col: str = "sentence") -> DataFrame:
+    """The keys and ``tags``: each sentence's tokens (runs of non-blanks) with their best
+    tag, space-joined; a sentence's tokens are one group, bounded by the sentence."""
+    words = F.filter(F.split(text_col, r"\s+"), lambda x: x != "")
+    toks = sents.select(F.struct(*keys).alias("row_id"), F.posexplode(words).alias("pos", "token"))
+    best = tag(model, toks)
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "tag"))), lambda x: x["tag"]), " ")
+    return best.groupBy("row_id").agg(joined.alias("tags")).select(*[F.col(f"row_id.{k}").alias(k) for k in keys], "tags")
+
+
 def bio_spans(tagged: DataFrame, id_col: str = "row_id") -> DataFrame:
     """B-/I- tags to (id, kind, start, end) spans: gaps and islands with
     lag and a running sum of span starts per row."""

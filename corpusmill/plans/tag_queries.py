@@ -171,25 +171,31 @@ def tagger_fine_tuned_transitions(spark, sf):
     return tg.fine_tune_tagger(m, tr.filter(~half), "doc_id").trans
 
 
-def _shape(x):
+def tag_shape(x):
     s = f"regexp_replace(regexp_replace(regexp_replace({x}, '\\p{{Lu}}', 'X', 'g'), '\\p{{Ll}}', 'x', 'g'), '[0-9]', 'd', 'g')"
     return f"regexp_replace(regexp_replace(regexp_replace({s}, 'X+', 'X', 'g'), 'x+', 'x', 'g'), 'd+', 'd', 'g')"
 
 
-TAG_SQL = f"""WITH {SILVER_SQL},
+TAGGER_SQL = f"""WITH {SILVER_SQL},
 tr AS (SELECT * FROM rw WHERE {TRAIN}), te AS (SELECT * FROM rw WHERE NOT ({TRAIN})),
 tgc AS (SELECT tag, count(*)::DOUBLE AS tn FROM tr GROUP BY tag),
 wt AS (SELECT lower(token) AS token, tag, count(*)::DOUBLE AS nw FROM tr GROUP BY 1, 2),
-sh AS (SELECT {_shape('token')} AS shape, tag, count(*)::DOUBLE AS ns FROM tr GROUP BY 1, 2),
+sh AS (SELECT {tag_shape('token')} AS shape, tag, count(*)::DOUBLE AS ns FROM tr GROUP BY 1, 2),
 cst AS (SELECT (SELECT count(DISTINCT token) FROM wt)::DOUBLE AS vw, (SELECT count(DISTINCT shape) FROM sh)::DOUBLE AS vs,
-               (SELECT sum(tn) FROM tgc) AS tot),
-cand AS (SELECT te.doc_id, te.pos, lower(te.token) AS token, {_shape('te.token')} AS shape, tgc.tag, tgc.tn FROM te CROSS JOIN tgc),
+               (SELECT sum(tn) FROM tgc) AS tot)"""
+
+TAG_SQL = f"""{TAGGER_SQL},
+cand AS (SELECT te.doc_id, te.pos, lower(te.token) AS token, {tag_shape('te.token')} AS shape, tgc.tag, tgc.tn FROM te CROSS JOIN tgc),
 sc AS (SELECT c.doc_id, c.pos, c.tag, round(ln(c.tn / cst.tot) + ln((coalesce(wt.nw, 0) + 1) / (c.tn + cst.vw))
                                           + ln((coalesce(sh.ns, 0) + 1) / (c.tn + cst.vs)), 4) AS score
        FROM cand c CROSS JOIN cst LEFT JOIN wt ON wt.token = c.token AND wt.tag = c.tag LEFT JOIN sh ON sh.shape = c.shape AND sh.tag = c.tag),
 top AS (SELECT doc_id, pos, tag, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY score DESC, tag) AS r FROM sc) WHERE r = 1)"""
 
 
+def tagger_model(spark, sf):
+    return tg.fit_tagger(_train_rows(spark, sf)[0], "doc_id")
+
+
 def _tagged(spark, sf):
     tr, te = _train_rows(spark, sf)
     m = tg.fit_tagger(tr, "doc_id")
