@@ -97,4 +97,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Tests hold the other operators against brute force.
 ORACLES: dict[str, str] = {
     "op5_quality": oracles.quality_rules(), "op7_warc": oracles.warc(), "op10_exact_dedup": oracles.exact_dedup(),
+    "op11_manifest": oracles.merkle(), "op13_repair": oracles.conversation_repair(),
 }
