@@ -2,21 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators import classify as cl
+from corpusmill.session import bounded_broadcast
+
+
+# Edges of a node that one task adds up; a node with more is a hub, cut into so many parts.
+HUB = 10_000
+
+
+def _vector_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of one (src, part) lie together: one row of sums and counts for each of them
+    in a batch."""
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        cut = np.flatnonzero((pdf["src"].to_numpy()[1:] != pdf["src"].to_numpy()[:-1]) | (pdf["part"].to_numpy()[1:] != pdf["part"].to_numpy()[:-1])) + 1
+        first = np.concatenate([[0], cut])
+        width = max(map(len, pdf["v"]))
+        x = np.full((len(pdf), width), np.nan)
+        for i, v in enumerate(pdf["v"]):
+            x[i, : len(v)] = v
+        there = ~np.isnan(x)
+        sums, counts = np.add.reduceat(np.where(there, x, 0.0), first), np.add.reduceat(there.astype(np.int64), first)
+        yield pd.DataFrame({"src": pdf["src"].to_numpy()[first], "sums": list(sums), "counts": list(counts)})
 
 
 def neighbor_features(nodes: DataFrame, edges: DataFrame, id_col: str = "node_id", vec: str = "features") -> DataFrame:
-    """(node_id, dim, mean) = mean of the neighbours' feature ``dim`` (long form)."""
-    long = nodes.select(F.col(id_col).alias("dst"), F.posexplode(F.col(vec)).alias("dim", "x"))
-    return (
-        edges.select("src", "dst").join(long, "dst")
-        .groupBy(F.col("src").alias(id_col), "dim")
-        .agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("mean"))
-        .withColumn("dim", F.col("dim").cast("bigint"))
-    )
+    """(node_id, dim, mean) = mean of the neighbours' feature ``dim`` (long form).
+
+    An edge carries its neighbour's whole vector in one row.  Vectors are added up per
+    node, a hub's in parts of about HUB edges, so that no task's share grows with a hub;
+    what is left, a row a part, is taken apart by dimension.  Missing features count
+    for nothing."""
+    e = edges.select("src", "dst")
+    side = nodes.select(F.col(id_col).alias("dst"), F.col(vec).cast("array<double>").alias("v")).where("v is not null and size(v) > 0")
+    hubs = e.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HUB).select("src", F.ceil(F.col("n") / HUB).alias("parts"))
+    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("parts"))).cast("long")
+    rows = e.join(side, "dst").join(bounded_broadcast(hubs), "src", "left").select("src", part.alias("part"), "v")
+    kind = e.schema["src"].dataType.simpleString()
+    summed = rows.repartition("src", "part").sortWithinPartitions("src", "part").mapInPandas(_vector_sums, f"src {kind}, sums array<double>, counts array<long>")
+    long = summed.select(F.col("src").alias(id_col), F.posexplode(F.arrays_zip("sums", "counts")).alias("dim", "x"))
+    means = long.groupBy(id_col, "dim").agg(F.sum("x.sums").alias("s"), F.sum("x.counts").alias("n")).where("n > 0")
+    return means.select(id_col, F.col("dim").cast("bigint").alias("dim"), F.round(F.col("s") / F.col("n"), 6).alias("mean"))
 
 
 def index_nodes(train: DataFrame, eval_: DataFrame, id_col: str, label: str) -> DataFrame:

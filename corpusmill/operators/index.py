@@ -311,8 +311,7 @@ def containing_docs(index: Index, docs: DataFrame, items: DataFrame, item_id: st
     Items with three or more tokens: candidates from an equi-join on the item's
     rarest *interior* token (first and last tokens may be cut words inside a
     document), each verified with ``instr``.  Items with fewer tokens have no
-    such key; they are size-checked, compiled into one Aho-Corasick automaton,
-    broadcast, and every document partition is scanned for them (exact, no join)."""
+    such key; they go by a character gram (``_short_items``), any number of them."""
     it = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text_col).alias("item_text"))
     toks = tokens("item_text")
     inner = it.filter(F.size(toks) >= 3).select(
@@ -331,41 +330,26 @@ def containing_docs(index: Index, docs: DataFrame, items: DataFrame, item_id: st
     short = it.filter(F.size(toks) < 3).filter(F.length("item_text") > 0)
     if short.count() == 0:
         return found
-    return found.unionByName(_scan_for_items(d, short))
-
-
-MAX_SCAN_ITEMS = 1_000_000
-
-
-def _scan_for_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Exact substring search for many short items in one pass per document partition."""
-    import ahocorasick
-
-    rows = items.limit(MAX_SCAN_ITEMS + 1).collect()
-    if len(rows) > MAX_SCAN_ITEMS:
-        raise ValueError("too many short items to broadcast as one automaton")
-    by_text: dict[str, list[int]] = {}
-    for r in rows:
-        by_text.setdefault(r["item_text"], []).append(int(r["item_id"]))
-    bc = docs.sparkSession.sparkContext.broadcast(by_text)
-
-    def scan(batches):
-        import pandas as pd
-
-        auto = ahocorasick.Automaton()
-        for txt, ids in bc.value.items():
-            auto.add_word(txt, ids)
-        auto.make_automaton()
-        for pdf in batches:
-            out_i, out_d = [], []
-            for doc_id, text in zip(pdf["doc_id"], pdf["doc_text"]):
-                if not isinstance(text, str):
-                    continue
-                hit = set()
-                for _, ids in auto.iter(text):
-                    hit.update(ids)
-                out_i.extend(hit)
-                out_d.extend([doc_id] * len(hit))
-            yield pd.DataFrame({"item_id": out_i, "doc_id": out_d}, dtype="int64")
-
-    return docs.mapInPandas(scan, "item_id long, doc_id long")
+    return found.unionByName(_short_items(d, short))
+
+
+def _short_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(item_id, doc_id) for items of one or two tokens: an item goes by the rarest of its
+    character 3-grams (shorter texts by themselves) among the documents, documents by
+    those of their grams that any item has, and ``instr`` confirms.  Documents' other
+    grams leave before anything is shuffled by gram."""
+    gram = lambda c: F.when(F.length(c) <= 3, F.array(F.col(c))).otherwise(
+        F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substr(F.col(c), i, F.lit(3))))
+    )
+    wanted = items.select("item_id", "item_text", F.explode(gram("item_text")).alias("g")).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = [r[0] for r in wanted.select(F.length("g").alias("n")).distinct().orderBy("n").collect()]  # among 1, 2, 3
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.length("doc_text") - n + 1), lambda i: F.substr(F.col("doc_text"), i, F.lit(n)))
+    every = F.array_distinct(F.concat(*[F.when(F.length("doc_text") >= n, cut(n)).otherwise(F.array().cast("array<string>")) for n in sizes]))
+    has = docs.where("doc_text is not null").select("doc_id", F.explode(every).alias("g")) if sizes else docs.select("doc_id", F.lit("").alias("g")).limit(0)
+    has = has.join(wanted.select("g").distinct(), "g", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    df = has.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    # a gram that no document has leaves its item out
+    rare = Window.partitionBy("item_id", "item_text").orderBy(F.coalesce("df", F.lit(0)), "g")
+    key = wanted.join(df, "g", "left").withColumn("_r", F.row_number().over(rare)).where("_r = 1").select("item_id", "item_text", "g")
+    cand = has.join(key, "g").select("item_id", "item_text", "doc_id").distinct()
+    return cand.join(docs, "doc_id").where(F.instr("doc_text", F.col("item_text")) > 0).select("item_id", "doc_id").distinct()

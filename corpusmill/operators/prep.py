@@ -175,26 +175,19 @@ def cold_start_pairs(corpus: DataFrame, id_col: str, strong: str | None, weak: s
     return out
 
 
-def lm_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", target_role: str = "assistant") -> DataFrame:
-    """For every target-role turn: context = the turn two back, prompt = the
-    turn before, target = this turn; tokens concatenated, labels 1 only on target tokens.
+def lm_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", target_role: str = "assistant",
+                n_before: int = 2) -> DataFrame:
+    """For every target-role turn: the tokens of the ``n_before`` turns before it,
+    oldest first, then its own; labels 1 only on target tokens.
 
-    The two previous turns come from the chunked look-back (``last_k_before``),
-    so one very long conversation is still split into bounded groups."""
+    The earlier turns come from the chunked look-back (``last_k_before``), so one very
+    long conversation is still split into bounded groups."""
     from corpusmill.operators.ordered import last_k_before
 
-    h = last_k_before(turns.select(conv, turn, role, text), conv, [turn], 2, text, out="_prev")
-    t = h.select(
-        conv, turn, role,
-        tokens(F.when(F.size("_prev") == 2, F.col("_prev")[0])).alias("c"),
-        tokens(F.when(F.size("_prev") >= 1, F.element_at("_prev", -1))).alias("p"),
-        tokens(text).alias("y"),
-    ).filter(F.col(role) == target_role)
-    c = F.coalesce("c", F.array().cast("array<string>"))
-    p = F.coalesce("p", F.array().cast("array<string>"))
-    toks = F.concat(c, p, F.col("y"))
-    labels = F.concat(F.transform(F.concat(c, p), lambda _: F.lit(0)), F.transform("y", lambda _: F.lit(1)))
-    return t.select(conv, turn, toks.alias("tokens"), labels.alias("labels"))
+    h = last_k_before(turns.select(conv, turn, role, text), conv, [turn], n_before, text, out="_prev").filter(F.col(role) == target_role)
+    t = h.select(conv, turn, F.flatten(F.transform("_prev", lambda x: tokens(F.coalesce(x, F.lit(""))))).alias("c"), tokens(text).alias("y"))
+    labels = F.concat(F.transform("c", lambda _: F.lit(0)), F.transform("y", lambda _: F.lit(1)))
+    return t.select(conv, turn, F.concat("c", "y").alias("tokens"), labels.alias("labels"))
 
 
 def pack_tokens(examples: DataFrame, width: int = 2048, n_shards: int = 1, key=("conv_id", "turn"), tokens_col: str = "tokens") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import tokens
 from corpusmill.operators import prep
+from corpusmill.operators.ordered import dense_ids
 from corpusmill.plans import sql as q
 from corpusmill.plans.registry import load, register
 from corpusmill.session import ensure_checkpoint_dir
@@ -280,6 +281,37 @@ def link_reach_pages(spark, sf):
     return html.link_reach(pages, pages.select(F.col("page_id").alias("start")), 2)
 
 
+# A stored link table made from the pages' urls: within a language folder every page links to the next number
+# and to the one five places on.
+_FOLDER, _NUMBER = r"^[a-z]+://[^/]+/([a-z]+)/", r"^[a-z]+://[^/]+/[a-z]+/([0-9]+)"
+PATH_LINKS_SQL = f"""SELECT src, unnest([one, five]) AS dst FROM (
+  SELECT page_id AS src, lead(page_id, 1) OVER w AS one, lead(page_id, 5) OVER w AS five FROM pages
+  WINDOW w AS (PARTITION BY regexp_extract(url, '{_FOLDER}', 1) ORDER BY coalesce(TRY_CAST(regexp_extract(url, '{_NUMBER}', 1) AS BIGINT), -1), page_id))"""
+
+
+@register(
+    "link_reach_paths",
+    f"""WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({PATH_LINKS_SQL}) WHERE dst IS NOT NULL),
+r(start, page_id, depth) AS (
+  SELECT page_id, page_id, 0 FROM pages
+  UNION
+  SELECT r.start, e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.page_id WHERE r.depth < 3)
+SELECT start, page_id, min(depth)::BIGINT AS depth FROM r GROUP BY start, page_id""",
+)
+def link_reach_paths(spark, sf):
+    """S9 over stored links that resolve, three steps from every page."""
+    pages = load(spark, sf, "pages")
+    numbered = pages.select(
+        "page_id", F.regexp_extract("url", _FOLDER, 1).alias("folder"),
+        F.coalesce(F.expr(f"try_cast(regexp_extract(url, r'{_NUMBER}', 1) AS BIGINT)"), F.lit(-1)).alias("number"),
+    )
+    # places within a folder from dense numbers, so that a folder of any size is no single window
+    placed = dense_ids(numbered, ["folder", "number", "page_id"], "place")
+    other = placed.select("folder", F.col("page_id").alias("dst"), "place")
+    steps = placed.select(F.col("page_id").alias("src"), "folder", F.explode(F.array(F.col("place") + 1, F.col("place") + 5)).alias("place"))
+    return html.link_reach(pages, pages.select(F.col("page_id").alias("start")), 3, steps.join(other, ["folder", "place"]).select("src", "dst"))
+
+
 @register(
     "union_sources",
     f"""SELECT 0::BIGINT AS source_id, doc_id, text FROM documents
