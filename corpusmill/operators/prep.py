@@ -194,8 +194,9 @@ def pack_tokens(examples: DataFrame, width: int = 2048, n_shards: int = 1, key=(
     """Concatenate token streams in key order within each shard and cut them
     into blocks of ``width`` tokens.
 
-    Offsets are distributed running totals (no window over a whole shard), and
-    each block gathers at most ``width`` tokens."""
+    Offsets are distributed running totals (no window over a whole shard).  An
+    example is cut at the block borders inside it, so one row a slice is shuffled, not
+    one a token, and each block joins slices of at most ``width`` tokens."""
     key = list(key)
     sized = examples.select(
         F.pmod(stable_hash(F.col(key[0])), F.lit(n_shards)).alias("shard"), *key, tokens_col,
@@ -204,8 +205,10 @@ def pack_tokens(examples: DataFrame, width: int = 2048, n_shards: int = 1, key=(
     off = running_totals(sized, ["shard", *key], ["_len"])
     start = off.groupBy("shard").agg(F.min("_len_before").alias("_s0"))
     off = off.join(F.broadcast(start), "shard").withColumn("_off", F.col("_len_before") - F.col("_s0"))
-    tok = off.select("shard", "_off", F.posexplode(tokens_col).alias("_p", "token"))
-    tok = tok.withColumn("_g", F.col("_off") + F.col("_p")).withColumn("block", F.floor(F.col("_g") / F.lit(width)).cast("bigint"))
-    return tok.groupBy("shard", "block").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_g", "token"))), lambda s: s["token"]).alias("tokens")
-    )
+    last = F.floor((F.col("_off") + F.col("_len") - 1) / F.lit(width))
+    cut = off.where("_len > 0").select("shard", "_off", "_len", tokens_col, F.explode(F.sequence(F.floor(F.col("_off") / F.lit(width)), last)).alias("block"))
+    begin = F.greatest(F.col("block") * width - F.col("_off"), F.lit(0))
+    end = F.least((F.col("block") + 1) * width - F.col("_off"), F.col("_len"))
+    part = F.slice(F.col(tokens_col), (begin + 1).cast("int"), (end - begin).cast("int"))
+    slices = cut.select("shard", F.col("block").cast("bigint").alias("block"), F.struct((F.col("_off") + begin).alias("_g"), part.alias("part")).alias("s"))
+    return slices.groupBy("shard", "block").agg(F.flatten(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["part"])).alias("tokens"))

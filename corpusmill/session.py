@@ -5,12 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest side (in rows) we hand to ``broadcast``.  Query-term tables, feedback
-# tables and dictionaries are checked against it; anything larger falls back to
-# a shuffle join that AQE may still turn into a broadcast at run time.
+# Largest side we hand to ``broadcast``, in bytes of its values and in rows.  Query-term
+# tables, feedback tables and dictionaries are checked against both; anything larger
+# falls back to a shuffle join that AQE may still turn into a broadcast at run time.
+BROADCAST_MAX_BYTES = 128 << 20
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -75,8 +76,23 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(want, *[F.col(k) for k in keys]) if keys else df.repartition(want)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it; otherwise leave the join to the
-    planner (sort-merge, AQE skew split, AQE runtime broadcast)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def value_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: text and binary by length, nested values by their JSON,
+    anything else eight."""
+    out = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("string", "binary"):
+            out = out + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            out = out + F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0))
+        else:
+            out = out + 8
+    return out
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after measuring its rows and bytes in one pass; otherwise
+    leave the join to the planner (sort-merge, AQE skew split, AQE runtime broadcast)."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(value_bytes(df)), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df

@@ -68,3 +68,23 @@ def test_reach_over_a_stored_link_table(spark):
     starts = pages.where("page_id in (0, 2)").selectExpr("page_id AS start")
     got = {(r["start"], r["page_id"]): r["depth"] for r in html.link_reach(pages, starts, 2, edges).collect()}
     assert got == {(0, 0): 0, (0, 1): 1, (0, 3): 1, (0, 2): 2, (0, 4): 2, (2, 2): 0, (2, 0): 1, (2, 1): 2, (2, 3): 2}
+
+
+def test_blocks_are_cut_inside_examples(spark):
+    rng = random.Random(1)
+    data = [(c, t, [f"{c}.{t}.{i}" for i in range(rng.choice([0, 1, 5, 23]))]) for c in range(6) for t in range(5)]
+    df = spark.createDataFrame(data, "conv_id long, turn long, tokens array<string>")
+    got = {r["block"]: r["tokens"] for r in prep.pack_tokens(df, 7).collect()}
+    stream = [x for _, _, toks in sorted(data) for x in toks]
+    assert got == {i: stream[7 * i : 7 * i + 7] for i in range(-(-len(stream) // 7))}
+    shards = prep.pack_tokens(df, 7, 2).collect()
+    assert sorted(x for r in shards for x in r["tokens"]) == sorted(stream) and {len(r["tokens"]) for r in shards} <= set(range(1, 8))
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    from corpusmill.session import bounded_broadcast
+
+    wide = spark.createDataFrame([(1, "x" * 5000, [1, 2], {"a": 1.0}), (2, None, None, None)], "id long, text string, l array<long>, m map<string,double>")
+    hinted = lambda d: "broadcast" in d._jdf.queryExecution().analyzed().toString().lower() or "hint" in d._jdf.queryExecution().logical().toString().lower()
+    assert hinted(bounded_broadcast(wide)) and not hinted(bounded_broadcast(wide, max_bytes=4000)) and not hinted(bounded_broadcast(wide, max_rows=1))
+    assert hinted(bounded_broadcast(wide.limit(0)))
