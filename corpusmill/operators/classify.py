@@ -187,6 +187,16 @@ def predict(model: CountModel, df: DataFrame, id_col: str, text_col: str, k: int
     return predict_terms(model, doc_terms(df, id_col, text_col), df.select(F.col(id_col).alias("row_id")), k)
 
 
+def predicted(model: CountModel, df: DataFrame, text_col: str, name: str = "prediction") -> DataFrame:
+    """The rows of ``df`` with their best class as one more column, a struct of
+    label and score.  Any columns, repeated rows and null texts are kept; rows go by their
+    number in a checkpoint, and the model's tables stay distributed whatever their size."""
+    ensure_checkpoint_dir(df.sparkSession)
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_own"), F.col(text_col).alias("_text"), F.monotonically_increasing_id().alias("_row")).checkpoint()
+    best = predict(model, own, "_row", "_text", 1).select(F.col("row_id").alias("_row"), F.struct("label", "score").alias("_best"))
+    return own.join(best, "_row").select("_own.*", F.col("_best").alias(name))
+
+
 # ---- M4: tabular rows as "column=value" tokens ------------------------------------
 
 def _tabular_terms(feature_cols: dict) -> list:

@@ -83,3 +83,13 @@ def test_catalogue_text_to_id(spark):
     asked = spark.createDataFrame([(1, "wool socks"), (2, "shoes for running")], "q long, text string")
     got = {r["row_id"]: r["label"] for r in cl.predict(cl.cold_start(shop, "id", "title", "body"), asked, "q", "text").collect()}
     assert got == {1: "8", 2: "7"}
+
+
+def test_prediction_as_a_column(spark):
+    train = spark.createDataFrame([(1, "good fine", "a"), (2, "bad awful", "b")], "id long, text string, label string")
+    rows = [(1, "fine", 7), (1, "fine", 7), (None, None, 8), (2, "awful bad unseen", 9)]
+    df = spark.createDataFrame(rows, "id long, text string, label long").withColumn("a.b", F.lit(1)).withColumn("_row", F.lit(2))
+    got = cl.predicted(cl.fit_text(train, "id", "text", "label"), df, "text", "best")
+    assert got.columns == [*df.columns, "best"]
+    assert sorted((str(r["id"]), r["label"], r["best"]["label"]) for r in got.collect()) == [("1", 7, "a"), ("1", 7, "a"), ("2", 9, "b"), ("None", 8, "a")]
+    assert cl.predicted(cl.fit_text(train, "id", "text", "label"), df.limit(0), "text").count() == 0
