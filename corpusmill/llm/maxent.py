@@ -1,17 +1,23 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-The probability of a word after its history is that of its class times that of the
-word within the class.  The class is a log-linear (maximum-entropy) softmax over
-hashed features of the history: the previous word, the previous two words, and the
-one before the previous with the previous skipped.  Within a class, the word has its
-add-one relative frequency, the maximum-entropy answer for features of the word
-alone.  Classes come from a hash of a word's last bytes, so unseen words have one
-too; each class holds one unseen word; the end of a text is a class of its own.  All
-probabilities after a history sum to one.
+The probability of a word after its history is that of its class, times that of its
+part of the class, times that of the word within the part.  The first two are
+log-linear (maximum-entropy) softmaxes over hashed features of the history: the
+previous word, the previous two words, and the one before the previous with the
+previous skipped; for the part each feature is crossed with the class.  Within a
+part, the word has its add-one relative frequency, the maximum-entropy answer for
+features of the word alone.  Classes come from a hash of a word's last bytes, parts
+from one of all its bytes, so unseen words have both; each part holds one unseen
+word; the end of a text is a class without parts.  All probabilities after a history
+sum to one.
+
+The number of weight rows (buckets) grows with the training tokens, one for every
+``SHARE`` of them, up to ``max_buckets``, which bounds the broadcast of the weights
+(16 floats a row); beyond that, rare features share rows.
 
 Training: in each round every task makes gradient updates on its share of the texts,
 in batches, and the tasks' weights are averaged by bucket, weighted by how often
-each task met the bucket.  Rounds take disjoint shares, so each text is used once.
+each task met the bucket; they travel as 16-bit floats.  Rounds take disjoint shares, so each text is used once.
 
 Word counts are exact.  The most frequent words (a bounded number, of bounded
 length) go to the tasks by broadcast; all others join their counts by word, where
@@ -35,10 +41,12 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import materialise
 
-BUCKETS, CLASSES, SUFFIX = 1 << 14, 32, 3
+WIDTH, SUFFIX = 16, 3  # classes, parts of a class
+MIN_BITS, MAX_BUCKETS, SHARE = 14, 1 << 18, 16
 FREQUENT, LONGEST = 300_000, 64
 BATCH, RATE = 8192, 0.3
 INDEX = 600_000
+BLOCK = 1024  # buckets whose weights travel together
 SKIP = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
 
@@ -48,26 +56,38 @@ def held_out(doc_id: Column, parts: int = 7, part: int = 2) -> Column:
 
 def class_of(word: Column) -> Column:
     tail = F.substring(word.cast("binary"), -SUFFIX, SUFFIX)
-    return (F.crc32(tail) % (CLASSES - 1) + 1).cast("int")
+    return (F.crc32(tail) % (WIDTH - 1) + 1).cast("int")
+
+
+def leaf_of(word: Column) -> Column:
+    """Number of the word's part among all parts; those of class 0 are the end's."""
+    return (class_of(word) * WIDTH + F.shiftright(F.crc32(word.cast("binary")), 8) % WIDTH).cast("int")
+
+
+def bits_for(tokens: int, max_buckets: int = MAX_BUCKETS) -> int:
+    """Bits of a bucket's number for so many training tokens."""
+    most = max(max_buckets.bit_length() - 1, 1)
+    return min(max((max(tokens, 1) // SHARE).bit_length(), MIN_BITS), most)
 
 
 class Index(dict):
-    """Word (bytes) to number, with hash, class and known count by number.  Number 0
+    """Word (bytes) to number, with hash, part and known count by number.  Number 0
     is the end of a text, 1 stands before its start."""
 
     def __init__(self, known: dict[bytes, int]):
         super().__init__()
         self.known, self.words = known, [b"", b" "]
-        self.hash, self.cls, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint8), np.full(1 << 16, -1, np.int64)
+        self.hash, self.leaf, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint8), np.full(1 << 16, -1, np.int64)
         self.hash[1] = 1
 
     def __missing__(self, w: bytes) -> int:
         i = len(self.words)
         if i == len(self.hash):
-            self.hash, self.cls = np.resize(self.hash, 2 * i), np.resize(self.cls, 2 * i)
+            self.hash, self.leaf = np.resize(self.hash, 2 * i), np.resize(self.leaf, 2 * i)
             self.count = np.resize(self.count, 2 * i)
         self.words.append(w)
-        self.hash[i], self.cls[i], self.count[i] = zlib.crc32(w), zlib.crc32(w[-SUFFIX:]) % (CLASSES - 1) + 1, self.known.get(w, -1)
+        h, c = zlib.crc32(w), zlib.crc32(w[-SUFFIX:]) % (WIDTH - 1) + 1
+        self.hash[i], self.leaf[i], self.count[i] = h, c * WIDTH + (h >> 8) % WIDTH, self.known.get(w, -1)
         self[w] = i
         return i
 
@@ -86,54 +106,81 @@ def numbers(texts: list[str | None], index: Index) -> tuple[np.ndarray, np.ndarr
 
 
 def features(ids: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """Places of tokens in ``ids`` and the three feature buckets of each."""
+    """Places of tokens in ``ids`` and the hashes of each one's three features."""
     places = np.flatnonzero(ids != 1)
     h = index.hash[ids]
     one, two = h[places - 1], h[places - 2]
-    mixed = (one * np.uint32(SKIP[0]), (one * np.uint32(SKIP[1])) ^ (two * np.uint32(SKIP[2])), (two + np.uint32(7)) * np.uint32(SKIP[1]))
-    out = np.empty((len(places), 3), np.int32)
-    for k, m in enumerate(mixed):
-        m = m ^ (m >> np.uint32(15))
-        out[:, k] = (m * np.uint32(0x2C1B3C6D)) >> np.uint32(18)  # 14 bits
-    return places, out
-
-
-def class_scores(w: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp(z) and z of every row and class, z being the score less the row's largest.
-    The last row of ``w`` is the bias."""
-    z = w.take(f[:, 0], axis=0)
-    z += w.take(f[:, 1], axis=0)
-    z += w.take(f[:, 2], axis=0)
-    z += w[-1]
-    z -= z.max(axis=1, keepdims=True)
+    return places, np.stack([one * np.uint32(SKIP[0]), (one * np.uint32(SKIP[1])) ^ (two * np.uint32(SKIP[2])), (two + np.uint32(7)) * np.uint32(SKIP[1])])
+
+
+def decisions(f: np.ndarray, leaf: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The softmax decisions of a batch, all tokens' classes and then the parts of
+    those that are no end: buckets by feature, number of the bias, the outcome, and
+    the token's place in the batch."""
+    c = leaf // WIDTH
+    word = np.flatnonzero(c)
+    crossed = (f[:, word] ^ (f[:, word] >> np.uint32(15))) * np.uint32(SKIP[2]) + c[word].astype(np.uint32) * np.uint32(SKIP[0])
+    m = np.concatenate([f, crossed], axis=1)
+    m ^= m >> np.uint32(15)
+    m *= np.uint32(0x2C1B3C6D)
+    m ^= m >> np.uint32(12)
+    m *= np.uint32(0x297A2D39)
+    m >>= np.uint32(32 - bits)
+    bias = np.concatenate([np.zeros(len(c), np.intp), c[word].astype(np.intp)])
+    return m, bias, np.concatenate([c, leaf[word] % WIDTH]).astype(np.intp), np.concatenate([np.arange(len(c)), word])
+
+
+def outcome_scores(w: np.ndarray, m: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(z) and z of every decision and outcome, z being the score less the row's
+    largest.  The last WIDTH rows of ``w`` are the biases."""
+    z = w.take(m[0], axis=0)
+    z += w.take(m[1], axis=0)
+    z += w.take(m[2], axis=0)
+    z += w[-WIDTH:].take(bias, axis=0)
+    top = z
+    while top.shape[1] > 1:  # halves: far faster than a maximum over short rows
+        half = top.shape[1] // 2
+        top = np.maximum(top[:, :half], top[:, half:])
+    z -= top
     return np.exp(z), z
 
 
-def class_log_probability(w: np.ndarray, f: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each row's class."""
-    e, z = class_scores(w, f)
-    return z[np.arange(len(y)), y] - np.log(e.sum(axis=1))
+def leaf_log_probability(w: np.ndarray, f: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Natural log-probability of each token's class and part."""
+    m, bias, y, token = decisions(f, leaf, (len(w) - WIDTH).bit_length() - 1)
+    e, z = outcome_scores(w, m, bias)
+    return np.bincount(token, z[np.arange(len(y)), y] - np.log(e.sum(axis=1)), len(leaf))
 
 
-def update(w: np.ndarray, seen: np.ndarray, energy: np.ndarray, f: np.ndarray, y: np.ndarray) -> None:
+def update(w: np.ndarray, seen: np.ndarray, energy: np.ndarray, f: np.ndarray, leaf: np.ndarray) -> None:
     """One gradient step on a batch, with a rate per bucket that falls with the
     gradients it has had."""
-    g, _ = class_scores(w, f)
+    m, bias, y, _ = decisions(f, leaf, (len(w) - WIDTH).bit_length() - 1)
+    g, _ = outcome_scores(w, m, bias)
     g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(y)), y] -= 1
-    flat = np.concatenate([f[:, 0], f[:, 1], f[:, 2]]).astype(np.uint16)  # 16 bits sort by radix
-    order = np.argsort(flat, kind="stable")
-    ranked = flat[order]
+    # bucket and place in one number: sorting it sorts places by bucket
+    key = np.sort(((m.astype(np.int64) << 32) | np.arange(len(y))).reshape(-1))
+    ranked = key >> 32
     starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-    rows = ranked[starts]
-    step = np.add.reduceat(g.take(order % len(y), axis=0), starts, axis=0)
-    energy[rows] += np.square(step).mean(axis=1)
-    w[rows] -= step * (RATE / np.sqrt(energy[rows]))[:, None]
-    seen[rows] += np.diff(np.append(starts, len(flat)))
-    bias = g.sum(axis=0)
-    energy[-1] += np.square(bias).mean()
-    w[-1] -= RATE * bias / np.sqrt(energy[-1])
-    seen[-1] += len(y)
+    rows, times = ranked[starts], np.diff(np.append(starts, len(key)))
+    each = g.take(key & 0xFFFFFFFF, axis=0)
+    step = each.take(starts, axis=0)
+    several = np.flatnonzero(times > 1)  # most buckets occur once in a batch
+    if len(several):
+        more = np.repeat(times > 1, times)
+        at = np.cumsum(times[several])
+        step[several] = np.add.reduceat(each[more], at - times[several], axis=0)
+    energy[rows] += np.einsum("ij,ij->i", step, step) / WIDTH
+    step *= (RATE / np.sqrt(energy[rows]))[:, None].astype(np.float32)
+    w[rows] = w.take(rows, axis=0) - step
+    seen[rows] += times
+    met = np.zeros((len(y), WIDTH), np.float32)
+    met[np.arange(len(y)), bias] = 1
+    step, times = met.T @ g, met.sum(axis=0).astype(np.int64)
+    energy[-WIDTH:] += np.square(step).mean(axis=1)
+    w[-WIDTH:] -= step * (RATE / np.sqrt(energy[-WIDTH:]))[:, None]
+    seen[-WIDTH:] += times
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -158,9 +205,28 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(task, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(rows: DataFrame, rounds: int) -> np.ndarray:
-    """The weights: one row of CLASSES floats per bucket and one for the bias."""
-    w = np.zeros((BUCKETS + 1, CLASSES), np.float32)
+def mean_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Means by bucket of the tasks' weights, added up as they come in: memory for
+    the buckets alone, whatever the number of tasks."""
+    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for b in batches:
+        for block, bucket, n, w in zip(*(c.to_pylist() for c in b.columns)):
+            if block not in sums:
+                sums[block] = np.zeros(BLOCK), np.zeros((BLOCK, WIDTH))
+            at, times = np.frombuffer(bucket, np.uint16), np.frombuffer(n, np.uint32).astype(float)
+            sums[block][0][at] += times
+            sums[block][1][at] += times[:, None] * np.frombuffer(w, np.float16).reshape(-1, WIDTH)
+    for block, (n, w) in sums.items():
+        met = np.flatnonzero(n)
+        flat = pa.array((w[met] / n[met][:, None]).astype(np.float32).reshape(-1))
+        vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(met) + 1) * WIDTH, pa.int32()), flat)
+        yield pa.RecordBatch.from_arrays([pa.array(met + block * BLOCK, pa.int32()), vectors], ["bucket", "w"])
+
+
+def train(rows: DataFrame, rounds: int, bits: int) -> np.ndarray:
+    """The weights: one row of WIDTH floats per bucket, then the biases of the class
+    (0) and of each class's parts."""
+    w = np.zeros(((1 << bits) + WIDTH, WIDTH), np.float32)
     for r in range(rounds):
         start = rows.sparkSession.sparkContext.broadcast(w)
 
@@ -172,30 +238,32 @@ def train(rows: DataFrame, rounds: int) -> np.ndarray:
                 for a in range(0, len(texts), 64):
                     ids, _ = numbers(texts.slice(a, 64).to_pylist(), index)
                     places, f = features(ids, index)
-                    y = index.cls[ids[places]]
-                    for k in range(0, len(y), BATCH):
-                        update(own, seen, energy, f[k : k + BATCH], y[k : k + BATCH])
+                    leaf = index.leaf[ids[places]]
+                    for k in range(0, len(leaf), BATCH):
+                        update(own, seen, energy, f[:, k : k + BATCH], leaf[k : k + BATCH])
                     if len(index) > INDEX:
                         index = Index({})
             met = np.flatnonzero(seen)
             if len(met):
-                flat = pa.array(own[met].astype(np.float32).reshape(-1))
-                vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(met) + 1) * CLASSES, pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(seen[met], pa.int64()), vectors], ["bucket", "n", "w"])
+                cuts = np.flatnonzero(np.diff(met // BLOCK, prepend=-1))
+                found = [(m, seen[m].astype(np.uint32), own[m].astype(np.float16)) for m in np.split(met, cuts[1:])]
+                cols = [
+                    pa.array(met[cuts] // BLOCK, pa.int32()), pa.array([(m % BLOCK).astype(np.uint16).tobytes() for m, _, _ in found], pa.binary()),
+                    pa.array([n.tobytes() for _, n, _ in found], pa.binary()), pa.array([v.tobytes() for _, _, v in found], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, ["block", "bucket", "n", "w"])
 
         share = rows.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).select("text")
-        sums = [F.sum(F.get("w", F.lit(i)) * F.col("n")).alias(f"w{i}") for i in range(CLASSES)]
-        mean = share.mapInArrow(task, "bucket int, n long, w array<float>").groupBy("bucket").agg(F.sum("n").alias("n"), *sums)
-        got = mean.toArrow()  # BUCKETS + 1 rows at most
+        parts = share.mapInArrow(task, "block int, bucket binary, n binary, w binary")
+        got = parts.repartition("block").mapInArrow(mean_weights, "bucket int, w array<float>").toArrow()  # a row a bucket
         if got.num_rows:
-            n = got.column("n").to_numpy()[:, None]
-            w[got.column("bucket").to_numpy()] = np.column_stack([got.column(f"w{i}").to_numpy() for i in range(CLASSES)]) / n
+            w[got.column("bucket").to_numpy()] = got.column("w").combine_chunks().flatten().to_numpy().reshape(-1, WIDTH)
         start.unpersist()
     return w
 
 
 def score_texts(
-    docs: DataFrame, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text", hold_out: tuple[int, int] = (7, 2)
+    docs: DataFrame, rounds: int = 2, id_col: str = "doc_id", text_col: str = "text", hold_out: tuple[int, int] = (7, 2), max_buckets: int = MAX_BUCKETS
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -205,14 +273,14 @@ def score_texts(
     texts = training.count()
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, distinct = words + texts, distinct + (texts > 0)
-    by_class = counts.groupBy(class_of(F.col("word")).alias("c")).agg(F.sum(F.col("n") + 1).alias("n")).collect()
-    mass = np.ones(CLASSES)
+    by_leaf = counts.groupBy(leaf_of(F.col("word")).alias("c")).agg(F.sum(F.col("n") + 1).alias("n")).collect()  # WIDTH * WIDTH at most
+    mass = np.ones(WIDTH * WIDTH)
     mass[0] = texts + 1
-    for r in by_class:
+    for r in by_leaf:
         mass[r["c"]] += r["n"]
     top = counts.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
     known = spark.sparkContext.broadcast({w.encode(): n for w, n in zip(top.column("word").to_pylist(), top.column("n").to_pylist())})
-    model = spark.sparkContext.broadcast((train(training, rounds), np.log10(mass)))
+    model = spark.sparkContext.broadcast((train(training, rounds, bits_for(total, max_buckets)), np.log10(mass)))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, log_mass = model.value
@@ -222,18 +290,18 @@ def score_texts(
                 part = b.column(1).slice(a, 64).to_pylist()
                 ids, ends = numbers(part, index)
                 places, f = features(ids, index)
-                y = index.cls[ids[places]]
-                by_class = np.empty(len(y))
-                for k in range(0, len(y), BATCH):
-                    by_class[k : k + BATCH] = class_log_probability(w, f[k : k + BATCH], y[k : k + BATCH])
-                by_class = by_class / np.log(10) - log_mass[y]
+                leaf = index.leaf[ids[places]]
+                by_leaf = np.empty(len(leaf))
+                for k in range(0, len(leaf), BATCH):
+                    by_leaf[k : k + BATCH] = leaf_log_probability(w, f[:, k : k + BATCH], leaf[k : k + BATCH])
+                by_leaf = by_leaf / np.log(10) - log_mass[leaf]
                 found = index.count[ids[places]]
                 owner = np.searchsorted(ends, places)
                 size = len(part)
                 tokens = np.bincount(owner, minlength=size)
                 logs = np.bincount(owner, np.where(found >= 0, np.log10(np.maximum(found, 0) + 1.0), 0.0), size)
                 seen = np.bincount(owner, found >= 0, size).astype(np.int64)
-                cls = np.bincount(owner, by_class, size)
+                cls = np.bincount(owner, by_leaf, size)
                 rare = np.flatnonzero((found < 0) & (ids[places] > 1))
                 pair, times = np.unique(owner[rare] * len(index.words) + ids[places][rare], return_counts=True)
                 rare_owner, rare_word = pair // len(index.words), pair % len(index.words)

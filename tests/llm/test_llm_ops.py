@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -139,19 +140,92 @@ def test_model_beats_base_on_held_out_texts(spark):
     assert all(r["score"] <= 0 for r in got)
 
 
-def test_class_probabilities_sum_to_one():
-    w = np.random.default_rng(0).normal(size=(maxent.BUCKETS + 1, maxent.CLASSES)).astype(np.float32)
-    f = np.random.default_rng(1).integers(0, maxent.BUCKETS, (50, 3))
-    total = sum(np.exp(maxent.class_log_probability(w, f, np.full(50, c))) for c in range(maxent.CLASSES))
+def test_probabilities_of_parts_sum_to_one():
+    w = np.random.default_rng(0).normal(size=((1 << 10) + maxent.WIDTH, maxent.WIDTH)).astype(np.float32)
+    f = np.random.default_rng(1).integers(0, 1 << 32, (3, 50), dtype=np.uint32)
+    leaves = [0, *range(maxent.WIDTH, maxent.WIDTH**2)]  # the end has no parts
+    total = sum(np.exp(maxent.leaf_log_probability(w, f, np.full(50, leaf, np.uint8))) for leaf in leaves)
     assert np.allclose(total, 1, atol=1e-4)
 
 
-def test_class_of_word_is_the_same_in_tasks_and_sql(spark):
+def test_update_is_the_gradient_step():
+    rng = np.random.default_rng(2)
+    w = rng.normal(size=((1 << 5) + maxent.WIDTH, maxent.WIDTH)).astype(np.float32)
+    f = rng.integers(0, 1 << 32, (3, 40), dtype=np.uint32)
+    leaf = np.where(rng.random(40) < 0.2, 0, rng.integers(maxent.WIDTH, maxent.WIDTH**2, 40)).astype(np.uint8)
+    m, bias, y, _ = maxent.decisions(f, leaf, 5)
+    gradient, met = np.zeros(w.shape), np.zeros(len(w), int)
+    for d in range(len(y)):  # every decision by itself
+        touched = [*m[:, d], (1 << 5) + bias[d]]
+        z = w[touched].astype(float).sum(axis=0)
+        g = np.exp(z) / np.exp(z).sum()
+        g[y[d]] -= 1
+        for k in touched:
+            gradient[k] += g
+            met[k] += 1
+    energy = 1 + (gradient**2).mean(axis=1)
+    want = w - gradient * (maxent.RATE / np.sqrt(energy))[:, None]
+    seen, kept = np.zeros(len(w), np.int64), np.ones(len(w), np.float32)
+    maxent.update(w, seen, kept, f, leaf)
+    assert np.allclose(w, want, atol=1e-4) and np.allclose(kept, energy, rtol=1e-4) and (seen == met).all()
+
+
+def test_weights_grow_with_the_corpus_up_to_their_bound():
+    sizes = [maxent.bits_for(n) for n in (0, 10**5, 10**6, 10**7, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] == maxent.MIN_BITS and 1 << sizes[-1] == maxent.MAX_BUCKETS
+    assert sizes[1] < sizes[2] < sizes[3] and maxent.bits_for(10**12, 1 << 20) == 20
+
+
+def test_mean_of_weights_is_by_times_met(spark):
+    def part(block, buckets, n, value):
+        w = np.full((len(buckets), maxent.WIDTH), value, np.float16)
+        return pa.RecordBatch.from_pylist([{"block": block, "bucket": np.array(buckets, np.uint16).tobytes(), "n": np.array(n, np.uint32).tobytes(), "w": w.tobytes()}])
+
+    got = maxent.mean_weights(iter([part(2, [1, 5], [1, 3], 1.0), part(2, [5], [1], 5.0), part(0, [7], [2], -1.0)]))
+    means = {r["bucket"]: r["w"] for b in got for r in b.to_pylist()}
+    assert {k: v[0] for k, v in means.items()} == {2049: 1.0, 2053: 2.0, 7: -1.0}
+
+
+def test_scores_match_the_model_word_by_word(spark, docs, odd, monkeypatch):
+    kept = {}
+    real = maxent.train
+
+    def train(*args):
+        kept["w"] = real(*args)
+        return kept["w"]
+
+    monkeypatch.setattr(maxent, "train", train)
+    monkeypatch.setattr(maxent, "FREQUENT", 100)
+    for df in (docs, odd):
+        data = pairs(df)
+        got = Counter((str(r["doc_id"]), round(r["score"], 3)) for r in rows(maxent.score_texts(df)))
+        held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+        toks = lambda t: (t or "").encode().lower().split() + [b""]
+        counts = Counter(x for i, t in data if not held(i) for x in toks(t))
+        index = maxent.Index({})
+        index[b""] = 0
+        mass = Counter({leaf: 1 for leaf in range(maxent.WIDTH**2)})
+        for x, n in counts.items():
+            mass[int(index.leaf[index[x]])] += n + (x != b"")
+        want = Counter()
+        for i, t in data:
+            score, ids = 0.0, [1, 1, *(index[x] for x in toks(t))]
+            places, f = maxent.features(np.asarray(ids), index)
+            for k, place in enumerate(places):
+                leaf = index.leaf[ids[place] : ids[place] + 1]
+                log = float(maxent.leaf_log_probability(kept["w"], f[:, k : k + 1], leaf)[0]) / math.log(10)
+                score += log + math.log10((counts[index.words[ids[place]]] + 1) / mass[int(leaf[0])])
+            want[str(i), round(score, 3)] += 1
+        for (i, score), n in want.items():
+            assert sum(c for (j, other), c in got.items() if j == i and abs(other - score) < 0.02 + 1e-5 * abs(score)) >= n
+
+
+def test_part_of_word_is_the_same_in_tasks_and_sql(spark):
     words = ["a", "ab", "abc", "longer", "été", "ñ", "東京"]
     index = maxent.Index({})
-    got = spark.createDataFrame([(w,) for w in words], "word string").select("word", maxent.class_of(F.col("word")).alias("c")).collect()
+    got = spark.createDataFrame([(w,) for w in words], "word string").select("word", maxent.leaf_of(F.col("word")).alias("c")).collect()
     for r in got:
-        assert index.cls[index[r["word"].encode()]] == r["c"]
+        assert index.leaf[index[r["word"].encode()]] == r["c"]
 
 
 # 3 personal data
