@@ -7,10 +7,17 @@ the first in WARC-Concurrent-To.  Spark's text writer writes the records, so fil
 are committed by task and lie wherever Spark can write.  Reading: each file is
 parsed by Content-Length, so payloads may hold anything, record heads included.
 
-Assembly: a request or metadata record may name the response or another record of
-its transaction; one hop is followed.  One row comes back per response or revisit,
-with its request and metadata nested (null where absent; of several, the one with
-the smallest record id).  Requests or metadata of no capture are left out.
+A file is decompressed in pieces, record by record: memory holds it as stored, and one record.
+
+Assembly: any record of a transaction may name any other, several records at once,
+in either direction; links are followed both ways to their end, by rounds of joins in
+which every record takes the nearest capture that a linked record has reached.  One
+row comes back per response or revisit, with all its requests and all its metadata
+records nested as arrays, in the order of their ids (empty where absent).  A record
+linked to several captures belongs to the nearest, of equally near ones to that with
+the smallest id; captures that name each other stay apart.  Requests or metadata of
+no capture are left out, as are ids that no record has.  Records without an id have
+no links; repeated ids count as one record in the links and come back each.
 
 Null payload counts as empty; null url or id write no such field and come back
 null; rows with equal payload and equal smallest id are all responses; extra
@@ -21,21 +28,24 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import attach, text_of
+from corpusmill.llm.common import attach, materialise, text_of
 from corpusmill.session import ensure_checkpoint_dir
 
 VERSION, END = "WARC/1.1", "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-FIELDS = ("warc-type", "warc-record-id", "warc-target-uri", "warc-concurrent-to", "warc-payload-digest", "warc-date")
+PIECE = 1 << 20
 RECORD = (
-    "type string, record_id string, target_uri string, concurrent_to string, header_digest string, date string, "
+    "type string, record_id string, target_uri string, concurrent_to array<string>, header_digest string, date string, "
     "fields map<string,string>, payload_bytes long, payload_digest string, payload binary"
 )
 
@@ -91,42 +101,93 @@ def _base32(hexes: Column) -> Column:
     return F.array_join(F.transform(groups, four), "")
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-case names, block) of each record."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        head = data[at:end].decode("utf-8", "replace").split("\r\n")
-        if not head[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head[1:])}
-        start = end + 4
-        at = start + int(headers["content-length"])
-        yield headers, data[start:at]
-        at += 4
+class Pieces:
+    """A file's bytes, decompressed member by member where it is gzip, in pieces."""
+
+    def __init__(self, data: memoryview):
+        self.data, self.at, self.zipped, self.member = data, 0, bytes(data[:2]) == b"\x1f\x8b", None
+        self.held = bytearray()
+
+    def more(self) -> bool:
+        """Takes another piece; false at the end of the file."""
+        while self.at < len(self.data):
+            piece = self.data[self.at : self.at + PIECE]
+            if not self.zipped:
+                self.at += len(piece)
+                self.held += piece
+                return True
+            self.member = self.member or zlib.decompressobj(31)
+            out = self.member.decompress(self.member.unconsumed_tail or piece, PIECE)
+            if not self.member.unconsumed_tail:
+                self.at += len(piece) - len(self.member.unused_data)
+            if self.member.eof:
+                self.member = None
+            if out:
+                self.held += out
+                return True
+        return False
+
+    def until(self, mark: bytes) -> int:
+        """Where ``mark`` begins in what is held; -1 where the file has none."""
+        start = 0
+        while (found := self.held.find(mark, start)) < 0:
+            start = max(len(self.held) - len(mark) + 1, 0)
+            if not self.more():
+                return -1
+        return found
 
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n and self.more():
+            pass
+        if len(self.held) < n:
+            raise ValueError("archive ends within a record")
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        return out
 
-def read_records(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
+
+def parse(data: bytes | memoryview) -> Iterator[tuple[dict[str, list[str]], bytes]]:
+    """(values of each header by lower-case name, block) of each record."""
+    pieces = Pieces(memoryview(data))
+    while pieces.held or pieces.more():
+        end = pieces.until(b"\r\n\r\n")
+        head = (pieces.take(end + 4) if end >= 0 else bytes(pieces.held)).decode("utf-8", "replace").split("\r\n")
+        if end < 0 or not head[0].startswith("WARC/"):
+            raise ValueError("no record where one should begin")
+        headers: dict[str, list[str]] = {}
+        for k, _, v in (line.partition(":") for line in head[1:] if line):
+            headers.setdefault(k.strip().lower(), []).append(v.strip())
+        block = pieces.take(int(headers["content-length"][0]))
+        while len(pieces.held) < 4 and pieces.more():
+            pass
+        del pieces.held[:4]
+        yield headers, block
+
+
+def read_records(spark: SparkSession, path: str, with_payload: bool = False, per_batch: int = 512) -> DataFrame:
     """One row per record.  The digest is that of the payload as read; revisits and
     other kinds carry none."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gzip
+    def row(headers: dict[str, list[str]], block: bytes) -> tuple:
+        one = lambda name: headers.get(name, [None])[0]
+        kind, payload, fields = one("warc-type"), None, None
+        if kind == "response":
+            payload = block.partition(b"\r\n\r\n")[2]
+        elif kind == "metadata":
+            fields = [(k, v.strip()) for k, _, v in (x.partition(": ") for x in block.decode("utf-8", "replace").split("\r\n")) if k]
+        digest = None if payload is None else base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        return (
+            kind, one("warc-record-id"), one("warc-target-uri"), headers.get("warc-concurrent-to"), one("warc-payload-digest"), one("warc-date"),
+            fields, None if payload is None else len(payload), digest, payload if with_payload else None,
+        )
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = pa.string()
+        kinds = [text, text, text, pa.list_(text), text, text, pa.map_(text, text), pa.int64(), text, pa.binary()]
         for batch in batches:
             for data in batch.column(0):
-                raw = data.as_py()
-                rows = []
-                for headers, block in parse(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw):
-                    kind, payload, fields = headers.get("warc-type"), None, None
-                    if kind == "response":
-                        payload = block.partition(b"\r\n\r\n")[2]
-                    elif kind == "metadata":
-                        fields = [(k, v.strip()) for k, _, v in (x.partition(": ") for x in block.decode("utf-8", "replace").split("\r\n")) if k]
-                    digest = None if payload is None else base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                    rows.append((*(headers.get(f) for f in FIELDS), fields, None if payload is None else len(payload), digest, payload if with_payload else None))
-                if rows:
-                    kinds = [pa.string()] * 6 + [pa.map_(pa.string(), pa.string()), pa.int64(), pa.string(), pa.binary()]
+                records = (row(headers, block) for headers, block in parse(data.as_buffer()))
+                while rows := list(islice(records, 1 if with_payload else per_batch)):
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], NAMES)
 
     files = spark.read.format("binaryFile").load(path).select("content")
@@ -136,28 +197,62 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = False) ->
 NAMES = [x.split()[0] for x in RECORD.split(", ")]
 
 
+def reached(records: DataFrame) -> DataFrame:
+    """(record_id, capture): for every request and metadata record that a capture is
+    linked to, over any number of links, the nearest one.
+
+    Links to a capture itself need no rounds.  Where request and metadata records are
+    linked among each other, a round joins the links of those that have no capture yet
+    with the captures that the round before reached; it ends when it reaches nothing
+    new.  A record that names many others, or is named by many, has its links as
+    rows, in no one group."""
+    ids = records.where(F.col("record_id").isNotNull()).select("record_id", F.col("type").isin("response", "revisit").alias("main"), "concurrent_to")
+    main = ids.where("main").select(F.col("record_id").alias("capture"))
+    side = ids.where("not main").select("record_id")
+    named = ids.select("record_id", "main", F.explode("concurrent_to").alias("other"))
+    direct = named.where("not main").join(main, F.col("other") == F.col("capture"), "left_semi").select("record_id", F.col("other").alias("capture"))
+    back = named.where("main").select(F.col("other").alias("record_id"), F.col("record_id").alias("capture")).join(side, "record_id", "left_semi")
+    front = direct.unionByName(back).groupBy("record_id").agg(F.min("capture").alias("capture"))
+    among = named.where("not main").select("record_id", "other").join(side.withColumnRenamed("record_id", "other"), "other", "left_semi")
+    links = materialise(among.unionByName(among.select(F.col("other").alias("record_id"), F.col("record_id").alias("other"))).distinct())
+    if links.isEmpty():
+        return front
+    found = [materialise(front)]
+    while not links.isEmpty():
+        links = materialise(links.join(found[-1], "record_id", "left_anti"))
+        near = found[-1].select(F.col("record_id").alias("other"), "capture")
+        front = materialise(links.join(near, "other").groupBy("record_id").agg(F.min("capture").alias("capture")))
+        if front.isEmpty():
+            break
+        found.append(front)
+    return reduce(DataFrame.unionByName, found)
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture`` (the response or revisit), ``request``
-    and ``metadata``, joined through the concurrent-to ids."""
-    columns = [c for c in records.columns]
-    whole = F.struct(*columns)
+    and ``metadata`` (arrays), joined through the concurrent-to ids.  The archives are
+    parsed once: the records are written to the shared folder and read from there."""
+    spark, folder = records.sparkSession, scratch(records.sparkSession)
+    records.write.parquet(folder)
+    records = spark.read.schema(records.schema).parquet(folder)
+    whole = F.struct(*records.columns)
     main = records.where(F.col("type").isin("response", "revisit")).select(F.col("record_id").alias("key"), whole.alias("capture"))
-    side = records.where(F.col("type").isin("request", "metadata")).where(F.col("concurrent_to").isNotNull())
-    # a record that names a request or metadata record takes what that one names
-    hop = side.select(F.col("record_id").alias("concurrent_to"), F.col("concurrent_to").alias("next"))
-    side = side.join(hop, "concurrent_to", "left").select(F.coalesce("next", "concurrent_to").alias("key"), "type", "record_id", F.struct(*columns).alias("record"))
-    sides = side.groupBy("key").agg(
-        F.min_by(F.when(F.col("type") == "request", F.col("record")), F.when(F.col("type") == "request", F.col("record_id"))).alias("request"),
-        F.min_by(F.when(F.col("type") == "metadata", F.col("record")), F.when(F.col("type") == "metadata", F.col("record_id"))).alias("metadata"),
-    )
-    return main.join(sides, "key", "left").select("capture", "request", "metadata")
+    side = records.where(F.col("type").isin("request", "metadata")).select("record_id", "type", whole.alias("record")).join(reached(records), "record_id")
+
+    def all_of(kind: str) -> Column:
+        order = lambda x, y: F.when(x["record_id"] < y["record_id"], -1).when(x["record_id"] > y["record_id"], 1).otherwise(0)
+        return F.array_sort(F.collect_list(F.when(F.col("type") == kind, F.col("record"))), order).alias(kind)
+
+    sides = side.groupBy(F.col("capture").alias("key")).agg(all_of("request"), all_of("metadata"))
+    none = F.filter(F.array(F.col("capture")), lambda _: F.lit(False))
+    return main.join(sides, "key", "left").select("capture", *[F.coalesce(k, none).alias(k) for k in ("request", "metadata")])
 
 
 def resolve(captures: DataFrame) -> DataFrame:
     """Per capture: capture_id, payload_bytes, payload_digest, record_type and the
     capture that a revisit refers to, found by payload digest."""
     rows = captures.select(
-        F.col("metadata.fields")["capture-id"].alias("capture_id"), F.col("capture.type").alias("record_type"), F.col("capture.target_uri").alias("url"),
+        F.get(F.filter(F.transform("metadata", lambda m: m["fields"]["capture-id"]), lambda v: v.isNotNull()), F.lit(0)).alias("capture_id"), F.col("capture.type").alias("record_type"), F.col("capture.target_uri").alias("url"),
         F.coalesce(F.col("capture.payload_digest"), F.replace(F.col("capture.header_digest"), F.lit("sha1:"), F.lit(""))).alias("payload_digest"),
         F.col("capture.payload_bytes").alias("bytes"), F.col("capture.record_id").alias("record_id"),
     )

@@ -460,9 +460,9 @@ def test_archives_round_trip(spark, tmp_path):
     cols = ["capture_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     assert sorted(tuple(r[c] for c in cols) for r in got) == brute_warc(pages)
     whole = rows(warc.assemble(warc.read_records(spark, path, with_payload=True)))
-    kept = {r["metadata"]["fields"]["capture-id"]: r["capture"]["payload"] for r in whole if r["capture"]["type"] == "response"}
+    kept = {r["metadata"][0]["fields"]["capture-id"]: r["capture"]["payload"] for r in whole if r["capture"]["type"] == "response"}
     assert kept["1000"].decode() == nasty and kept["1004"].decode() == "é😀" * 20000
-    assert all(r["request"]["concurrent_to"] == r["capture"]["record_id"] for r in whole)
+    assert all([x["concurrent_to"] for x in r["request"]] == [[r["capture"]["record_id"]]] for r in whole)
     assert {r["url"] is None for r in got if r["capture_id"] == 1001} == {True}
 
 
@@ -474,11 +474,65 @@ def test_archives_of_nothing_and_of_null_ids(spark):
         assert [r["record_type"] for r in got] == ["response"] * len(data)
 
 
-def test_transactions_follow_one_hop(spark):
-    rec = lambda t, i, to=None: (t, f"<{i}>", None, to, None, None, None, None, None, None)
-    df = spark.createDataFrame([rec("response", "a"), rec("request", "b", "<a>"), rec("metadata", "c", "<b>"), rec("metadata", "d", "<zz>")], warc.RECORD)
-    got = rows(warc.assemble(df))
-    assert len(got) == 1 and got[0]["request"]["record_id"] == "<b>" and got[0]["metadata"]["record_id"] == "<c>"
+def record(kind, i, *to):
+    return (kind, i and f"<{i}>", None, [f"<{x}>" for x in to] or None, None, None, None, None, None, None)
+
+
+def transactions(spark, *records):
+    got = rows(warc.assemble(spark.createDataFrame(list(records), warc.RECORD)))
+    ids = lambda xs: "".join(x["record_id"].strip("<>") for x in xs)
+    return {(r["capture"]["record_id"] or "").strip("<>"): (ids(r["request"]), ids(r["metadata"])) for r in got}
+
+
+def test_transactions_follow_links_both_ways_to_the_end(spark):
+    got = transactions(
+        spark, record("response", "a"), record("request", "b", "a"), record("metadata", "c", "b"), record("metadata", "d", "c"), record("metadata", "e", "zz"),
+        record("response", "p", "q", "zz"), record("request", "q", "r"), record("metadata", "r"), record("metadata", "s", "q", "q", "r"),
+        record("revisit", "u"), record("request", None, "u"), record("request", "v"), record("response", None, "w"), record("metadata", "w"),
+    )
+    assert got == {"a": ("b", "cd"), "p": ("q", "rs"), "u": ("", ""), "": ("", "")}
+
+
+def test_transactions_with_several_captures(spark):
+    got = transactions(
+        spark, record("response", "a", "b"), record("revisit", "b", "a"), record("request", "c", "b", "a"), record("metadata", "d", "b"),
+        record("metadata", "e", "d"), record("metadata", "f", "e", "c"), record("request", "g", "f"), record("request", "c", "a"),
+    )
+    # f is as near to a (by c) as e is to b (by d); g hangs on f
+    assert got == {"a": ("ccg", "f"), "b": ("", "de")}
+    assert transactions(spark, record("request", "x", "y"), record("metadata", "y", "x")) == {}
+
+
+def test_transactions_in_a_long_chain_and_on_one_record(spark):
+    chain = [record("response", "m0")] + [record("metadata", f"m{i}", f"m{i - 1}") for i in range(1, 6)]
+    many = [record("response", "h")] + [record("request", f"r{i:03d}", "h") for i in range(200)]
+    got = rows(warc.assemble(spark.createDataFrame(chain + many, warc.RECORD)))
+    assert sorted((len(r["request"]), [x["record_id"] for x in r["metadata"]]) for r in got) == [(0, [f"<m{i}>" for i in range(1, 6)]), (200, [])]
+
+
+def archive(blocks):
+    return [b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n" % (i, len(b)) + b + b"\r\n\r\n" for i, b in enumerate(blocks)]
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+def test_archives_are_read_in_pieces(monkeypatch, piece):
+    import gzip
+
+    monkeypatch.setattr(warc, "PIECE", piece)
+    blocks = [b"", b"x" * 50, b"\r\n\r\nWARC/1.1\r\n\r\n", bytes(range(256)) * 4]
+    records = archive(blocks)
+    for data in (b"".join(records), gzip.compress(b"".join(records)), b"".join(gzip.compress(r) for r in records), b"".join(records)[:-4]):
+        got = list(warc.parse(data))
+        assert [b for _, b in got] == blocks and [h["warc-record-id"] for h, _ in got] == [[f"<{i}>"] for i in range(4)]
+    assert list(warc.parse(b"")) == []
+    for bad in (b"".join(records)[:-20], b"none", records[1][:30]):
+        with pytest.raises(ValueError):
+            list(warc.parse(bad))
+
+
+def test_repeated_headers_are_kept():
+    head = b"WARC/1.0\r\nWARC-Concurrent-To: <a>\r\nwarc-concurrent-to: <b>\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    assert next(warc.parse(head))[0]["warc-concurrent-to"] == ["<a>", "<b>"]
 
 
 # 8 mixing
