@@ -7,7 +7,7 @@ previous word, the previous two words, and the one before the previous with the
 previous skipped; for the part each feature is crossed with the class.  Within a
 part, the word has its add-one relative frequency, the maximum-entropy answer for
 features of the word alone.  Classes come from a hash of a word's last bytes, parts
-from one of all its bytes, so unseen words have both; each part holds one unseen
+from one of its first, so unseen words have both; each part holds one unseen
 word; the end of a text is a class without parts.  All probabilities after a history
 sum to one.
 
@@ -29,7 +29,6 @@ are ignored."""
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,8 +40,9 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import materialise
 
-WIDTH, SUFFIX = 16, 3  # classes, parts of a class
+WIDTH, SUFFIX, PREFIX = 16, 3, 4  # classes, parts of a class
 MIN_BITS, MAX_BUCKETS, SHARE = 14, 1 << 18, 16
+ONES = np.ones(WIDTH, np.float32)  # a product with it sums short rows faster
 FREQUENT, LONGEST = 300_000, 64
 BATCH, RATE = 8192, 0.3
 INDEX = 600_000
@@ -61,7 +61,8 @@ def class_of(word: Column) -> Column:
 
 def leaf_of(word: Column) -> Column:
     """Number of the word's part among all parts; those of class 0 are the end's."""
-    return (class_of(word) * WIDTH + F.shiftright(F.crc32(word.cast("binary")), 8) % WIDTH).cast("int")
+    head = F.substring(word.cast("binary"), 1, PREFIX)
+    return (class_of(word) * WIDTH + F.shiftright(F.crc32(head), 8) % WIDTH).cast("int")
 
 
 def bits_for(tokens: int, max_buckets: int = MAX_BUCKETS) -> int:
@@ -70,27 +71,103 @@ def bits_for(tokens: int, max_buckets: int = MAX_BUCKETS) -> int:
     return min(max((max(tokens, 1) // SHARE).bit_length(), MIN_BITS), most)
 
 
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+CRC = np.arange(256, dtype=np.uint32)  # CRC-32 of a byte, by its polynomial
+for _ in range(8):
+    CRC = (CRC >> np.uint32(1)) ^ np.where(CRC & np.uint32(1), np.uint32(0xEDB88320), np.uint32(0))
+STEP = 0x01000193  # odd, so that it has an inverse among 32-bit numbers
+BACK = pow(STEP, -1, 1 << 32)
+
+
+KEPT: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers; those of usual lengths are kept."""
+    out = KEPT.get(base)
+    if out is None or len(out) < n:
+        out = np.full(max(n, INDEX), base, np.uint32)
+        out[:1] = 1
+        out = np.cumprod(out, dtype=np.uint32)
+        if len(out) == INDEX:
+            KEPT[base] = out
+    return out[:n]
+
+
+def crc_of(data: np.ndarray, at: np.ndarray, length: np.ndarray, most: int) -> np.ndarray:
+    """CRC-32 of the first ``length`` bytes, ``most`` at most, from each place."""
+    crc = np.full(len(at), 0xFFFFFFFF, np.uint32)
+    for k in range(most):
+        byte = data.take(at + k, mode="clip")
+        crc = np.where(length > k, CRC[(crc ^ byte) & np.uint32(255)] ^ (crc >> np.uint32(8)), crc)
+    return ~crc
+
+
+def hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every word of the texts that lie in ``data`` between the offsets: its text,
+    hash and part.  The hash is a polynomial of its lower-cased bytes, from running
+    sums over all bytes."""
+    blank, inner = BLANK[data], offsets[(offsets > 0) & (offsets < len(data))]
+    before, after = np.append(True, blank[:-1])[: len(data)], np.append(blank[1:], True)[: len(data)]
+    before[inner], after[inner - 1] = True, True
+    start, end = np.flatnonzero(~blank & before), np.flatnonzero(~blank & after) + 1
+    low = LOWER[data]
+    sums = np.zeros(len(data) + 1, np.uint32)
+    np.cumsum((low + np.uint32(1)) * powers(STEP, len(data)), dtype=np.uint32, out=sums[1:])
+    h = (sums[end] - sums[start]) * powers(BACK, len(data)).take(start)
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    size = end - start
+    tail = np.minimum(size, SUFFIX)
+    leaf = (crc_of(low, end - tail, tail, SUFFIX) % np.uint32(WIDTH - 1) + np.uint32(1)) * np.uint32(WIDTH)
+    leaf += (crc_of(low, start, size, PREFIX) >> np.uint32(8)) % np.uint32(WIDTH)
+    return np.searchsorted(offsets[1:], start, side="right"), h, leaf.astype(np.uint8)
+
+
+def sequences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and parts of all texts' tokens, each text preceded by two marks and
+    ended by its end, and the places of the tokens among the marks."""
+    texts = texts.cast(pa.string())
+    _, ends, data = texts.buffers()
+    n = len(texts)
+    offsets = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, np.int32)
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    text, h, leaf = hashed(raw, offsets.astype(np.int64) - int(offsets[0]))
+    at = np.arange(len(h)) + 3 * text + 2
+    stop = np.cumsum(np.bincount(text, minlength=n)) + 3 * np.arange(n) + 2
+    hashes, leaves, token = np.ones(len(h) + 3 * n, np.uint32), np.zeros(len(h) + 3 * n, np.uint8), np.zeros(len(h) + 3 * n, bool)
+    hashes[at], hashes[stop], leaves[at] = h, 0, leaf
+    token[at], token[stop] = True, True
+    return hashes, leaves, np.flatnonzero(token)
+
+
 class Index(dict):
-    """Word (bytes) to number, with hash, part and known count by number.  Number 0
-    is the end of a text, 1 stands before its start."""
+    """Word (bytes) to number, with known count by number, and after ``fill`` hash and
+    part.  Number 0 is the end of a text, 1 stands before its start."""
 
     def __init__(self, known: dict[bytes, int]):
         super().__init__()
         self.known, self.words = known, [b"", b" "]
-        self.hash, self.leaf, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint8), np.full(1 << 16, -1, np.int64)
-        self.hash[1] = 1
+        self.hash, self.leaf, self.count = np.array([0, 1], np.uint32), np.zeros(2, np.uint8), np.full(1 << 16, -1, np.int64)
 
     def __missing__(self, w: bytes) -> int:
         i = len(self.words)
-        if i == len(self.hash):
-            self.hash, self.leaf = np.resize(self.hash, 2 * i), np.resize(self.leaf, 2 * i)
+        if i == len(self.count):
             self.count = np.resize(self.count, 2 * i)
         self.words.append(w)
-        h, c = zlib.crc32(w), zlib.crc32(w[-SUFFIX:]) % (WIDTH - 1) + 1
-        self.hash[i], self.leaf[i], self.count[i] = h, c * WIDTH + (h >> 8) % WIDTH, self.known.get(w, -1)
+        self.count[i] = self.known.get(w, -1)
         self[w] = i
         return i
 
+    def fill(self) -> None:
+        new = self.words[len(self.hash) :]
+        if new:
+            data = np.frombuffer(b" ".join(new), np.uint8)
+            _, h, leaf = hashed(data, np.array([0, len(data)]))
+            self.hash, self.leaf = np.append(self.hash, h), np.append(self.leaf, leaf)
+
 
 def numbers(texts: list[str | None], index: Index) -> tuple[np.ndarray, np.ndarray]:
     """All texts' word numbers, each text preceded by two marks and ended by 0; and
@@ -102,15 +179,14 @@ def numbers(texts: list[str | None], index: Index) -> tuple[np.ndarray, np.ndarr
         out += map(index.__getitem__, (t or "").encode().lower().split())
         out.append(0)
         ends.append(len(out) - 1)
+    index.fill()
     return np.asarray(out, np.int64), np.asarray(ends, np.int64)
 
 
-def features(ids: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """Places of tokens in ``ids`` and the hashes of each one's three features."""
-    places = np.flatnonzero(ids != 1)
-    h = index.hash[ids]
+def features(h: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The hashes of the three features of the tokens at ``places``."""
     one, two = h[places - 1], h[places - 2]
-    return places, np.stack([one * np.uint32(SKIP[0]), (one * np.uint32(SKIP[1])) ^ (two * np.uint32(SKIP[2])), (two + np.uint32(7)) * np.uint32(SKIP[1])])
+    return np.stack([one * np.uint32(SKIP[0]), (one * np.uint32(SKIP[1])) ^ (two * np.uint32(SKIP[2])), (two + np.uint32(7)) * np.uint32(SKIP[1])])
 
 
 def decisions(f: np.ndarray, leaf: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -149,7 +225,7 @@ def leaf_log_probability(w: np.ndarray, f: np.ndarray, leaf: np.ndarray) -> np.n
     """Natural log-probability of each token's class and part."""
     m, bias, y, token = decisions(f, leaf, (len(w) - WIDTH).bit_length() - 1)
     e, z = outcome_scores(w, m, bias)
-    return np.bincount(token, z[np.arange(len(y)), y] - np.log(e.sum(axis=1)), len(leaf))
+    return np.bincount(token, z[np.arange(len(y)), y] - np.log(e @ ONES), len(leaf))
 
 
 def update(w: np.ndarray, seen: np.ndarray, energy: np.ndarray, f: np.ndarray, leaf: np.ndarray) -> None:
@@ -157,7 +233,7 @@ def update(w: np.ndarray, seen: np.ndarray, energy: np.ndarray, f: np.ndarray, l
     gradients it has had."""
     m, bias, y, _ = decisions(f, leaf, (len(w) - WIDTH).bit_length() - 1)
     g, _ = outcome_scores(w, m, bias)
-    g /= g.sum(axis=1, keepdims=True)
+    g /= (g @ ONES)[:, None]
     g[np.arange(len(y)), y] -= 1
     # bucket and place in one number: sorting it sorts places by bucket
     key = np.sort(((m.astype(np.int64) << 32) | np.arange(len(y))).reshape(-1))
@@ -231,18 +307,15 @@ def train(rows: DataFrame, rounds: int, bits: int) -> np.ndarray:
         start = rows.sparkSession.sparkContext.broadcast(w)
 
         def task(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            own, index = start.value.copy(), Index({})
+            own = start.value.copy()
             seen, energy = np.zeros(len(own), np.int64), np.ones(len(own), np.float32)
             for b in batches:
                 texts = b.column(0)
                 for a in range(0, len(texts), 64):
-                    ids, _ = numbers(texts.slice(a, 64).to_pylist(), index)
-                    places, f = features(ids, index)
-                    leaf = index.leaf[ids[places]]
+                    hashes, leaves, places = sequences(texts.slice(a, 64))
+                    f, leaf = features(hashes, places), leaves[places]
                     for k in range(0, len(leaf), BATCH):
                         update(own, seen, energy, f[:, k : k + BATCH], leaf[k : k + BATCH])
-                    if len(index) > INDEX:
-                        index = Index({})
             met = np.flatnonzero(seen)
             if len(met):
                 cuts = np.flatnonzero(np.diff(met // BLOCK, prepend=-1))
@@ -289,8 +362,8 @@ def score_texts(
             for a in range(0, b.num_rows, 64):
                 part = b.column(1).slice(a, 64).to_pylist()
                 ids, ends = numbers(part, index)
-                places, f = features(ids, index)
-                leaf = index.leaf[ids[places]]
+                places = np.flatnonzero(ids != 1)
+                f, leaf = features(index.hash[ids], places), index.leaf[ids[places]]
                 by_leaf = np.empty(len(leaf))
                 for k in range(0, len(leaf), BATCH):
                     by_leaf[k : k + BATCH] = leaf_log_probability(w, f[:, k : k + BATCH], leaf[k : k + BATCH])

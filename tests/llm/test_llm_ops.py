@@ -204,13 +204,18 @@ def test_scores_match_the_model_word_by_word(spark, docs, odd, monkeypatch):
         counts = Counter(x for i, t in data if not held(i) for x in toks(t))
         index = maxent.Index({})
         index[b""] = 0
+        for x in counts:
+            index[x]
+        index.fill()
         mass = Counter({leaf: 1 for leaf in range(maxent.WIDTH**2)})
         for x, n in counts.items():
             mass[int(index.leaf[index[x]])] += n + (x != b"")
         want = Counter()
         for i, t in data:
             score, ids = 0.0, [1, 1, *(index[x] for x in toks(t))]
-            places, f = maxent.features(np.asarray(ids), index)
+            index.fill()
+            places = np.arange(2, len(ids))
+            f = maxent.features(index.hash[ids], places)
             for k, place in enumerate(places):
                 leaf = index.leaf[ids[place] : ids[place] + 1]
                 log = float(maxent.leaf_log_probability(kept["w"], f[:, k : k + 1], leaf)[0]) / math.log(10)
@@ -224,8 +229,21 @@ def test_part_of_word_is_the_same_in_tasks_and_sql(spark):
     words = ["a", "ab", "abc", "longer", "été", "ñ", "東京"]
     index = maxent.Index({})
     got = spark.createDataFrame([(w,) for w in words], "word string").select("word", maxent.leaf_of(F.col("word")).alias("c")).collect()
+    numbers = {w: index[w.encode()] for w in words}
+    index.fill()
     for r in got:
-        assert index.leaf[index[r["word"].encode()]] == r["c"]
+        assert index.leaf[numbers[r["word"]]] == r["c"]
+
+
+def test_hashes_by_bytes_equal_those_by_word(odd, docs):
+    assert [len(x) for x in maxent.sequences(pa.array([], pa.string()))] == [0, 0, 0]
+    texts = [t or "" for _, t in pairs(odd) + pairs(docs)] + ["", "", " a", "b ", "x", "\tA\x0bB\x0c", "", "é É\u00a0z"]
+    column = pa.array(["left out", *texts])
+    for a, b in ((0, len(texts)), (3, 9), (len(texts) - 8, len(texts))):
+        index = maxent.Index({})
+        ids, _ = maxent.numbers(texts[a:b], index)
+        h, leaf, places = maxent.sequences(column.slice(a + 1, b - a))
+        assert (index.hash[ids] == h).all() and (index.leaf[ids] == leaf).all() and (places == np.flatnonzero(ids != 1)).all()
 
 
 # 3 personal data
