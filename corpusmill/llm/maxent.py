@@ -19,9 +19,9 @@ Training: in each round every task makes gradient updates on its share of the te
 in batches, and the tasks' weights are averaged by bucket, weighted by how often
 each task met the bucket; they travel as 16-bit floats.  Rounds take disjoint shares, so each text is used once.
 
-Word counts are exact.  The most frequent words (a bounded number, of bounded
-length) go to the tasks by broadcast; all others join their counts by word, where
-no word is frequent.
+Word counts are exact, those of words over ``LONGEST`` bytes by their SHA-256.  The
+most frequent words (a bounded number, of bounded length) go to the tasks by
+broadcast; all others join their counts by word, where no word is frequent.
 
 Null and empty texts are the end alone; rows that repeat id and text come back as
 often as they occur; a null id counts as empty text for the hold-out; extra columns
@@ -29,6 +29,7 @@ are ignored."""
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -54,15 +55,9 @@ def held_out(doc_id: Column, parts: int = 7, part: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
-def class_of(word: Column) -> Column:
-    tail = F.substring(word.cast("binary"), -SUFFIX, SUFFIX)
-    return (F.crc32(tail) % (WIDTH - 1) + 1).cast("int")
-
-
-def leaf_of(word: Column) -> Column:
-    """Number of the word's part among all parts; those of class 0 are the end's."""
-    head = F.substring(word.cast("binary"), 1, PREFIX)
-    return (class_of(word) * WIDTH + F.shiftright(F.crc32(head), 8) % WIDTH).cast("int")
+def key_of(word: bytes) -> str:
+    """The word itself; of a long one its SHA-256 after a tab, which no word holds."""
+    return word.decode() if len(word) <= LONGEST else "\t" + hashlib.sha256(word).hexdigest()
 
 
 def bits_for(tokens: int, max_buckets: int = MAX_BUCKETS) -> int:
@@ -157,7 +152,7 @@ class Index(dict):
         if i == len(self.count):
             self.count = np.resize(self.count, 2 * i)
         self.words.append(w)
-        self.count[i] = self.known.get(w, -1)
+        self.count[i] = self.known.get(w if len(w) <= LONGEST else key_of(w).encode(), -1)
         self[w] = i
         return i
 
@@ -260,14 +255,17 @@ def update(w: np.ndarray, seen: np.ndarray, energy: np.ndarray, f: np.ndarray, l
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, n) over all texts, added up within tasks first."""
+    """(word, leaf, n) over all texts, added up within tasks first: the word's key, its
+    part and how often it occurs."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
 
         def out() -> pa.RecordBatch:
-            words = pa.array([w.decode() for w in seen], pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(seen.values(), pa.int64())], ["word", "n"])
+            data = np.frombuffer(b" ".join(seen), np.uint8)
+            _, _, leaf = hashed(data, np.array([0, len(data)]))
+            words = pa.array([key_of(w) for w in seen], pa.string())
+            return pa.RecordBatch.from_arrays([words, pa.array(leaf, pa.int32()), pa.array(seen.values(), pa.int64())], ["word", "leaf", "n"])
 
         for b in batches:
             for t in b.column(0).to_pylist():
@@ -278,7 +276,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
         if seen:
             yield out()
 
-    return rows.select("text").mapInArrow(task, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(task, "word string, leaf int, n long").groupBy("word", "leaf").agg(F.sum("n").alias("n"))
 
 
 def mean_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,12 +344,12 @@ def score_texts(
     texts = training.count()
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, distinct = words + texts, distinct + (texts > 0)
-    by_leaf = counts.groupBy(leaf_of(F.col("word")).alias("c")).agg(F.sum(F.col("n") + 1).alias("n")).collect()  # WIDTH * WIDTH at most
+    by_leaf = counts.groupBy(F.col("leaf").alias("c")).agg(F.sum(F.col("n") + 1).alias("n")).collect()  # WIDTH * WIDTH at most
     mass = np.ones(WIDTH * WIDTH)
     mass[0] = texts + 1
     for r in by_leaf:
         mass[r["c"]] += r["n"]
-    top = counts.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
+    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
     known = spark.sparkContext.broadcast({w.encode(): n for w, n in zip(top.column("word").to_pylist(), top.column("n").to_pylist())})
     model = spark.sparkContext.broadcast((train(training, rounds, bits_for(total, max_buckets)), np.log10(mass)))
 
@@ -382,7 +380,7 @@ def score_texts(
                 doc = b.column(0).slice(a, 64)
                 at = pa.array(np.concatenate([np.arange(size), rare_owner]))
                 zeros = np.zeros(len(rare_owner))
-                names = [f" {x}" for x in doc.to_pylist()] + [index.words[i].decode() for i in rare_word.tolist()]
+                names = [f" {x}" for x in doc.to_pylist()] + [key_of(index.words[i]) for i in rare_word.tolist()]
                 cols = [
                     doc.take(at), pa.array(digest).take(at), pa.array(names, pa.string()),
                     pa.array(np.concatenate([np.zeros(size, np.int64), times])), pa.array(np.concatenate([np.ones(size), zeros]).astype(np.int64)),
@@ -397,7 +395,7 @@ def score_texts(
     schema = f"doc_id {kind}, digest long, word string, times long, docs long, n_tokens long, known long, logs double, cls double"
     parts = rows.mapInArrow(task, schema)
     # rows of a document itself carry a word that no count has, so no key is hot
-    joined = parts.join(counts, "word", "left").withColumn("c", F.coalesce("n", F.lit(0)))
+    joined = parts.join(counts.select("word", "n"), "word", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     by_doc = joined.groupBy("doc_id", "digest").agg(
         F.sum("docs").alias("docs"), F.sum("n_tokens").alias("n_tokens"), F.sum(F.col("known") + F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.col("logs") + F.col("times") * F.log10(F.col("c") + 1.0)).alias("logs"), F.sum("cls").alias("cls"),

@@ -225,14 +225,24 @@ def test_scores_match_the_model_word_by_word(spark, docs, odd, monkeypatch):
             assert sum(c for (j, other), c in got.items() if j == i and abs(other - score) < 0.02 + 1e-5 * abs(score)) >= n
 
 
-def test_part_of_word_is_the_same_in_tasks_and_sql(spark):
+def test_part_of_word_from_its_bytes():
     words = ["a", "ab", "abc", "longer", "été", "ñ", "東京"]
     index = maxent.Index({})
-    got = spark.createDataFrame([(w,) for w in words], "word string").select("word", maxent.leaf_of(F.col("word")).alias("c")).collect()
     numbers = {w: index[w.encode()] for w in words}
     index.fill()
-    for r in got:
-        assert index.leaf[numbers[r["word"]]] == r["c"]
+    for w, i in numbers.items():
+        b = w.encode()
+        assert index.leaf[i] == (zlib.crc32(b[-3:]) % 15 + 1) * 16 + (zlib.crc32(b[:4]) >> 8) % 16
+
+
+def test_long_words_in_every_text_are_known_to_the_tasks(spark):
+    line = "=" * 500
+    df = spark.createDataFrame([(i, f"w{i} {line} x {line}") for i in range(60)], "doc_id long, text string")
+    total, want = brute_base(pairs(df))
+    got = rows(maxent.score_texts(df))
+    assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], round(r["base_score"], 4)) for r in got) == sorted(want)
+    counts = {r["word"]: r["n"] for r in rows(maxent.word_counts(df))}
+    assert counts[maxent.key_of(line.encode())] == 120 and all(len(w.encode()) <= 65 for w in counts)
 
 
 def test_hashes_by_bytes_equal_those_by_word(odd, docs):
