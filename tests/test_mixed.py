@@ -29,3 +29,13 @@ def test_every_kind_of_column_is_used(spark):
     both = cl.fit_mixed(df, fx.FeatureSpec(kinds, "y"), 256, [("cat", "many")], 5)
     scored = cl.predict_mixed(both, df, ["id", "y"]).where("id < 900")
     assert ev.roc_auc(scored, "p1", "y").first()[0] == 1.0
+
+
+def test_the_names_of_places_stay_out_of_the_fit(spark):
+    """A wide fit carries no list of its places' names through its iterations."""
+    import time
+
+    df = spark.createDataFrame([(i, i % 2, f"word {'good bad'.split()[i % 2]}") for i in range(40)], "id long, y int, text string")
+    start = time.time()
+    cl.fit_mixed(df, fx.FeatureSpec({"text": fx.Text(word_n=2)}, "y"), 1 << 18, (), 15)
+    assert time.time() - start < 40
