@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,19 @@ def _blocks(n: int, tasks: int) -> int:
     return max(1, -(-n // BLOCK), min(-(-n // LEAST_BLOCK), int(tasks**0.5)))
 
 
+def _kth(sims: np.ndarray, k: int) -> np.ndarray:
+    """At most the k-th greatest value of each row, and close to it: the k-th greatest of
+    the maxima of some columns each, which is much less to look through."""
+    groups = sims.shape[1] // 16
+    if groups >= 4 * k:
+        rest = sims[:, groups * 16 :]
+        best = sims[:, : groups * 16].reshape(len(sims), 16, groups).max(axis=1)
+        sims = np.concatenate([best, rest], axis=1)
+    if sims.shape[1] <= k:
+        return np.full(len(sims), -np.inf, sims.dtype)
+    return np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k]
+
+
 def _grid_best(qs: DataFrame, vs: DataFrame, keys: list[str], k: int, exclude_self: bool) -> DataFrame:
     """(query_id, doc_id, raw): the top k vectors of every query in each pair of a
     query block and a vector block with equal ``keys``.  Both sides have id, v, the
@@ -42,19 +56,31 @@ def _grid_best(qs: DataFrame, vs: DataFrame, keys: list[str], k: int, exclude_se
         qm /= np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-300)
         vm /= np.maximum(np.linalg.norm(vm, axis=1, keepdims=True), 1e-300)
         qids, vids = q["id"].to_numpy(), v["id"].to_numpy()
+        q4, v4 = qm.astype(np.float32), vm.astype(np.float32)
+        # single precision leaves most pairs out; what it may be wrong by, and rounding, is allowed for
+        slack = np.float32(4 * (qm.shape[1] + 4) * 2.0**-24 + 2e-6)
+        whole = bool(np.isfinite(q4).all() and np.isfinite(v4).all())
+        by_id = np.argsort(vids, kind="stable")
         out_q, out_v, out_s = [], [], []
         for s in range(0, len(qids), LEAST_BLOCK):
             ids = qids[s : s + LEAST_BLOCK]
-            sims = qm[s : s + LEAST_BLOCK] @ vm.T
+            sims = q4[s : s + LEAST_BLOCK] @ v4.T
+            if not whole:
+                sims[np.isnan(sims)] = -np.inf
             if exclude_self:
-                sims[ids[:, None] == vids[None, :]] = -np.inf
-            r = np.round(sims, 6)
-            for i in range(len(ids)):
-                order = np.lexsort((vids, -r[i]))[:k]
-                order = order[np.isfinite(r[i][order])]
-                out_q.append(np.full(len(order), ids[i]))
-                out_v.append(vids[order])
-                out_s.append(sims[i][order])
+                lo, hi = (np.searchsorted(vids, ids, side, sorter=by_id) for side in ("left", "right"))
+                for i in np.flatnonzero(hi > lo):
+                    sims[i, by_id[lo[i] : hi[i]]] = -np.inf
+            row, at = np.nonzero(sims >= (_kth(sims, k) - slack)[:, None])
+            there = sims[row, at] > -np.inf
+            row, at = row[there], at[there]
+            score = np.einsum("ij,ij->i", qm[s + row], vm[at])
+            order = np.lexsort((vids[at], -np.round(score, 6), row))
+            row, at, score = row[order], at[order], score[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            out_q.append(ids[row[keep]])
+            out_v.append(vids[at[keep]])
+            out_s.append(score[keep])
         return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_v), "raw": np.concatenate(out_s)})
 
     return qb.unionByName(vb).groupBy(*keys, "qblk", "vblk").applyInPandas(score, "query_id long, doc_id long, raw double")
@@ -123,8 +149,10 @@ def probed(margin: np.ndarray, n_probes: int) -> np.ndarray:
     return base[:, None] ^ np.take_along_axis(change, pick, 1)
 
 
-def codes(df: DataFrame, id_col: str, vec: str, signs: np.ndarray, bucket_bits: int, n_probes: int) -> DataFrame:
-    """(id, code, bucket): one row per vector, or per vector and bucket to look into."""
+def codes(df: DataFrame, id_col: str, vec: str, signs: np.ndarray, bucket_bits: int, n_probes: int, with_vectors: bool = False) -> DataFrame:
+    """(id, code, bucket[, v]): one row per vector, or per vector and bucket to look into."""
+    kind = df.schema[vec].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -134,32 +162,71 @@ def codes(df: DataFrame, id_col: str, vec: str, signs: np.ndarray, bucket_bits:
             packed = np.packbits(margin >= 0, axis=1, bitorder="little").view("<i8")
             buckets = probed(margin[:, :bucket_bits], n_probes)
             at = np.repeat(np.arange(len(pdf)), buckets.shape[1])
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[at], "code": list(packed[at]), "bucket": buckets.ravel()})
-
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")).where("v is not null")
-    return src.mapInPandas(code, "id long, code array<long>, bucket long")
-
-
-def _short_list(m: int, exclude_self: bool):
-    def nearest(t: pa.Table) -> pa.Table:
-        is_query = t.column("is_query").to_numpy()
-        ids = t.column("id").to_numpy()
-        bits = t.column("code").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
-        q, v, qids, vids = bits[is_query], bits[~is_query], ids[is_query], ids[~is_query]
-        order = np.argsort(vids, kind="stable")
-        v, vids = v[order], vids[order]
-        out = [np.empty((0, 3), np.int64)]
-        for i in range(len(q) if len(v) else 0):
-            far = np.bitwise_count(v ^ q[i]).sum(axis=1, dtype=np.int64)
-            if exclude_self:
-                far[vids == qids[i]] = far.max() + bits.shape[1] * 64 + 1
-            best = np.argsort(far, kind="stable")[:m]  # ties by id
-            best = best[vids[best] != qids[i]] if exclude_self else best
-            out.append(np.column_stack([np.full(len(best), qids[i]), vids[best], far[best]]))
-        found = np.concatenate(out)
-        return pa.table({"query_id": found[:, 0], "doc_id": found[:, 1], "far": found[:, 2]})
+            out = {"id": pdf["id"].to_numpy()[at], "code": list(packed[at]), "bucket": buckets.ravel()}
+            yield pd.DataFrame(out | ({"v": list(np.stack(pdf["v"].to_numpy())[at])} if with_vectors else {}))
+
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast(kind).alias("v")).where("v is not null")
+    return src.mapInPandas(code, "id long, code array<long>, bucket long" + (f", v {kind}" if with_vectors else ""))
+
+
+def _nearest(t: pa.Table, m: int, exclude_self: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For every query of a group its place, the distances of the m nearest codes and more
+    that are as far as the m-th, and their places."""
+    is_query = t.column("is_query").to_numpy()
+    ids = t.column("id").to_numpy()
+    bits = t.column("code").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+    at_q, at_v = np.flatnonzero(is_query), np.flatnonzero(~is_query)
+    codes_v, ids_v = bits[at_v], ids[at_v]
+    for i in at_q if len(at_v) else ():
+        far = np.bitwise_count(codes_v ^ bits[i]).sum(axis=1, dtype=np.int64)
+        there = ids_v != ids[i] if exclude_self else np.ones(len(far), bool)
+        kept = far[there]
+        if len(kept):
+            least = np.partition(kept, m - 1)[m - 1] if len(kept) > m else kept.max()
+            near = np.flatnonzero(there & (far <= least))
+            yield i, far[near], at_v[near]
+
+
+def _distances(m: int, exclude_self: bool):
+    def found(t: pa.Table) -> pa.Table:
+        ids, out = t.column("id").to_numpy(), ([], [], [])
+        for i, far, _ in _nearest(t, m, exclude_self):
+            value, many = np.unique(far, return_counts=True)
+            for column, x in zip(out, (ids[i], value.astype(np.int32), many.astype(np.int32))):
+                column.append(x)
+        return pa.table({"query_id": pa.array(out[0], pa.int64()), "far": pa.array(out[1], pa.list_(pa.int32())), "many": pa.array(out[2], pa.list_(pa.int32()))})
+
+    return found
+
+
+def _limits(m: int):
+    """The distance of each query's m-th nearest code over all of its groups."""
+
+    def limits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            least = []
+            for fars, manys in zip(pdf["fars"], pdf["manys"]):
+                count = np.bincount(np.concatenate(list(fars)), np.concatenate(list(manys)))
+                least.append(min(int(np.searchsorted(np.cumsum(count), m)), len(count) - 1))
+            yield pd.DataFrame({"query_id": pdf["query_id"], "limit": np.array(least, np.int64)})
+
+    return limits
+
 
-    return nearest
+def _compared(m: int, exclude_self: bool):
+    def compared(t: pa.Table) -> pa.Table:
+        ids, limit = t.column("id").to_numpy(), t.column("limit").to_numpy()
+        vectors = t.column("v").combine_chunks()
+        x = vectors.flatten().to_numpy().astype(np.float64).reshape(len(ids), -1)
+        norm = np.linalg.norm(x, axis=1)
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for i, far, at in _nearest(t, m, exclude_self):
+            near = far <= limit[i]
+            far, at = far[near], at[near]
+            out.append((np.full(len(at), ids[i]), ids[at], far, (x[at] * x[i]).sum(axis=1) / np.maximum(norm[at] * norm[i], 1e-300)))
+        return pa.table(dict(zip(("query_id", "doc_id", "far", "raw"), map(np.concatenate, zip(*out)))))
+
+    return compared
 
 
 def knn_approx(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_id", v_id: str = "vec_id", vec: str = "embedding",
@@ -169,33 +236,34 @@ def knn_approx(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_
     Buckets are told apart by as many signs as leave about ``bucket`` vectors in each,
     and a query looks into its ``n_probes`` nearest ones, so that its work stops growing
     with the number of vectors; below two buckets' worth all codes are looked at.  A bucket
-    is cut into a grid of query blocks x vector blocks, which shuffle codes, not vectors.
-    Ties of codes and of scores go to the smaller id."""
+    is cut into a grid of query blocks x vector blocks, which is gone through twice: for the
+    distance of each query's last code of the short list, then for the codes within it,
+    compared where their vectors are.  Ties of codes and of scores go to the smaller id."""
     spark, n = vectors.sparkSession, vectors.count()
     first = vectors.select(vec).where(F.col(vec).isNotNull()).first()
     if first is None:
         return spark.createDataFrame([], "query_id long, doc_id long, rank long, score double")
     signs = np.array([r["signs"] for r in planes(spark, len(first[0]), n_bits, seed).orderBy("bit").collect()])  # n_bits rows
     bits = max(0, int(np.log2(max(n, 1) / bucket)))
-    qs, vs = codes(queries, q_id, vec, signs, bits, n_probes), codes(vectors, v_id, vec, signs, bits, 1)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = lambda d, name: d.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.least(F.ceil(F.count(F.lit(1)) / LEAST_BLOCK), F.lit(max(1, int((tasks >> min(bits, 30)) ** 0.5))))).alias(name))
-    sizes = cut(qs, "bq").join(cut(vs, "bv"), "bucket")
+    m, tasks = short_list * k, int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("long")  # noqa: E731 - block assignment only
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c).cast("long") - 1))
-    qb = qs.join(sizes, "bucket").select("bucket", own("bq").alias("qblk"), every("bv").alias("vblk"), F.lit(True).alias("is_query"), "id", "code")
-    vb = vs.join(sizes, "bucket").select("bucket", every("bq").alias("qblk"), own("bv").alias("vblk"), F.lit(False).alias("is_query"), "id", "code")
-    near = qb.unionByName(vb).groupBy("bucket", "qblk", "vblk").applyInArrow(_short_list(short_list * k, exclude_self), "query_id long, doc_id long, far long")
-    near = top_k(near, "query_id", ["far", "doc_id"], short_list * k).select("query_id", "doc_id")
-    side = lambda d, i, name, v: d.select(F.col(i).cast("long").alias(name), F.col(vec).cast("array<double>").alias(v))
-    both = near.join(side(vectors, v_id, "doc_id", "v"), "doc_id").join(side(queries, q_id, "query_id", "q"), "query_id")
-
-    def cosine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not pdf.empty:
-                a, b = (np.stack(pdf[c].to_numpy()).astype(np.float64) for c in ("q", "v"))
-                norm = np.maximum(np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1), 1e-300)
-                yield pd.DataFrame({"query_id": pdf["query_id"], "doc_id": pdf["doc_id"], "raw": (a * b).sum(axis=1) / norm})
-
-    scored = both.mapInPandas(cosine, "query_id long, doc_id long, raw double").select("query_id", "doc_id", F.round("raw", 6).alias("score"))
+    cut = lambda d, name: d.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.least(F.ceil(F.count(F.lit(1)) / LEAST_BLOCK), F.lit(max(1, int((tasks >> min(bits, 30)) ** 0.5))))).alias(name))
+    sides = lambda full: (codes(queries, q_id, vec, signs, bits, n_probes, full), codes(vectors, v_id, vec, signs, bits, 1, full))
+    qs, vs = sides(False)
+    sizes = cut(qs, "bq").join(cut(vs, "bv"), "bucket").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def groups(qs: DataFrame, vs: DataFrame, *more: str):
+        qb = qs.join(sizes, "bucket").select("bucket", own("bq").alias("qblk"), every("bv").alias("vblk"), F.lit(True).alias("is_query"), "id", "code", *more)
+        vb = vs.join(sizes, "bucket").select("bucket", every("bq").alias("qblk"), own("bv").alias("vblk"), F.lit(False).alias("is_query"), "id", "code", *more)
+        return qb.unionByName(vb).groupBy("bucket", "qblk", "vblk")
+
+    # first only how far the nearest codes are, so that no more pairs than the short list leave their groups
+    far = groups(qs, vs).applyInArrow(_distances(m, exclude_self), "query_id long, far array<int>, many array<int>")
+    limit = far.groupBy("query_id").agg(F.collect_list("far").alias("fars"), F.collect_list("many").alias("manys")).mapInPandas(_limits(m), "query_id long, limit long")
+    qs, vs = sides(True)
+    qs = qs.join(limit.withColumnRenamed("query_id", "id"), "id")
+    both = groups(qs, vs.withColumn("limit", F.lit(-1).cast("long")), "v", "limit").applyInArrow(_compared(m, exclude_self), "query_id long, doc_id long, far long, raw double")
+    near = top_k(both, "query_id", ["far", "doc_id"], m)
+    scored = near.select("query_id", "doc_id", F.round("raw", 6).alias("score"))
     return top_k_by_score(scored, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
