@@ -41,10 +41,10 @@ def _mask_chain(df: DataFrame, text_col: str) -> DataFrame:
             matches = F.transform(found, lambda m: F.struct(m.alias("m"), CHECKS[check](m).alias("ok")))  # noqa: B023
             df = df.withColumn("_matches", matches).withColumn(f"_f{i}", F.transform(F.filter("_matches", lambda x: x["ok"]), lambda x: x["m"]))
             put = F.transform("_matches", lambda x: F.when(x["ok"], F.lit(f"[{kind}]")).otherwise(x["m"]))  # noqa: B023
-            nxt = F.array_join(F.zip_with(F.split(F.col(cur), pat, -1), F.concat(put, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+            nxt = F.when(F.size("_matches") == 0, F.col(cur)).otherwise(F.array_join(F.zip_with(F.split(F.col(cur), pat, -1), F.concat(put, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""))
         else:
             df = df.withColumn(f"_f{i}", found)
-            nxt = F.regexp_replace(F.col(cur), pat, f"[{kind}]")
+            nxt = F.when(F.size(f"_f{i}") == 0, F.col(cur)).otherwise(F.regexp_replace(F.col(cur), pat, f"[{kind}]"))
         df = df.withColumn(f"_t{i + 1}", nxt).drop(cur, "_matches")
         cur = f"_t{i + 1}"
     return df.withColumnRenamed(cur, "_masked")
@@ -56,27 +56,42 @@ def detect_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ga
     space between them)."""
     m = _mask_chain(df.select(id_col, text_col), text_col)
     arr = F.concat(*[F.transform(F.col(f"_f{i}"), _as_find(kind)) for i, (kind, _, _) in enumerate(RULES)])
-    out = m.select(F.col(id_col), F.explode(arr).alias("f")).select(id_col, "f.kind", "f.value")
-    if gazetteer is not None:
-        out = out.unionByName(gazetteer_finds(m.select(id_col, "_masked"), id_col, "_masked", gazetteer))
-    return out
+    # explode_outer + null filter: plain explode adds a size filter that runs all rules twice
+    if gazetteer is None:
+        return m.select(F.col(id_col), F.explode_outer(arr).alias("f")).where("f is not null").select(id_col, "f.kind", "f.value")
+    runs = F.transform(_runs("_masked"), lambda r: F.struct(F.lit(None).cast("string").alias("kind"), r.alias("value")))
+    items = m.select(F.col(id_col), F.explode_outer(F.concat(arr, runs)).alias("f")).where("f is not null").select(id_col, "f.kind", "f.value")
+    return _named(items, id_col, gazetteer, "LOCATION")
 
 
-def gazetteer_finds(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, kind: str = "LOCATION") -> DataFrame:
-    """(id, kind, value) per occurrence of a name.  Word groups up to the longest
-    name's number of words are joined with the names."""
+def _runs(text_col: str) -> Column:
+    """The runs of words with one space between them."""
+    return F.split(F.col(text_col), r"[^\p{L}\p{N}_ ]+| {2,}", -1)
+
+
+def _named(items: DataFrame, id_col: str, gazetteer: DataFrame, kind: str) -> DataFrame:
+    """(id, kind, value) of ``items``: those with a kind as they are, the others, runs of
+    words, by the names in them.  Word groups up to the longest name's number of words are
+    joined with the names."""
     names = gazetteer.select(F.col(gazetteer.columns[0]).alias("value")).distinct()
     longest = names.agg(F.max(F.size(F.split("value", " ")))).first()[0] or 1
-    runs = F.split(F.col(text_col), r"[^\p{L}\p{N}_ ]+| {2,}", -1)  # words with one space between them
-    run = df.select(F.col(id_col), F.explode(runs).alias("run")).select(id_col, F.split(F.trim("run"), " ").alias("w"))
+    run = items.select(F.col(id_col), "kind", "value", F.split(F.trim("value"), " ").alias("w"))
     groups = [
         F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: run_of(F.col("w"), i, n))  # noqa: B023
         if n > 1 else F.col("w")
         for n in range(1, longest + 1)
     ]
     some = [F.when(F.size("w") >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(groups, 1)]
-    words = run.select(F.col(id_col), F.explode(F.concat(*some)).alias("value"))
-    return words.join(bounded_broadcast(names), "value").select(id_col, F.lit(kind).alias("kind"), "value")
+    values = F.when(F.col("kind").isNotNull(), F.array("value")).otherwise(F.concat(*some))
+    words = run.select(F.col(id_col), "kind", F.explode_outer(values).alias("value"))
+    found = words.join(bounded_broadcast(names.withColumn("_name", F.lit(True))), "value", "left").where("kind is not null or _name")
+    return found.select(id_col, F.coalesce("kind", F.lit(kind)).alias("kind"), "value")
+
+
+def gazetteer_finds(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, kind: str = "LOCATION") -> DataFrame:
+    """(id, kind, value) per occurrence of a name."""
+    items = df.select(F.col(id_col), F.lit(None).cast("string").alias("kind"), F.explode_outer(_runs(text_col)).alias("value"))
+    return _named(items, id_col, gazetteer, kind)
 
 
 def _mask_places(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame) -> DataFrame:
@@ -123,19 +138,23 @@ def _persisted(*tables: DataFrame) -> TaggerModel:
 
 def fit_tagger(tagged: DataFrame, id_col: str = "row_id", weight: float = 1.0) -> TaggerModel:
     """Counts of (word, tag), (shape, tag), (previous tag, tag) from aligned rows
-    (id, pos, token, tag).  The previous tag comes from a window over the row's own
-    tokens: one exchange by row, and none where the rows lie together already."""
-    t = tagged.select(F.col(id_col).alias("row_id"), "pos", F.lower("token").alias("token"), shape(F.col("token")).alias("shape"), "tag")
-    before = Window.partitionBy("row_id").orderBy("pos")
-    prev_tag = F.when(F.lag("pos").over(before) == F.col("pos") - 1, F.lag("tag").over(before))
-    w = F.lit(weight)
+    (id, pos, token, tag).  The rows are read once: they are counted by token, tag and
+    previous tag, and lower case and shapes are worked out for these counts.  The previous
+    tag is a column ``prev_tag`` where the rows have one; else it comes from a window over
+    the row's own tokens."""
+    if "prev_tag" in tagged.columns:
+        prev_tag = F.col("prev_tag")
+    else:
+        before = Window.partitionBy(id_col).orderBy("pos")
+        prev_tag = F.when(F.lag("pos").over(before) == F.col("pos") - 1, F.lag("tag").over(before))
+    t = tagged.select("token", "tag", F.coalesce(prev_tag, F.lit("<s>")).alias("prev_tag"))
+    seen = t.groupBy("token", "tag", "prev_tag").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    n = (F.sum("c") * F.lit(weight)).alias("n")
     return _persisted(
-        t.groupBy("token", "tag").agg((F.count(F.lit(1)) * w).alias("n")),
-        t.groupBy("shape", "tag").agg((F.count(F.lit(1)) * w).alias("n")),
-        t.select(F.coalesce(prev_tag, F.lit("<s>")).alias("prev_tag"), "tag")
-        .groupBy("prev_tag", "tag")
-        .agg((F.count(F.lit(1)) * w).alias("n")),
-        t.groupBy("tag").agg((F.count(F.lit(1)) * w).alias("n")),
+        seen.groupBy(F.lower("token").alias("token"), "tag").agg(n),
+        seen.groupBy(shape(F.col("token")).alias("shape"), "tag").agg(n),
+        seen.groupBy("prev_tag", "tag").agg(n),
+        seen.groupBy("tag").agg(n),
     )
 
 
@@ -186,8 +205,17 @@ def tag(model: TaggerModel, tokens_df: DataFrame, top_k_tags: int = 1, id_col: s
 
 
 def _best_tag(model: TaggerModel, t: DataFrame, tags: list, total: float, vw: float, vs: float, places: int) -> DataFrame:
-    """The best tag of every token in plain columns: a word and a shape bring one double a
-    tag, and the greatest sum names the tag (ties: the first one)."""
+    """The best tag of every token: the greatest score names it (ties: the first one)."""
+    t = _tag_scores(model, t, tags, total, vw, vs, places)
+    scores = [F.col(f"_c{j}") for j in range(len(tags))]
+    t = t.withColumn("score", F.greatest(*scores) if len(scores) > 1 else scores[0])
+    name = F.coalesce(*[F.when(s == F.col("score"), F.lit(r["tag"])) for s, r in zip(scores, tags)])
+    return t.select("row_id", "pos", name.alias("tag"), "score", F.lit(1).cast("bigint").alias("rank"))
+
+
+def _tag_scores(model: TaggerModel, t: DataFrame, tags: list, total: float, vw: float, vs: float, places: int) -> DataFrame:
+    """row_id, pos and every tag's score in plain columns ``_c0`` on: a word and a shape
+    bring one double a tag."""
 
     def wide(table: DataFrame, key: str, size: float, name: str) -> DataFrame:
         n = lambda r: F.coalesce(F.max(F.when(F.col("tag") == r["tag"], F.col("n"))), F.lit(0.0))
@@ -195,13 +223,9 @@ def _best_tag(model: TaggerModel, t: DataFrame, tags: list, total: float, vw: fl
 
     t = t.join(bounded_broadcast(wide(model.word_tag, "token", vw, "w")), "token", "left").join(bounded_broadcast(wide(model.shape_tag, "shape", vs, "s")), "shape", "left")
     unseen = lambda c, r, size: F.coalesce(F.col(c), F.log(F.lit(1.0) / F.lit(float(r["n"]) + size)))
-    t = t.select("row_id", "pos", *[
+    return t.select("row_id", "pos", *[
         F.round(F.lit(float(np.log(float(r["n"]) / total))) + unseen(f"_w{j}", r, vw) + unseen(f"_s{j}", r, vs), places).alias(f"_c{j}") for j, r in enumerate(tags)
     ])
-    scores = [F.col(f"_c{j}") for j in range(len(tags))]
-    t = t.withColumn("score", F.greatest(*scores) if len(scores) > 1 else scores[0])
-    name = F.coalesce(*[F.when(s == F.col("score"), F.lit(r["tag"])) for s, r in zip(scores, tags)])
-    return t.select("row_id", "pos", name.alias("tag"), "score", F.lit(1).cast("bigint").alias("rank"))
 
 
 def tagged_sentences(sents: DataFrame, model: TaggerModel, keys: list[str], text_col: str = "sentence") -> DataFrame:
@@ -246,11 +270,12 @@ def extraction_stats(df: DataFrame, file_col: str = "source", id_col: str = "doc
 
 
 def decode(model: TaggerModel, tokens_df: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """N4 sequence decode: Viterbi over emission scores (``tag`` with every tag
-    ranked) plus add-one transition log-probabilities from N3's (previous tag,
+    """N4 sequence decode: Viterbi over emission scores (those of ``tag``, one row a
+    token) plus add-one transition log-probabilities from N3's (previous tag,
     tag) counts.  One group per row (its tokens: bounded by the row), decoded
     in numpy by ``applyInPandas``.  Returns (row_id, pos, tag)."""
-    tags = [r["tag"] for r in model.tag_counts.orderBy("tag").collect()]
+    counts = model.tag_counts.orderBy("tag").collect()
+    tags = [r["tag"] for r in counts]
     n = len(tags)
     idx = {t: i for i, t in enumerate(tags)}
     trans = np.ones((n + 1, n))  # row n = sentence start
@@ -258,13 +283,14 @@ def decode(model: TaggerModel, tokens_df: DataFrame, id_col: str = "row_id") ->
         if r["tag"] in idx:
             trans[idx.get(r["prev_tag"], n), idx[r["tag"]]] += r["n"]
     log_t = np.log(trans / trans.sum(axis=1, keepdims=True))
-    em = tag(model, tokens_df, n, id_col).groupBy("row_id", "pos").agg(
-        F.map_from_entries(F.collect_list(F.struct("tag", "score"))).alias("em")
-    )
+    vw, vs = (float(d.distinct().count()) for d in (model.word_tag.select("token"), model.shape_tag.select("shape")))
+    t = tokens_df.select(F.col(id_col).alias("row_id"), "pos", F.lower("token").alias("token"), shape(F.col("token")).alias("shape"))
+    scores = _tag_scores(model, t, counts, float(sum(r["n"] for r in counts)), vw, vs, 4)
+    em = scores.select("row_id", "pos", F.array(*[F.col(f"_c{j}") for j in range(n)]).alias("em"))
 
     def viterbi(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
-        e = np.array([[m.get(t, -1e9) if isinstance(m, dict) else dict(m).get(t, -1e9) for t in tags] for m in pdf["em"]])
+        e = np.stack(pdf["em"].to_numpy())
         best = log_t[n] + e[0]
         back = np.zeros((len(e), n), dtype=np.int64)
         for i in range(1, len(e)):

@@ -21,7 +21,7 @@ from corpusmill.operators import tagging as tg
 from corpusmill.plans import sql as q
 from corpusmill.plans.registry import load, register
 from corpusmill.plans.search_queries import BENCH_TERMS, DOC_FIELDS, K, bench_queries, doc_index
-from corpusmill.session import ensure_checkpoint_dir
+from corpusmill.session import ensure_checkpoint_dir, spread
 from corpusmill.sources import store
 
 EMAIL_RE = RULES[0][1]
@@ -92,7 +92,7 @@ def rag_context_redacted(spark, sf):
 # ---- silver tags, alignment, tagger ------------------------------------------------------------
 
 def silver(spark, sf):
-    d = load(spark, sf, "documents").select("doc_id", "text")
+    d = spread(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     ws = F.filter(F.split("text", r"\s+"), lambda x: x != "")
     # The e-mail pattern only runs on tokens holding an "@".
     kinds = F.transform(ws, lambda t: F.when(t.contains("@") & t.rlike(EMAIL_RE), "EMAIL").when(t.rlike("[0-9]"), "NUM").otherwise("O"))
@@ -132,8 +132,8 @@ TRAIN = f"{q.bucket(23, 'doc_id')} < 800000"
 def _train_rows(spark, sf):
     # Split documents before aligning, so the hash is taken once per document, not per token.
     s = silver(spark, sf).withColumn("_train", prep.hash_bucket("doc_id", 23) < 800_000)
-    good, _bad = fx.align_tags(s, "doc_id", "text", "tags", TAGS, "O", keep=["_train"])
-    good = good.persist(StorageLevel.MEMORY_AND_DISK)
+    # Training reads its part once and tagging the other: tokens are not kept.
+    good, _bad = fx.align_tags(s, "doc_id", "text", "tags", TAGS, "O", keep=["_train"], previous=True)
     return good.filter("_train").drop("_train"), good.filter(~F.col("_train")).drop("_train")
 
 
