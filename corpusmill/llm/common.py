@@ -53,14 +53,15 @@ def run_of(ids: Sequence[str], runs: int = RUNS) -> Column:
     return F.pmod(F.xxhash64(*ids), F.lit(runs)).cast("int")
 
 
-def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], ids: Sequence[str], runs: int = RUNS) -> DataFrame:
+def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], ids: Sequence[str], runs: int = RUNS, tasks: int | None = None) -> DataFrame:
     """Inner join of ``rows`` with one fact row per key, safe for a key that holds
     a third of all rows: the facts go down to (key, run) first, at most ``runs``
     rows per key, and each row then meets the copy of its own run.  Keys must not
-    be null."""
+    be null.  ``tasks``: as many as the steps of a small table need at most."""
+    few = (lambda df: df.coalesce(tasks)) if tasks else (lambda df: df)
     rows = rows.withColumn("_run", run_of(ids, runs))
-    heads = rows.select(*keys, "_run").distinct().join(facts, list(keys))
-    return rows.join(heads, [*keys, "_run"]).drop("_run")
+    heads = few(few(rows.select(*keys, "_run").distinct()).join(facts, list(keys)))
+    return few(rows.join(heads, [*keys, "_run"])).drop("_run")
 
 
 def by_group(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:

@@ -37,6 +37,8 @@ from corpusmill.llm.common import attach, materialise, run_of
 # A cell is checked in blocks of about so many members; cells of up to SMALL members
 # compare all pairs; a hot cell's members meet its size under so many salts.
 BLOCK, SMALL, SALTS = 4096, 32, 16
+# Edges that a task of a star round takes; tasks that even a small round may use.
+TASK_EDGES, LEAST_TASKS = 50_000, 32
 # Segments of the first side of the grid, of 32 in all.
 FIRST = 17
 LOW = 0x5555555555555555
@@ -207,32 +209,38 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, for all nodes that have
-    an edge.  Alternates large-star and small-star until the edges are stars."""
+    an edge.  Alternates large-star and small-star until the edges are stars.
+
+    A round has a dozen steps, each of which leaves files for every task: their tasks
+    go by the number of edges, not by the session's shuffle partitions alone."""
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         """Links every node's neighbours (large: those above it, else those below
         and itself) to the smallest one."""
         if large:
-            pairs = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+            pairs = few(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        least = few(pairs.groupBy("u").agg(F.min("v").alias("m")))
         least = least.select("u", F.least("u", "m").alias("m"))
-        with_least = attach(pairs, least, ["u"], ["v"], 16)
+        with_least = attach(pairs, least, ["u"], ["v"], 16, tasks)
         if large:
             out = with_least.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
             out = with_least.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        return out.where("u <> v").distinct()
+        return few(few(out.where("u <> v")).distinct())
 
     def shape(pairs: DataFrame) -> tuple:
-        return tuple(pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first())
+        return tuple(few(pairs).agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first())
 
     pairs = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    tasks = max(LEAST_TASKS, -(-pairs.count() // TASK_EDGES))
+    few = lambda df: df.coalesce(tasks)
+    pairs = few(pairs)
     before = shape(pairs)
     while True:
         pairs = materialise(star(materialise(star(pairs, True)), False))
         after = shape(pairs)
         if after == before:
-            roots = pairs.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
+            roots = few(pairs.select("v").distinct()).select(F.col("v").alias("node"), F.col("v").alias("root"))
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
         before = after
 
