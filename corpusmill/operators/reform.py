@@ -6,10 +6,19 @@ shares all but 3d of them, and one of any 3d + 1.  The two rarest grams of a que
 a first k-th best distance; with it, the 3d + 1 rarest grams and the lengths find every
 candidate that can still be among the best k, and the frequent grams stay out of the
 join.  Queries with too few targets so far, or too few grams, go through all of theirs.
-No distance is ruled out beforehand."""
+No distance is ruled out beforehand.
+
+Where the grams still bring more pairs than there are targets, as with a third-best
+target that has nothing to do with the query, nearly every target is a candidate.  Such
+queries meet the targets block by block instead of gram by gram: a block's targets are
+compared with a query at once, by bit-parallel edit distance (Myers 1999, in words of 64
+characters as by Hyyro 2003), and only the k best of a block leave it.  That is a
+comparison for every query and target, so its time is the product of both."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +28,8 @@ from corpusmill.operators.topk import top_k
 
 GRAM = 3
 PROBE = 2
+# Texts of a block of queries and of a block of targets.
+BLOCK = 4096
 
 
 def grams(text: str) -> Column:
@@ -33,27 +44,122 @@ def _meeting(qg: DataFrame, tg: DataFrame) -> DataFrame:
     return qg.join(tg, "g").where(close).select("query", "target", "limit").distinct()
 
 
-def candidates(targets: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query, target, limit) of distinct ``query`` and ``target`` texts: all pairs that
-    can be among the k nearest of a query, ties included, with the k-th best distance
-    so far."""
+def _held(targets: DataFrame, queries: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(query, g, limit, pairs) of the queries' grams that can still tell a candidate, with
+    the k-th best distance so far and the pairs that a query's grams bring; (target, g)."""
     tg = targets.select("target", F.explode(grams("target")).alias("g")).persist(StorageLevel.MEMORY_AND_DISK)
     df = tg.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
     qg = queries.select("query", F.explode(grams("query")).alias("g"))
     rarest = Window.partitionBy("query").orderBy(F.coalesce("df", F.lit(0)), "g")  # as many rows as a query has grams
-    qg = qg.join(df, "g", "left").where("df is not null").withColumn("nth", F.row_number().over(rarest)).drop("df").persist(StorageLevel.MEMORY_AND_DISK)
+    qg = qg.join(df, "g", "left").where("df is not null").withColumn("nth", F.row_number().over(rarest))
+    qg = qg.withColumn("so_far", F.sum("df").over(rarest)).drop("df").persist(StorageLevel.MEMORY_AND_DISK)
     near = _meeting(qg.where(F.col("nth") <= PROBE).withColumn("limit", F.lit(None).cast("int")), tg)
     near = top_k(near.withColumn("d", F.levenshtein("query", "target")), "query", ["d", "target"], k)
-    limit = near.where(F.col("rank") == k).select("query", F.col("d").alias("limit"))
+    limit = near.where(F.col("rank") == k).select("query", F.col("d").alias("limit")).persist(StorageLevel.MEMORY_AND_DISK)
     held = qg.join(limit, "query", "left").where(F.col("limit").isNull() | (F.col("nth") <= 3 * F.col("limit") + 1))
-    return _meeting(held, tg)
+    return held.withColumn("pairs", F.max("so_far").over(Window.partitionBy("query"))), tg
+
+
+def candidates(targets: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query, target, limit) of distinct ``query`` and ``target`` texts: all pairs that
+    can be among the k nearest of a query, ties included, with the k-th best distance
+    so far."""
+    return _meeting(*_held(targets, queries, k))
+
+
+def distances(query: list[int], codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, letters: int) -> np.ndarray:
+    """Edit distances of ``query`` and the targets, all as numbers of letters below
+    ``letters`` (-1 in the query: in no target): the targets lie in ``codes`` from their
+    start on, by rising length."""
+    m, n = len(query), len(lengths)
+    if not m:
+        return lengths.astype(np.int64)
+    one, width = np.uint64(1), -(-m // 64)
+    eq = np.zeros((width, letters), np.uint64)
+    for i, c in enumerate(query):
+        if c >= 0:
+            eq[i // 64, c] |= one << np.uint64(i % 64)
+    pv, mv = np.full((width, n), ~np.uint64(0)), np.zeros((width, n), np.uint64)
+    score = np.full(n, m, np.int64)
+    for j in range(int(lengths[-1]) if n else 0):
+        on = slice(int(np.searchsorted(lengths, j, side="right")), n)  # targets longer than j
+        letter = codes[starts[on] + j]
+        p_in, m_in = np.ones(n - on.start, np.uint64), np.zeros(n - on.start, np.uint64)
+        for w in range(width):
+            last = np.uint64((m - 1) % 64 if w == width - 1 else 63)
+            e, p, v = eq[w, letter], pv[w, on], mv[w, on]
+            xv = e | v
+            e = e | m_in
+            xh = (((e & p) + p) ^ p) | e
+            ph, mh = v | ~(xh | p), p & xh
+            p_out, m_out = (ph >> last) & one, (mh >> last) & one
+            ph, mh = (ph << one) | p_in, (mh << one) | m_in
+            pv[w, on], mv[w, on] = mh | ~(xv | ph), ph & xv
+            p_in, m_in = p_out, m_out
+        score[on] += p_in.astype(np.int64) - m_in.astype(np.int64)
+    return score
+
+
+def _block_best(k: int):
+    """The k nearest targets, by distance and target, of each query of a block among the
+    targets of a block that share a gram with it."""
+
+    def best(t: pa.Table) -> pa.Table:
+        is_query = np.asarray(t.column("is_query").to_pylist(), bool)
+        text, gram = t.column("text").to_pylist(), t.column("g").to_pylist()
+        at = sorted(np.flatnonzero(~is_query), key=lambda i: len(text[i]))
+        targets = [text[i] for i in at]
+        lengths = np.array([len(x) for x in targets], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        alphabet, codes = np.unique(np.frombuffer("".join(targets).encode("utf-32-le"), np.int32), return_inverse=True)
+        number = {chr(c): n for n, c in enumerate(alphabet)}
+        having: dict[str, list[int]] = {}
+        for n, i in enumerate(at):
+            for g in gram[i]:
+                having.setdefault(g, []).append(n)
+        places = {g: np.array(x) for g, x in having.items()}
+        name = np.empty(len(at), np.int64)
+        name[sorted(range(len(at)), key=targets.__getitem__)] = np.arange(len(at))
+        rows: list[tuple[str, str, int]] = []
+        for i in np.flatnonzero(is_query):
+            lists = [places[g] for g in gram[i] if g in places]
+            if lists:
+                shared = np.zeros(len(at), bool)
+                shared[np.concatenate(lists)] = True
+                some = np.flatnonzero(shared)
+                d = distances([number.get(c, -1) for c in text[i]], codes, starts[some], lengths[some], len(alphabet))
+                few = np.lexsort((name[some], d))[:k]
+                rows += [(text[i], targets[some[x]], int(d[x])) for x in few]
+        q, x, d = zip(*rows) if rows else ((), (), ())
+        return pa.table({"query": pa.array(q, pa.string()), "target": pa.array(x, pa.string()), "distance": pa.array(d, pa.int64())})
+
+    return best
+
+
+def _by_block(targets: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query, target, distance): the k nearest of each query in every block of targets."""
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = lambda df: max(1, -(-df.count() // BLOCK))
+    nt, nq = side(targets), side(queries)
+    nq = max(nq, min(-(-tasks // nt), 8 * nq))  # enough groups for the tasks there are
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    t = targets.select(own("target", nt).alias("tb"), every(nq).alias("qb"), F.lit(False).alias("is_query"), F.col("target").alias("text"), grams("target").alias("g"))
+    q = queries.select(every(nt).alias("tb"), own("query", nq).alias("qb"), F.lit(True).alias("is_query"), F.col("query").alias("text"), grams("query").alias("g"))
+    return t.unionByName(q).groupBy("tb", "qb").applyInArrow(_block_best(k), "query string, target string, distance long")
 
 
 def nearest(targets: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query, target, distance) of the candidates that keep their limit."""
+    """(query, target, distance): the candidates that keep their limit, of queries that go
+    through blocks the k nearest of each block."""
+    targets, queries = (df.persist(StorageLevel.MEMORY_AND_DISK) for df in (targets, queries))
+    held, tg = _held(targets, queries, k)
+    by_gram = F.col("pairs") <= targets.count()
     bound = F.coalesce("limit", F.greatest(F.length("query"), F.length("target")))
-    found = candidates(targets, queries, k).withColumn("distance", F.levenshtein("query", "target").cast("bigint"))
-    return found.where(F.col("distance") <= bound).drop("limit")
+    found = _meeting(held.where(by_gram), tg).withColumn("distance", F.levenshtein("query", "target").cast("bigint"))
+    found = found.where(F.col("distance") <= bound).drop("limit")
+    rest = held.where(~by_gram).select("query").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    return found.unionByName(_by_block(targets, rest, k))
 
 
 def reformulate(targets: DataFrame, queries: DataFrame, k: int, pairs: DataFrame | None = None, q_id: str = "query_id",

@@ -51,3 +51,22 @@ def test_few_pairs_are_compared(spark):
     every = every.select("query", "target").distinct().count()
     kept = rf.candidates(titles, q, 1).count()
     assert kept < 0.05 * every
+
+
+def test_a_far_kth_target_is_found_in_blocks(spark, monkeypatch):
+    """Queries whose k-th target is far off do not meet the targets gram by gram."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdeé €") for _ in range(n))
+    targets = sorted({text(rng.choice([5, 40, 63, 64, 65, 129, 200])) for _ in range(90)})
+    queries = [t[:3] + "x" + t[4:] for t in targets[::3]] + ["", "zz", text(70), text(128)]
+    t, q = spark.createDataFrame([(x,) for x in targets], "target string"), spark.createDataFrame(list(enumerate(queries)), "query_id long, query string")
+    met = []
+    whole = rf._meeting
+    monkeypatch.setattr(rf, "_meeting", lambda qg, tg: met.append(whole(qg, tg)) or met[-1])
+    monkeypatch.setattr(rf, "BLOCK", 20, raising=False)
+    want = set()
+    for i, text in enumerate(queries):
+        near = sorted((_lev(text, x), x) for x in targets if _grams(x) & _grams(text))
+        want |= {(i, x, n, d, 0) for n, (d, x) in enumerate(near[:3], 1)}
+    assert {tuple(r) for r in rf.reformulate(t, q, 3).collect()} == want
+    assert met[-1].count() < 0.2 * len(targets) * len(queries)
