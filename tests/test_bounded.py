@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,44 @@ def test_upvotes_enter_without_a_shared_word(spark, index):
         "query_id", "doc_id", F.round(F.coalesce("score", F.lit(0.0)) + F.coalesce("boost", F.lit(0.0)), 6).alias("score"))
     want = top_k_by_score(merged, "query_id", "score", "doc_id", 3).select("query_id", "doc_id", "rank", "score")
     assert table(fb.search_with_upvotes(index, bench, boosts, 3)) == table(want)
+
+
+def test_queries_pass_a_block_in_parts(monkeypatch):
+    """Rows of two groups in small batches: the answers are those of each whole query, and no more
+    query rows are held than one part and one query."""
+    rng = np.random.default_rng(3)
+    words = np.array([f"t{i}" for i in range(40)])
+    rows, want = [], set()
+    for grp in (4, 7):  # a group without postings after them
+        doc, term = np.repeat(np.arange(30), 8), np.concatenate([rng.choice(40, 8, replace=False) for _ in range(30)])
+        sat = rng.random(len(doc)).round(3)
+        rows += [(grp, False, int(d), str(words[t]), float(s)) for d, t, s in zip(doc, term, sat)]
+        for q in range(50):
+            terms, weights = rng.choice(40, 6, replace=False), rng.random(6).round(3)
+            rows += [(grp, True, q, str(words[t]), float(w)) for t, w in zip(terms, weights)] + [(grp, True, q, "unknown", 1.0)]
+            score = {}
+            for d, t, s in zip(doc, term, sat):
+                for t2, w in zip(terms, weights):
+                    if t == t2:
+                        score[int(d)] = score.get(int(d), 0.0) + w * s
+            want |= {(q, d, round(s, 6), grp // 2) for d, s in sorted(score.items(), key=lambda x: (-round(x[1], 6), x[0]))[:3]}
+    rows += [(9, True, 1, "t1", 1.0)]
+    table_ = pa.table(dict(zip(["grp", "is_query", "id", "term", "v"], map(list, zip(*rows)))))
+    monkeypatch.setattr(bounded, "QUERY_ROWS", 20)
+    held, answers = [], bounded._Group.answers
+
+    def watched(self, last):
+        held.append(sum(t.num_rows for t in self.queries))
+        yield from answers(self, last)
+
+    monkeypatch.setattr(bounded._Group, "answers", watched)
+    got = [r for b in bounded._scored(3, False, 2)(iter(table_.to_batches(max_chunksize=11))) for r in b.to_pylist()]
+    assert {(r["query_id"], r["doc_id"], round(r["raw"], 6), r["dblk"]) for r in got} == want and len(got) == len(want)
+    assert len(held) > 20 and max(held) <= 20 + 11
+
+
+def test_blocks_stay_bounded_and_few_rows_are_sent_twice():
+    for postings, terms, tasks in ((180_000_000, 4_000_000, 200), (3_000_000, 64_000, 24), (120_000_000, 120_000_000, 200), (10, 10**9, 8), (0, 0, 8)):
+        nd, nq = bounded._grid(postings, terms, tasks)
+        assert nd >= 1 and nq >= 1 and -(-postings // nd) <= bounded.BLOCK and nq <= tasks
+        assert nd == 1 or nd * nq <= max(tasks, 2 * -(-postings // bounded.BLOCK))
