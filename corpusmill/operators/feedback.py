@@ -94,11 +94,13 @@ def learn_from_qrels(index: Index, qrels: DataFrame, query: str = "query", doc:
     )
     old = index.postings.join(taught, "doc_id", "left_semi").select("doc_id", "term", "tf", F.lit(True).alias("_had"))
     both = old.unionByName(learned_tf.withColumn("_had", F.lit(False))).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"), F.max("_had").alias("_had"))
-    lengths = index.doc_len.join(bounded_broadcast(learned_len), "doc_id").select("doc_id", (F.col("dl") + F.col("_add")).alias("dl"))
+    # the old lengths come from the postings; a document without any had no token
+    was = index.postings.join(taught, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("dl").alias("dl"))
+    lengths = learned_len.join(was, "doc_id", "left").select("doc_id", (F.coalesce("dl", F.lit(0.0)) + F.col("_add")).alias("dl"))
     touched = both.join(bounded_broadcast(lengths), "doc_id").select("doc_id", "term", "tf", "dl", "_had").persist(StorageLevel.MEMORY_AND_DISK)
     postings = index.postings.join(taught, "doc_id", "left_anti").select("doc_id", "term", "tf", "dl").unionByName(touched.drop("_had"))
     new = touched.where("not _had").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    stats = index.term_stats.unionByName(new).groupBy("term").agg(F.sum("df").cast("bigint").alias("df"))
+    stats = index.term_stats.unionByName(new).groupBy("term").agg(F.sum("df").cast("bigint").alias("df")).persist(StorageLevel.MEMORY_AND_DISK)
     add = learned_len.agg(F.sum("_add")).first()[0] or 0.0
     return Index(postings, doc_len, stats, index.n_docs, index.total_len + float(add))
 
