@@ -14,6 +14,7 @@ from corpusmill.session import path_exists
 
 N_BUCKETS = 64  # term buckets of stored postings
 WRITERS = 4  # tasks that write a bucket
+HASH = "xxhash64"  # what tells a term's bucket
 
 
 def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS, writers: int = WRITERS) -> None:
@@ -26,17 +27,18 @@ def save_index(index: Index, path: str, n_buckets: int = N_BUCKETS, writers: int
      .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
     index.doc_len.write.mode("overwrite").parquet(f"{path}/doc_len")
     index.term_stats.withColumn("bucket", term_bucket("term", n_buckets)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/term_stats")
-    meta = json.dumps({"n_docs": index.n_docs, "total_len": index.total_len, "n_buckets": n_buckets})
+    meta = json.dumps({"n_docs": index.n_docs, "total_len": index.total_len, "n_buckets": n_buckets, "hash": HASH})
     spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
-    """The stored index; a search on it reads the buckets of its query terms only."""
+    """The stored index; a search on it reads the buckets of its query terms only, all of
+    them where another hash told the buckets."""
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     postings, stats = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "term_stats"))
     return Index(
         postings.select("doc_id", "term", "tf", "dl"), spark.read.parquet(f"{path}/doc_len"), stats.select("term", "df"),
-        int(meta["n_docs"]), float(meta["total_len"]), stored=(postings, stats, int(meta["n_buckets"])),
+        int(meta["n_docs"]), float(meta["total_len"]), stored=(postings, stats, int(meta["n_buckets"])) if meta.get("hash") == HASH else None,
     )
 
 
