@@ -95,7 +95,7 @@ def build_resumable(corpus: DataFrame, path: str, n_buckets: int = 8, resume: bo
         part.postings.write.mode("overwrite").parquet(f"{path}/postings/b={k}")
         part.doc_len.write.mode("overwrite").parquet(f"{path}/doc_len/b={k}")
         spark.createDataFrame([(str(k),)], "v string").write.mode("append").text(manifest)
-        part.postings.unpersist()
+        part.release()
         built += 1
     postings = spark.read.parquet(f"{path}/postings").select("doc_id", "term", "tf", "dl")
     doc_len = spark.read.parquet(f"{path}/doc_len").select("doc_id", "dl")
