@@ -142,3 +142,14 @@ def test_blocks_stay_bounded_and_few_rows_are_sent_twice():
         nd, nq = bounded._grid(postings, terms, tasks)
         assert nd >= 1 and nq >= 1 and -(-postings // nd) <= bounded.BLOCK and nq <= tasks
         assert nd == 1 or nd * nq <= max(tasks, 2 * -(-postings // bounded.BLOCK))
+
+
+def test_another_order_is_refused():
+    part = lambda *rows: pa.table({"id": [r[0] for r in rows], "term": ["t"] * len(rows), "v": [1.0] * len(rows)})
+    group = bounded._Group(2, False)
+    list(group.met(False, part((1,))))
+    list(group.met(True, part((5,), (4,))))
+    with pytest.raises(ValueError):
+        list(group.met(False, part((2,))))
+    with pytest.raises(ValueError):
+        list(group.answers(True))
