@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusmill.operators import reform as rf
@@ -70,3 +72,60 @@ def test_a_far_kth_target_is_found_in_blocks(spark, monkeypatch):
         want |= {(i, x, n, d, 0) for n, (d, x) in enumerate(near[:3], 1)}
     assert {tuple(r) for r in rf.reformulate(t, q, 3).collect()} == want
     assert met[-1].count() < 0.2 * len(targets) * len(queries)
+
+
+def _texts(rng, n, most=140):
+    return sorted({"".join(rng.choice("abcdeé €") for _ in range(rng.choice([0, 1, 5, 40, 63, 64, 65, 128, 129, most]))) for _ in range(n)})
+
+
+def test_distances_of_many_at_once(monkeypatch):
+    rng = random.Random(8)
+    a, b = _texts(rng, 60), _texts(rng, 20)
+    for words in (rf.WORDS, 300):
+        monkeypatch.setattr(rf, "WORDS", words)
+        lanes, coded = rf.Lanes(a), rf.Coded(a, b)
+        for i, x in enumerate(b):
+            want = [_lev(y, x) for y in a]
+            assert lanes.distances(x).tolist() == want
+            assert coded.distances(np.arange(len(a)), np.full(len(a), len(a) + i)).tolist() == want
+
+
+def test_blocks_and_centres_lose_nothing(spark, monkeypatch):
+    """Misspelt targets among far ones, in several blocks, with and without a centre."""
+    rng = random.Random(9)
+    targets = sorted({"".join(rng.choice("abcdeé ") for _ in range(rng.choice([8, 30, 60, 70]))) for _ in range(120)})
+    queries = [t[:3] + "x" + t[4 + n % 2 :] for n, t in enumerate(targets)] + ["", "zz", "zab", *_texts(rng, 8)]
+    t, q = spark.createDataFrame([(x,) for x in targets], "target string"), spark.createDataFrame([(x,) for x in dict.fromkeys(queries)], "query string")
+    monkeypatch.setattr(rf, "BLOCK", 50)
+    monkeypatch.setattr(rf, "FEW", 3)
+    monkeypatch.setattr(rf, "SEEDS", 20)
+    centred = {r["query"]: r for r in rf._centred(t, q).collect()}
+    assert 50 <= sum(r["centre"] is not None for r in centred.values()) < len(centred)
+    assert all(r["far"] == _lev(r["query"], r["centre"]) <= rf.NEAR for r in centred.values() if r["centre"] is not None)
+    want = set()
+    for text in set(queries):
+        near = sorted((_lev(text, x), x) for x in targets if _grams(x) & _grams(text))
+        want |= {(text, x, d) for d, x in near[:3]}
+    limited = q.selectExpr("query", "CAST(NULL AS INT) AS limit")
+    got = {tuple(r) for r in rf._by_block(t, limited, 3).collect()}
+    assert want <= got
+    best = {}
+    for text, x, d in got:
+        best.setdefault(text, []).append((d, x))
+    assert {(text, x, d) for text, near in best.items() for d, x in sorted(near)[:3]} == want
+
+
+def test_queries_of_one_centre_meet_few_targets(monkeypatch):
+    """Three misspelt copies of each target cost little more than the targets among themselves."""
+    rng = random.Random(10)
+    targets = ["".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(400)]
+    queries = [(t[:i] + "x" + t[i + 1 :], t) for t in targets for i in (5, 25, 50)]
+    met = [0]
+    whole = rf.Coded.distances
+    monkeypatch.setattr(rf.Coded, "distances", lambda self, a, b: met.__setitem__(0, met[0] + len(a)) or whole(self, a, b))
+    rows = [(True, t, q, 1, 46) for q, t in queries] + [(False, t, None, None, None) for t in targets]
+    lane, text, query, far, limit = zip(*rows)
+    table = pa.table({"a": pa.array([0] * len(rows), pa.int32()), "b": pa.array([0] * len(rows), pa.int32()), "r": pa.array([0] * len(rows), pa.int32()), "lane": lane, "text": text, "query": query, "far": pa.array(far, pa.int64()), "limit": pa.array(limit, pa.int64())})
+    found = rf._block_best(1)(table)
+    assert sorted(zip(found["query"].to_pylist(), found["target"].to_pylist())) == sorted(queries)
+    assert met[0] < 0.2 * len(queries) * len(targets)
