@@ -1,4 +1,9 @@
-"""Exact cosine neighbours and hashed text vectors."""
+"""Exact and approximate cosine neighbours, hashed text vectors.
+
+Neighbours are sought by crossed blocks: vectors are packed, one kept row a block, and a
+cross join brings every block of vectors to every block of queries.  A task holds its
+queries and the best of them so far, and the blocks of vectors pass; a pair of blocks writes
+nothing, so disk grows with the vectors and not with their square."""
 
 from __future__ import annotations
 
@@ -7,13 +12,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import stable_hash
 from corpusmill.operators.index import Index, idf_expr
-from corpusmill.operators.topk import top_k, top_k_by_score
+from corpusmill.operators.topk import top_k_by_score
+from corpusmill.session import bounded_broadcast
 
 # Rows of a block of the comparison grid.
 BLOCK, LEAST_BLOCK = 4096, 256
@@ -37,67 +44,132 @@ def _kth(sims: np.ndarray, k: int) -> np.ndarray:
     return np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k]
 
 
-def _grid_best(qs: DataFrame, vs: DataFrame, keys: list[str], k: int, exclude_self: bool) -> DataFrame:
-    """(query_id, doc_id, raw): the top k vectors of every query in each pair of a
-    query block and a vector block with equal ``keys``.  Both sides have id, v, the
-    keys and the block counts bq and bv; a row goes to its own block of its side and
-    to every block of the other."""
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("long")  # noqa: E731 - block assignment only, never compared to an oracle
-    other = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
-    qb = qs.select("id", "v", *keys, F.lit(True).alias("is_query"), own("bq").alias("qblk"), other("bv").alias("vblk"))
-    vb = vs.select("id", "v", *keys, F.lit(False).alias("is_query"), other("bq").alias("qblk"), own("bv").alias("vblk"))
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, v = pdf[pdf["is_query"]], pdf[~pdf["is_query"]]
-        if q.empty or v.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "raw": []})
-        qm = np.stack(q["v"].to_numpy()).astype(np.float64)
-        vm = np.stack(v["v"].to_numpy()).astype(np.float64)
-        qm /= np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-300)
-        vm /= np.maximum(np.linalg.norm(vm, axis=1, keepdims=True), 1e-300)
-        qids, vids = q["id"].to_numpy(), v["id"].to_numpy()
-        q4, v4 = qm.astype(np.float32), vm.astype(np.float32)
+def _query_blocks(n: int, tasks: int) -> int:
+    """Blocks of queries: a task each, that meets all vectors."""
+    return max(1, -(-n // BLOCK), min(tasks, -(-n // LEAST_BLOCK)))
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """The vectors of a column, a row each, in double precision."""
+    vectors = column.combine_chunks()
+    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    lengths = pc.unique(pc.list_value_length(vectors)).to_pylist()
+    if vectors.null_count or len(lengths) > 1:
+        raise ValueError("vectors of one length, and none missing, are asked for")
+    return x.reshape(len(vectors), -1)
+
+
+def _packed(t: pa.Table) -> pa.Table:
+    """The vectors of a block (a, b) in one row."""
+    x = _matrix(t.column("v"))
+    cell = lambda y: pa.array([np.ascontiguousarray(y).tobytes()], pa.binary())
+    return pa.table({"a": t.column("a").slice(0, 1), "b": t.column("b").slice(0, 1), "ids": cell(t.column("id").to_numpy().astype(np.int64)), "v": cell(x), "dim": pa.array([x.shape[1]], pa.int64())})
+
+
+def _kept_blocks(rows: DataFrame, n: int) -> DataFrame:
+    """(a, b, ids, v, dim): one row for each block (a, b) of rows (a, b, id, v)."""
+    blocks = rows.repartition(n, "a", "b").groupBy("a", "b").applyInArrow(_packed, "a long, b long, ids binary, v binary, dim long")
+    return blocks.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _crossed(vectors: DataFrame, queries: DataFrame, state, found: str) -> DataFrame:
+    """What ``state(ids, matrix)`` of each block of queries answers once it has met every block
+    of vectors.  A task streams the vectors and holds its queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, object] = {}
+        for batch in batches:
+            cell = lambda c, i, t: np.frombuffer(batch.column(c)[i].as_buffer(), t)  # noqa: B023, E731 - used at once
+            for i in range(batch.num_rows):
+                blk, dim = batch.column("q_b")[i].as_py(), batch.column("dim")[i].as_py()
+                if blk not in held:
+                    held[blk] = state(cell("q_ids", i, np.int64).copy(), cell("q_v", i, np.float64).reshape(-1, batch.column("q_dim")[i].as_py()).copy())
+                held[blk].met(batch.column("a")[i].as_py(), cell("ids", i, np.int64), cell("v", i, np.float64).reshape(-1, dim))
+        for of in held.values():
+            yield from of.answers()
+
+    left = vectors.select("a", "ids", "v", "dim").coalesce(1)
+    right = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("b", "ids", "v", "dim")])
+    return left.crossJoin(right.hint("shuffle_replicate_nl")).mapInArrow(run, found)
+
+
+def _same(ids: np.ndarray, vids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal ids on both sides."""
+    by_id = np.argsort(vids, kind="stable")
+    lo, hi = (np.searchsorted(vids, ids, side, sorter=by_id) for side in ("left", "right"))
+    row = np.repeat(np.arange(len(ids)), hi - lo)
+    return row, by_id[np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)]
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
+class Nearest:
+    """The k nearest vectors so far of a block's queries; ties by ascending id."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, exclude_self: bool) -> None:
+        self.ids, self.x, self.k, self.exclude_self = ids, _unit(x), k, exclude_self
+        self.x4 = self.x.astype(np.float32)
+        self.row, self.doc, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        self.least = np.full(len(ids), -np.inf)  # the k-th best, of the queries that have as many
+
+    def met(self, _: int, vids: np.ndarray, v: np.ndarray) -> None:
+        v = _unit(v)
+        v4 = v.astype(np.float32)
         # single precision leaves most pairs out; what it may be wrong by, and rounding, is allowed for
-        slack = np.float32(4 * (qm.shape[1] + 4) * 2.0**-24 + 2e-6)
-        whole = bool(np.isfinite(q4).all() and np.isfinite(v4).all())
-        by_id = np.argsort(vids, kind="stable")
-        out_q, out_v, out_s = [], [], []
-        for s in range(0, len(qids), LEAST_BLOCK):
-            ids = qids[s : s + LEAST_BLOCK]
-            sims = q4[s : s + LEAST_BLOCK] @ v4.T
+        slack = np.float32(4 * (v.shape[1] + 4) * 2.0**-24 + 2e-6)
+        whole = bool(np.isfinite(self.x4).all() and np.isfinite(v4).all())
+        rows, docs, scores = [self.row], [self.doc], [self.score]
+        for s in range(0, len(self.ids), LEAST_BLOCK):
+            part = slice(s, s + LEAST_BLOCK)
+            sims = self.x4[part] @ v4.T
             if not whole:
                 sims[np.isnan(sims)] = -np.inf
-            if exclude_self:
-                lo, hi = (np.searchsorted(vids, ids, side, sorter=by_id) for side in ("left", "right"))
-                for i in np.flatnonzero(hi > lo):
-                    sims[i, by_id[lo[i] : hi[i]]] = -np.inf
-            row, at = np.nonzero(sims >= (_kth(sims, k) - slack)[:, None])
+            if self.exclude_self:
+                sims[_same(self.ids[part], vids)] = -np.inf
+            floor = self.least[part].copy()
+            few = np.flatnonzero(floor == -np.inf)
+            if len(few):
+                floor[few] = _kth(sims[few], self.k)
+            row, at = np.nonzero(sims >= (floor - slack)[:, None])
             there = sims[row, at] > -np.inf
             row, at = row[there], at[there]
-            score = np.einsum("ij,ij->i", qm[s + row], vm[at])
-            order = np.lexsort((vids[at], -np.round(score, 6), row))
-            row, at, score = row[order], at[order], score[order]
-            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-            out_q.append(ids[row[keep]])
-            out_v.append(vids[at[keep]])
-            out_s.append(score[keep])
-        return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_v), "raw": np.concatenate(out_s)})
+            rows.append(s + row)
+            docs.append(vids[at])
+            scores.append(np.einsum("ij,ij->i", self.x[s + row], v[at]))
+        row, doc, score = map(np.concatenate, (rows, docs, scores))
+        order = np.lexsort((doc, -np.round(score, 6), row))
+        rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
+        kept, last = order[rank < self.k], order[rank == self.k - 1]
+        self.row, self.doc, self.score = row[kept], doc[kept], score[kept]
+        self.least[row[last]] = score[last]
+
+    def answers(self) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(self.ids[self.row]), pa.array(self.doc), pa.array(self.score)], names=["query_id", "doc_id", "raw"])
 
-    return qb.unionByName(vb).groupBy(*keys, "qblk", "vblk").applyInPandas(score, "query_id long, doc_id long, raw double")
+
+def _id_and_vector(df: DataFrame, id_col: str, vec: str) -> DataFrame:
+    kind = df.schema[vec].dataType.simpleString()
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast(kind if kind == "array<float>" else "array<double>").alias("v"))
+
+
+def _dealt(df: DataFrame, n: int) -> DataFrame:
+    """The rows (id, v) with their block (0, b) of n."""
+    return df.withColumns({"a": F.lit(0).cast("long"), "b": F.pmod(F.xxhash64("id"), F.lit(n)).cast("long")})  # block choice only
 
 
 def knn(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_id", v_id: str = "vec_id", vec: str = "embedding",
         exclude_self: bool = True) -> DataFrame:
     """Exact cosine top-k for a table of query vectors of any size.
 
-    Queries and vectors are cut into blocks; every pair of blocks is one group,
-    scored in numpy, that keeps its own top k per query (never all pairs), then a
-    per-query top-k merges the groups.  Only the two row counts reach the driver."""
+    Every block of queries meets every block of vectors, scored in numpy; a block of
+    queries keeps its top k (never all pairs).  Only the two row counts reach the driver."""
     tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    qs, vs = (d.select(F.col(i).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")) for d, i in ((queries, q_id), (vectors, v_id)))
-    counts = {"bq": _blocks(queries.count(), tasks), "bv": _blocks(vectors.count(), tasks)}
-    qs, vs = (d.withColumns({n: F.lit(c) for n, c in counts.items()}) for d in (qs, vs))
-    scored = _grid_best(qs, vs, [], k, exclude_self).select("query_id", "doc_id", F.round("raw", 6).alias("score"))
+    nq, nv = _query_blocks(queries.count(), tasks), _blocks(vectors.count(), tasks)
+    qs, vs = _kept_blocks(_dealt(_id_and_vector(queries, q_id, vec), nq), nq), _kept_blocks(_dealt(_id_and_vector(vectors, v_id, vec), nv), nv)
+    found = _crossed(vs, qs, lambda ids, x: Nearest(ids, x, k, exclude_self), "query_id long, doc_id long, raw double")
+    scored = found.select("query_id", "doc_id", F.round("raw", 6).alias("score"))
     return top_k_by_score(scored, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")
 
 
@@ -187,32 +259,6 @@ def _nearest(t: pa.Table, m: int, exclude_self: bool) -> Iterator[tuple[int, np.
             yield i, far[near], at_v[near]
 
 
-def _distances(m: int, exclude_self: bool):
-    def found(t: pa.Table) -> pa.Table:
-        ids, out = t.column("id").to_numpy(), ([], [], [])
-        for i, far, _ in _nearest(t, m, exclude_self):
-            value, many = np.unique(far, return_counts=True)
-            for column, x in zip(out, (ids[i], value.astype(np.int32), many.astype(np.int32))):
-                column.append(x)
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "far": pa.array(out[1], pa.list_(pa.int32())), "many": pa.array(out[2], pa.list_(pa.int32()))})
-
-    return found
-
-
-def _limits(m: int):
-    """The distance of each query's m-th nearest code over all of its groups."""
-
-    def limits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            least = []
-            for fars, manys in zip(pdf["fars"], pdf["manys"]):
-                count = np.bincount(np.concatenate(list(fars)), np.concatenate(list(manys)))
-                least.append(min(int(np.searchsorted(np.cumsum(count), m)), len(count) - 1))
-            yield pd.DataFrame({"query_id": pdf["query_id"], "limit": np.array(least, np.int64)})
-
-    return limits
-
-
 def _compared(m: int, exclude_self: bool):
     def compared(t: pa.Table) -> pa.Table:
         ids, limit = t.column("id").to_numpy(), t.column("limit").to_numpy()
@@ -229,16 +275,81 @@ def _compared(m: int, exclude_self: bool):
     return compared
 
 
+class ShortList:
+    """The ``m`` vectors of nearest sign code so far of a block's queries, ties by ascending id, with
+    their cosines.  Codes are compared as products of signs, which single precision adds exactly."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, signs: np.ndarray, bits: int, n_probes: int, m: int, k: int, exclude_self: bool) -> None:
+        self.ids, self.x, self.m, self.k, self.exclude_self, self.signs = ids, x, m, k, exclude_self, signs
+        margin = x @ signs.T
+        self.code, self.buckets = self._code(margin), probed(margin[:, :bits], n_probes)
+        self.count = np.zeros((len(ids), len(signs) + 1), np.int32)  # vectors met by distance
+        self.limit = np.full(len(ids), len(signs), np.int64)
+        self.norm = np.linalg.norm(x, axis=1)
+        self.found: list[tuple] = []
+        self.waiting = 0
+
+    @staticmethod
+    def _code(margin: np.ndarray) -> np.ndarray:
+        return np.where(margin >= 0, np.float32(1), np.float32(-1))
+
+    def met(self, bucket: int, vids: np.ndarray, v: np.ndarray) -> None:
+        asked = np.flatnonzero((self.buckets == bucket).any(axis=1))
+        if not len(asked):
+            return
+        n_bits, norm = len(self.signs), np.linalg.norm(v, axis=1)
+        code = self._code(v @ self.signs.T).T
+        for s in range(0, len(asked), LEAST_BLOCK):
+            of = asked[s : s + LEAST_BLOCK]
+            far = (np.float32(n_bits) - self.code[of] @ code) * np.float32(0.5)
+            if self.exclude_self:
+                far[_same(self.ids[of], vids)] = np.inf
+            limit = self.limit[of].astype(np.float32)
+            some = np.flatnonzero(self.count[of].sum(axis=1) < self.m)
+            if len(some) and len(vids) > self.m:
+                limit[some] = np.minimum(limit[some], np.partition(far[some], self.m - 1, axis=1)[:, self.m - 1])
+            row, at = np.nonzero(far <= limit[:, None])
+            distance, row = far[row, at].astype(np.int64), of[row]
+            cosine = np.einsum("ij,ij->i", self.x[row], v[at]) / np.maximum(self.norm[row] * norm[at], 1e-300)
+            self.found.append((row, vids[at], distance, cosine))
+            self.waiting += len(row)
+            place = np.searchsorted(of, row) * (n_bits + 1) + distance
+            self.count[of] += np.bincount(place, minlength=len(of) * (n_bits + 1)).reshape(len(of), -1).astype(np.int32)
+            upto = np.cumsum(self.count[of], axis=1)
+            self.limit[of] = np.where(upto[:, -1] >= self.m, (upto >= self.m).argmax(axis=1), n_bits)
+        if self.waiting > 4 * self.m * len(self.ids):
+            self._leave()
+
+    def _leave(self) -> None:
+        """Gives up what is farther than the limit by now."""
+        found = [np.concatenate(x) for x in zip(*self.found)]
+        near = found[2] <= self.limit[found[0]]
+        self.found, self.waiting = [tuple(x[near] for x in found)], int(near.sum())
+
+    def answers(self) -> Iterator[pa.RecordBatch]:
+        """Of each short list the k of greatest cosine, and more that rounding may bring among them."""
+        if not self.found:
+            return
+        self._leave()
+        row, doc, far, cosine = self.found[0]
+        order = np.lexsort((doc, far, row))
+        kept = order[np.arange(len(row)) - np.searchsorted(row[order], row[order]) < self.m]
+        kept = kept[np.lexsort((doc[kept], -cosine[kept], row[kept]))]
+        row, doc, cosine = row[kept], doc[kept], cosine[kept]
+        first = np.searchsorted(row, row)
+        last = np.minimum(first + self.k, np.searchsorted(row, row, side="right")) - 1
+        near = ~(cosine < cosine[last] - 2e-6)
+        yield pa.RecordBatch.from_arrays([pa.array(self.ids[row[near]]), pa.array(doc[near]), pa.array(cosine[near])], names=["query_id", "doc_id", "raw"])
+
+
 def knn_approx(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_id", v_id: str = "vec_id", vec: str = "embedding",
                short_list: int = 20, n_bits: int = CODE_BITS, bucket: int = BUCKET, n_probes: int = PROBES, seed: int = 7, exclude_self: bool = True) -> DataFrame:
     """The ``short_list * k`` vectors of nearest sign code are compared exactly.
 
     Buckets are told apart by as many signs as leave about ``bucket`` vectors in each,
-    and a query looks into its ``n_probes`` nearest ones, so that its work stops growing
-    with the number of vectors; below two buckets' worth all codes are looked at.  A bucket
-    is cut into a grid of query blocks x vector blocks, which is gone through twice: for the
-    distance of each query's last code of the short list, then for the codes within it,
-    compared where their vectors are.  Ties of codes and of scores go to the smaller id."""
+    and a query looks into its ``n_probes`` nearest ones; below two buckets' worth all codes
+    are looked at.  Blocks of a bucket pass the blocks of queries, which compare what they
+    look into by code and keep the short list.  Ties of codes and of scores go to the smaller id."""
     spark, n = vectors.sparkSession, vectors.count()
     first = vectors.select(vec).where(F.col(vec).isNotNull()).first()
     if first is None:
@@ -246,24 +357,12 @@ def knn_approx(queries: DataFrame, vectors: DataFrame, k: int, q_id: str = "vec_
     signs = np.array([r["signs"] for r in planes(spark, len(first[0]), n_bits, seed).orderBy("bit").collect()])  # n_bits rows
     bits = max(0, int(np.log2(max(n, 1) / bucket)))
     m, tasks = short_list * k, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("long")  # noqa: E731 - block assignment only
-    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c).cast("long") - 1))
-    cut = lambda d, name: d.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.least(F.ceil(F.count(F.lit(1)) / LEAST_BLOCK), F.lit(max(1, int((tasks >> min(bits, 30)) ** 0.5))))).alias(name))
-    sides = lambda full: (codes(queries, q_id, vec, signs, bits, n_probes, full), codes(vectors, v_id, vec, signs, bits, 1, full))
-    qs, vs = sides(False)
-    sizes = cut(qs, "bq").join(cut(vs, "bv"), "bucket").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def groups(qs: DataFrame, vs: DataFrame, *more: str):
-        qb = qs.join(sizes, "bucket").select("bucket", own("bq").alias("qblk"), every("bv").alias("vblk"), F.lit(True).alias("is_query"), "id", "code", *more)
-        vb = vs.join(sizes, "bucket").select("bucket", every("bq").alias("qblk"), own("bv").alias("vblk"), F.lit(False).alias("is_query"), "id", "code", *more)
-        return qb.unionByName(vb).groupBy("bucket", "qblk", "vblk")
-
-    # first only how far the nearest codes are, so that no more pairs than the short list leave their groups
-    far = groups(qs, vs).applyInArrow(_distances(m, exclude_self), "query_id long, far array<int>, many array<int>")
-    limit = far.groupBy("query_id").agg(F.collect_list("far").alias("fars"), F.collect_list("many").alias("manys")).mapInPandas(_limits(m), "query_id long, limit long")
-    qs, vs = sides(True)
-    qs = qs.join(limit.withColumnRenamed("query_id", "id"), "id")
-    both = groups(qs, vs.withColumn("limit", F.lit(-1).cast("long")), "v", "limit").applyInArrow(_compared(m, exclude_self), "query_id long, doc_id long, far long, raw double")
-    near = top_k(both, "query_id", ["far", "doc_id"], m)
-    scored = near.select("query_id", "doc_id", F.round("raw", 6).alias("score"))
+    vs = codes(vectors, v_id, vec, signs, bits, 1, True).select(F.col("bucket").alias("a"), "id", "v").persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = vs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    blocks = vs.join(bounded_broadcast(sizes), "a").select("a", F.pmod(F.xxhash64("id"), F.col("parts")).cast("long").alias("b"), "id", "v")  # block choice only
+    nq = _query_blocks(queries.count(), tasks)
+    qs = _kept_blocks(_dealt(_id_and_vector(queries, q_id, vec).where("v is not null"), nq), nq)
+    vs = _kept_blocks(blocks, max(1, -(-n // BLOCK), min(tasks, -(-n // LEAST_BLOCK))))
+    found = _crossed(vs, qs, lambda ids, x: ShortList(ids, x, signs, bits, n_probes, m, k, exclude_self), "query_id long, doc_id long, raw double")
+    scored = found.select("query_id", "doc_id", F.round("raw", 6).alias("score"))
     return top_k_by_score(scored, "query_id", "score", "doc_id", k).select("query_id", "doc_id", "rank", "score")

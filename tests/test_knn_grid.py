@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import graph as gr
 from corpusmill.operators import vectors as vx
+from tests.test_crossed import shuffled
 
 
 def test_kth_is_a_close_lower_bound():
@@ -54,3 +55,17 @@ def test_edges_are_made_once(spark):
     nodes = spark.createDataFrame([(i, [float(i)]) for i in range(3)], "node_id long, features array<double>")
     assert {r["node_id"]: r["mean"] for r in gr.neighbor_features(nodes, edges).collect()} == {0: 1.0, 1: 2.0, 2: 0.0}
     assert made.value == 3
+
+
+def test_more_blocks_shuffle_no_more(spark, monkeypatch):
+    """Vectors are shuffled once, however many blocks meet; and the answers stay."""
+    rng = np.random.default_rng(6)
+    e = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((1200, 8)))], "vec_id long, embedding array<double>").cache()
+    e.count()
+    for find in (lambda: vx.knn(e, e, 3), lambda: vx.knn_approx(e, e, 3, bucket=100, n_probes=6)):
+        rows, few = shuffled(spark, find)
+        with monkeypatch.context() as m:
+            m.setattr(vx, "BLOCK", 40)
+            m.setattr(vx, "LEAST_BLOCK", 20)
+            again, many = shuffled(spark, find)
+        assert again == rows and len(rows) == 3600 and few > 0 and many < 4 * few
