@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import class_grid
 from corpusmill.operators import classify as cl
+from tests.test_crossed import shuffled
 
 
 def brute(train, rows, k):
@@ -93,3 +94,19 @@ def test_prediction_as_a_column(spark):
     assert got.columns == [*df.columns, "best"]
     assert sorted((str(r["id"]), r["label"], r["best"]["label"]) for r in got.collect()) == [("1", 7, "a"), ("1", 7, "a"), ("2", 9, "b"), ("None", 8, "a")]
     assert cl.predicted(cl.fit_text(train, "id", "text", "label"), df.limit(0), "text").count() == 0
+
+
+def test_more_blocks_shuffle_no_more(spark, monkeypatch):
+    """Blocks of classes and of rows meet without being shuffled once for each other."""
+    rng = random.Random(7)
+    text = lambda: " ".join(rng.choices([f"w{i}" for i in range(400)], k=8))
+    model = cl.fit_text(spark.createDataFrame([(i, f"c{i}", text()) for i in range(500)], "id long, label string, text string"), "id", "text", "label")
+    df = spark.createDataFrame([(i, text()) for i in range(500)], "id long, text string").cache()
+    find = lambda: cl.predict(model, df, "id", "text", 2)
+    met = []
+    for classes, terms in ((100, 1000), (10, 100)):
+        monkeypatch.setattr(class_grid, "CLASSES", classes)
+        monkeypatch.setattr(class_grid, "TERMS", terms)
+        met.append(shuffled(spark, find))
+    (rows, few), (again, many) = met
+    assert [r[:2] for r in again] == [r[:2] for r in rows] and len(rows) == 1000 and many < 4 * few
